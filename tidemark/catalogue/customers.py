@@ -9,7 +9,7 @@ from ..functions.measures import MONEY_TOTAL
 from ..operators import ntile_distributed, top1_by
 from ..plans import analytics as A
 from ..plans import gold as G
-from .core import cents, half_up, query, scaled
+from .core import cents, half_up, query, scaled, table
 from .fixtures import customers, order_lines, product_snapshots, with_fx
 from .sales import ALL, BOTH, PRICED, priced
 
@@ -106,7 +106,7 @@ SELECT o_orderkey AS order_id, CAST(o_totalprice AS DECIMAL(14,2)) AS total_pric
        CAST(ntile(10) OVER (ORDER BY CAST(o_totalprice AS DECIMAL(14,2)), o_orderkey) AS INT) AS decile
 FROM orders""")
 def distributed_ntile(spark, sf):
-    orders = spark.read.parquet(f"{sf}/orders.parquet").select(
+    orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_totalprice").cast("decimal(14,2)").alias("total_price"),
     )

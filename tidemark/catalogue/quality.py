@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..plans import gold as G
+from ..session import materialise
 from .core import query
 from .fixtures import customers, order_lines, product_snapshots, with_fx
 from .sales import ALL, PRICED
@@ -65,7 +66,9 @@ def _count(name: str, severity: str, passed: str, count: str, text: str, source:
        ' right=', CAST(CAST(total AS DECIMAL(30,2)) AS VARCHAR), ' gap=0.00') FROM totals""",
 ])))
 def quality_report(spark, sf):
-    products, lines = product_snapshots(spark, sf), order_lines(spark, sf)
+    # Five rules read the snapshots, so they are written once as a table of the lake would be.
+    products = materialise(product_snapshots(spark, sf), "snapshots")
+    lines = order_lines(spark, sf)
     sales = G.priced_lines(lines, products.select(
         "product_id", "snapshot_date", "unit_price"), "price_month")
     by_day = sales.groupBy("order_date").agg(

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import change_pct
 from ..functions.measures import MONEY_TOTAL
-from ..operators import lagged, moving, running_in_month, with_total
+from ..operators import category_labels, lagged, moving, running_in_month, with_total
 from ..operators import calendar as C
 from ..operators import quality as Q
 from ..plans import analytics as A
 from ..plans import gold as G
+from ..session import materialise
 from .core import cents, half_up, query, quotient, scaled, table
 from .fixtures import customers, order_lines, product_snapshots, with_fx
 
@@ -33,8 +34,10 @@ def order_bounds(spark, sf):
 
 
 def daily_sales(spark, sf) -> DataFrame:
+    # Prices, categories and labels are read separately, from a table as in the lake.
+    products = materialise(product_snapshots(spark, sf), "snapshots")
     return G.sales_by_category(
-        order_lines(spark, sf), product_snapshots(spark, sf), customers(spark, sf),
+        order_lines(spark, sf), products, customers(spark, sf),
         price_date="price_month", customer_date=None, bounds=order_bounds(spark, sf),
     )
 
@@ -96,8 +99,8 @@ def light_totals(spark, sf) -> DataFrame:
             F.sum("quantity").cast("bigint").alias("nb_items_sold"),
             F.sum("line_revenue").cast(MONEY_TOTAL).alias("revenue"),
         ],
-        label=F.coalesce(F.max("category_label"), F.lit(K.UNMATCHED_LABEL)),
-        total_label=K.ALL_SALES_LABEL,
+        labels=category_labels(product_snapshots(spark, sf), "category_slug", "category_label"),
+        total_label=K.ALL_SALES_LABEL, missing_label=K.UNMATCHED_LABEL,
     )
 
 

@@ -7,7 +7,7 @@ from .incremental import anchor, coverage, missing_days, missing_domains, pendin
 from .joins import salted_left_join, temporal_snapshot_join
 from .nested import explode_lines, flatten, replicate_and_thin
 from .ranking import ntile_distributed, ntile_scores
-from .rollup import with_total
+from .rollup import category_labels, with_total
 from .rules import Rule, apply_rules, reject_breakdown, route
 from .series import lagged, moving, moving_days, running_in_month
 from .versions import (
@@ -16,6 +16,7 @@ from .versions import (
 
 __all__ = [
     "Rule", "anchor", "apply_rules", "as_of", "calendar_attributes", "calendar_fill", "calendar_of",
+    "category_labels",
     "coverage", "day_range", "dedup_latest", "explode_lines", "flatten", "lagged",
     "latest_partition", "latest_state", "merge_schema", "missing_days", "missing_domains",
     "moving", "moving_days", "ntile_distributed", "ntile_scores", "pending", "reject_breakdown",

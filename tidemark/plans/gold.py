@@ -9,8 +9,8 @@ from .. import constants as K
 from .. import functions as X
 from ..functions.measures import MONEY_TOTAL
 from ..operators import (
-    calendar_attributes, calendar_fill, dedup_latest, lagged, latest_state, moving, ntile_scores,
-    running_in_month, temporal_snapshot_join, with_total,
+    calendar_attributes, calendar_fill, category_labels, dedup_latest, lagged, latest_state, moving,
+    ntile_scores, running_in_month, temporal_snapshot_join, with_total,
 )
 from ..session import materialise
 
@@ -33,7 +33,8 @@ def catalog_kpi(products: DataFrame) -> DataFrame:
             F.count_if("is_complete").alias("nb_complete_products"),
             F.bool_or("is_reconstructed").alias("is_reconstructed"),
         ],
-        label=F.max("category_label"), total_label=K.ALL_CATALOGUE_LABEL,
+        labels=category_labels(products, "category_slug", "category_label"),
+        total_label=K.ALL_CATALOGUE_LABEL,
     )
     complete = F.col("nb_complete_products").cast("decimal(20,0)")
     before = lagged("total_reviews", "category_slug", "snapshot_date")
@@ -99,19 +100,71 @@ def priced_lines(
     return valued.withColumn("line_revenue", revenue)
 
 
-def sales_measures() -> list[Column]:
-    return [
+def sales_value(lines: DataFrame, products: DataFrame, price_date: str = "order_date") -> DataFrame:
+    """Lines, items, revenue and price level per day x category and TOTAL.
+
+    Lines are summed per (day, product) before prices are joined: the join meets each product
+    once a day, however often it was sold, and the distinct products of a day are its rows.
+    `price_date` must follow from `order_date`, such as its month.
+    """
+    bought = lines.groupBy(*dict.fromkeys(("order_date", price_date, "product_id"))).agg(
+        F.count("*").alias("_lines"), F.sum("quantity").alias("_items")
+    )
+    price = products.select(
+        "product_id", "snapshot_date", "unit_price", "category_slug", "rating_score"
+    )
+    valued = temporal_snapshot_join(bought, price, "product_id", price_date, "snapshot_date")
+    n, unit_price, rating = F.col("_lines"), F.col("unit_price"), F.col("rating_score")
+    return with_total(
+        _named(valued), "order_date", "category_slug",
+        [
+            F.sum(n).alias("nb_order_lines"),
+            F.sum("_items").alias("nb_items_sold"),
+            F.count("product_id").alias("nb_distinct_products"),
+            F.sum((F.col("_items") * unit_price).try_cast(MONEY_TOTAL)).cast(MONEY_TOTAL)
+            .alias("revenue"),
+            X.ratio(F.sum(unit_price * n), F.sum(F.when(unit_price.isNotNull(), n)), 10, 2)
+            .alias("avg_unit_price"),
+            X.ratio(F.sum(rating * n), F.sum(F.when(rating.isNotNull(), n)), 4, 3)
+            .alias("avg_rating_sold"),
+            F.coalesce(F.sum(F.when(F.col("is_unmatched"), n)), F.lit(0)).alias("nb_unmatched_lines"),
+        ],
+        labels=category_labels(products, "category_slug", "category_label"),
+        total_label=K.ALL_SALES_LABEL, missing_label=K.UNMATCHED_LABEL,
+    )
+
+
+def sales_reach(
+    lines: DataFrame, products: DataFrame, customers: DataFrame, price_date: str = "order_date",
+    customer_date: str | None = "snapshot_date", salts: int = 1,
+) -> DataFrame:
+    """Distinct orders, customers and cities per day x category and TOTAL.
+
+    Lines are reduced to one row per (order, category) before customers are joined and counted,
+    and the counted rows carry keys only.
+    """
+    category = products.select("product_id", "snapshot_date", "category_slug")
+    bought = lines.select(*dict.fromkeys(
+        ("order_date", price_date, "product_id", "order_id", "customer_id")
+    ))
+    placed = _named(temporal_snapshot_join(
+        bought, category, "product_id", price_date, "snapshot_date", salts, ["order_id"]
+    ))
+    orders = placed.select("order_date", "category_slug", "order_id", "customer_id").distinct()
+    if customer_date:
+        place = customers.select("customer_id", F.col(customer_date).alias("order_date"), "city")
+        located = orders.join(place, ["customer_id", "order_date"], "left")
+    else:
+        located = orders.join(customers.select("customer_id", "city"), "customer_id", "left")
+    return with_total(located, "order_date", "category_slug", [
         F.count_distinct("order_id").alias("nb_orders"),
-        F.count("*").alias("nb_order_lines"),
-        F.sum("quantity").cast("bigint").alias("nb_items_sold"),
         F.count_distinct("customer_id").alias("nb_active_customers"),
-        F.count_distinct("product_id").alias("nb_distinct_products"),
         F.count_distinct("city").alias("nb_cities"),
-        F.sum("line_revenue").cast(MONEY_TOTAL).alias("revenue"),
-        X.mean(F.col("unit_price"), 10, 2).alias("avg_unit_price"),
-        X.mean(F.col("rating_score"), 4, 3).alias("avg_rating_sold"),
-        F.count_if("is_unmatched").alias("nb_unmatched_lines"),
-    ]
+    ])
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumn("category_slug", F.coalesce("category_slug", F.lit(K.UNKNOWN_SLUG)))
 
 
 def sales_totals(
@@ -122,25 +175,9 @@ def sales_totals(
 
     `customer_date` names the snapshot day of `customers`, None for an undated dimension.
     """
-    price = products.select(
-        "product_id", "snapshot_date", "unit_price", "category_slug", "category_label", "rating_score"
-    )
-    valued = priced_lines(lines, price, price_date, salts)
-    if customer_date:
-        place = customers.select(
-            "customer_id", F.col(customer_date).alias("order_date"), "city"
-        )
-        located = valued.join(place, ["customer_id", "order_date"], "left")
-    else:
-        located = valued.join(customers.select("customer_id", "city"), "customer_id", "left")
-    named = located.withColumn(
-        "category_slug", F.coalesce("category_slug", F.lit(K.UNKNOWN_SLUG))
-    )
-    return with_total(
-        named, "order_date", "category_slug", sales_measures(),
-        label=F.coalesce(F.max("category_label"), F.lit(K.UNMATCHED_LABEL)),
-        total_label=K.ALL_SALES_LABEL,
-    )
+    value = sales_value(lines, products, price_date)
+    reach = sales_reach(lines, products, customers, price_date, customer_date, salts)
+    return value.join(reach, ["order_date", "category_slug"])
 
 
 COUNTS = (
@@ -199,24 +236,31 @@ def sales_by_category(
     )
 
 
-def customer_totals(
-    lines: DataFrame, products: DataFrame, price_date: str = "order_date"
-) -> DataFrame:
-    """Per customer: activity from the lines alone, value from lines summed per product first.
-
-    Prices are joined to one row per (customer, product, day), and the favourite category falls
-    out of the per-category totals, so the price join is made once.
-    """
-    activity = lines.groupBy("customer_id").agg(
+def customer_activity(lines: DataFrame) -> DataFrame:
+    """Orders, items and active months per customer, from one row per order."""
+    orders = lines.groupBy("customer_id", "order_id", "order_date").agg(
+        F.count("*").alias("_lines"), F.sum("quantity").alias("_items")
+    )
+    return orders.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("nb_orders"),
-        F.count("*").alias("nb_order_lines"),
-        F.sum("quantity").cast("bigint").alias("nb_items"),
-        F.count_distinct("product_id").alias("nb_distinct_products"),
+        F.sum("_lines").alias("nb_order_lines"),
+        F.sum("_items").alias("nb_items"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.count_distinct(F.trunc("order_date", "month")).alias("nb_active_months"),
     )
-    return activity.join(customer_value(lines, products, price_date), "customer_id", "left")
+
+
+def customer_totals(
+    lines: DataFrame, products: DataFrame, price_date: str = "order_date"
+) -> DataFrame:
+    """Per customer: activity and variety from the lines alone, value from lines summed per
+    product first, so prices are joined to one row per (customer, product, day)."""
+    variety = lines.select("customer_id", "product_id").distinct().groupBy("customer_id").agg(
+        F.count("product_id").alias("nb_distinct_products")
+    )
+    value = customer_value(lines, products, price_date)
+    return customer_activity(lines).join(variety, "customer_id").join(value, "customer_id", "left")
 
 
 def category_value(
