@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import change_pct
 from ..functions.measures import MONEY_TOTAL
-from ..operators import category_labels, lagged, moving, running_in_month, with_total
+from ..operators import lagged, moving, running_in_month
 from ..operators import calendar as C
 from ..operators import quality as Q
 from ..plans import analytics as A
@@ -34,7 +34,7 @@ def order_bounds(spark, sf):
 
 
 def daily_sales(spark, sf) -> DataFrame:
-    # Prices, categories and labels are read separately, from a table as in the lake.
+    # Prices and categories are read separately, from a table as in the lake.
     products = materialise(product_snapshots(spark, sf), "snapshots")
     return G.sales_by_category(
         order_lines(spark, sf), products, customers(spark, sf),
@@ -89,18 +89,9 @@ FILLED = LIGHT + SKELETON + """
 
 
 def light_totals(spark, sf) -> DataFrame:
-    named = priced(spark, sf).withColumn(
-        "category_slug", F.coalesce("category_slug", F.lit(K.UNKNOWN_SLUG))
-    )
-    return with_total(
-        named, "order_date", "category_slug",
-        [
-            F.count("*").alias("nb_order_lines"),
-            F.sum("quantity").cast("bigint").alias("nb_items_sold"),
-            F.sum("line_revenue").cast(MONEY_TOTAL).alias("revenue"),
-        ],
-        labels=category_labels(product_snapshots(spark, sf), "category_slug", "category_label"),
-        total_label=K.ALL_SALES_LABEL, missing_label=K.UNMATCHED_LABEL,
+    totals = G.sales_value(order_lines(spark, sf), product_snapshots(spark, sf), "price_month")
+    return totals.select(
+        "order_date", "category_slug", "category_label", "nb_order_lines", "nb_items_sold", "revenue"
     )
 
 

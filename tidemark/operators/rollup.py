@@ -10,32 +10,26 @@ from pyspark.sql import functions as F
 from .. import constants as K
 
 
-def category_labels(df: DataFrame, category: str, label: str) -> DataFrame:
-    """One label per category: the greatest one in use."""
-    return df.select(category, label).distinct().groupBy(category).agg(F.max(label).alias(label))
-
-
 def with_total(
     df: DataFrame, day: str, category: str, aggs: Sequence[Column], *,
-    labels: DataFrame | None = None, label: str = "category_label",
-    total_label: str | None = None, missing_label: str | None = None,
+    label: Column | None = None, total_label: str | None = None, label_name: str = "category_label",
 ) -> DataFrame:
     """`aggs` per (day, category) and per day, the latter under the TOTAL category.
 
-    `labels` holds one label per category. They join the finished totals: a text maximum among
-    `aggs` would turn the hash aggregation over all rows into a sort.
+    `label` is an aggregate such as the greatest label of the group. A text maximum turns a hash
+    aggregation into a sort, so sum large inputs per label first and pass the sums here.
     """
+    measures = list(aggs)
+    if label is not None:
+        measures.append(label.alias("_label"))
     grouped = df.groupingSets([[day, category], [day]], day, category).agg(
-        F.grouping(category).alias("_is_total"), *aggs
+        F.grouping(category).alias("_is_total"), *measures
     )
     is_total = F.col("_is_total") == 1
     named = grouped.withColumn(
         category, F.when(is_total, F.lit(K.TOTAL_SLUG)).otherwise(F.col(category))
     )
-    if labels is not None:
-        known = labels.select(category, F.col(label).alias("_label"))
-        text = F.when(is_total, F.lit(total_label)).otherwise(
-            F.coalesce("_label", F.lit(missing_label))
-        )
-        named = named.join(known, category, "left").withColumn(label, text).drop("_label")
+    if label is not None:
+        text = F.when(is_total, F.lit(total_label)).otherwise(F.col("_label"))
+        named = named.withColumn(label_name, text).drop("_label")
     return named.drop("_is_total")

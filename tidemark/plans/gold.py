@@ -9,7 +9,7 @@ from .. import constants as K
 from .. import functions as X
 from ..functions.measures import MONEY_TOTAL
 from ..operators import (
-    calendar_attributes, calendar_fill, category_labels, dedup_latest, lagged, latest_state, moving,
+    calendar_attributes, calendar_fill, dedup_latest, lagged, latest_state, moving,
     ntile_scores, running_in_month, temporal_snapshot_join, with_total,
 )
 from ..session import materialise
@@ -33,8 +33,7 @@ def catalog_kpi(products: DataFrame) -> DataFrame:
             F.count_if("is_complete").alias("nb_complete_products"),
             F.bool_or("is_reconstructed").alias("is_reconstructed"),
         ],
-        labels=category_labels(products, "category_slug", "category_label"),
-        total_label=K.ALL_CATALOGUE_LABEL,
+        label=F.max("category_label"), total_label=K.ALL_CATALOGUE_LABEL,
     )
     complete = F.col("nb_complete_products").cast("decimal(20,0)")
     before = lagged("total_reviews", "category_slug", "snapshot_date")
@@ -111,26 +110,33 @@ def sales_value(lines: DataFrame, products: DataFrame, price_date: str = "order_
         F.count("*").alias("_lines"), F.sum("quantity").alias("_items")
     )
     price = products.select(
-        "product_id", "snapshot_date", "unit_price", "category_slug", "rating_score"
+        "product_id", "snapshot_date", "unit_price", "category_slug", "category_label", "rating_score"
     )
     valued = temporal_snapshot_join(bought, price, "product_id", price_date, "snapshot_date")
     n, unit_price, rating = F.col("_lines"), F.col("unit_price"), F.col("rating_score")
+    # Everything but the ratios adds up, so TOTAL and labels come from these few sums.
+    sums = _named(valued).groupBy("order_date", "category_slug", "category_label").agg(
+        F.sum(n).alias("nb_order_lines"),
+        F.sum("_items").alias("nb_items_sold"),
+        F.count("product_id").alias("nb_distinct_products"),
+        F.sum((F.col("_items") * unit_price).try_cast(MONEY_TOTAL)).cast(MONEY_TOTAL).alias("revenue"),
+        F.sum(unit_price * n).alias("_price"),
+        F.sum(F.when(unit_price.isNotNull(), n)).alias("_priced"),
+        F.sum(rating * n).alias("_rating"),
+        F.sum(F.when(rating.isNotNull(), n)).alias("_rated"),
+        F.sum(F.when(F.col("is_unmatched"), n).otherwise(F.lit(0))).alias("nb_unmatched_lines"),
+    )
+    added = ("nb_order_lines", "nb_items_sold", "nb_distinct_products", "nb_unmatched_lines")
     return with_total(
-        _named(valued), "order_date", "category_slug",
+        sums, "order_date", "category_slug",
         [
-            F.sum(n).alias("nb_order_lines"),
-            F.sum("_items").alias("nb_items_sold"),
-            F.count("product_id").alias("nb_distinct_products"),
-            F.sum((F.col("_items") * unit_price).try_cast(MONEY_TOTAL)).cast(MONEY_TOTAL)
-            .alias("revenue"),
-            X.ratio(F.sum(unit_price * n), F.sum(F.when(unit_price.isNotNull(), n)), 10, 2)
-            .alias("avg_unit_price"),
-            X.ratio(F.sum(rating * n), F.sum(F.when(rating.isNotNull(), n)), 4, 3)
-            .alias("avg_rating_sold"),
-            F.coalesce(F.sum(F.when(F.col("is_unmatched"), n)), F.lit(0)).alias("nb_unmatched_lines"),
+            *[F.sum(c).alias(c) for c in added],
+            F.sum("revenue").cast(MONEY_TOTAL).alias("revenue"),
+            X.ratio(F.sum("_price"), F.sum("_priced"), 10, 2).alias("avg_unit_price"),
+            X.ratio(F.sum("_rating"), F.sum("_rated"), 4, 3).alias("avg_rating_sold"),
         ],
-        labels=category_labels(products, "category_slug", "category_label"),
-        total_label=K.ALL_SALES_LABEL, missing_label=K.UNMATCHED_LABEL,
+        label=F.coalesce(F.max("category_label"), F.lit(K.UNMATCHED_LABEL)),
+        total_label=K.ALL_SALES_LABEL,
     )
 
 
