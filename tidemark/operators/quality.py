@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -108,10 +108,10 @@ def reconcile(
     return sides.select(F.inline(F.array(_line(name, HARD, gap.cast("double") <= allowed, *text))))
 
 
-def absent(df: DataFrame, name: str) -> DataFrame:
+def absent(spark: SparkSession, name: str) -> DataFrame:
     """Report line for a table that does not exist."""
     line = _line(name, HARD, F.lit(False), F.lit("table absent"))
-    return df.sparkSession.range(1).select(F.inline(F.array(line)))
+    return spark.range(1).select(F.inline(F.array(line)))
 
 
 def report(*parts: DataFrame) -> DataFrame:
