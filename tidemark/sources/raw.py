@@ -42,8 +42,9 @@ def read_raw(
     """Permissive scan with a fixed schema; unreadable input lands in `_corrupt_record`.
 
     Each object is one JSON array. `per_element` rejects only the array elements that do not fit
-    the schema; otherwise one bad element marks every row of its file. The object's path comes
-    along as `_source_file`.
+    the schema; otherwise one bad element marks every row of its file, and as Spark then skips
+    fields a query does not use, only fields in use are checked. The object's path comes along
+    as `_source_file`.
     """
     schema = domain_schema(domain)
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
