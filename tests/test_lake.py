@@ -175,6 +175,8 @@ def test_inventory(spark, lake):
     found = R.raw_inventory(spark, lake.raw).where("domain = 'users'").orderBy("ingest_date").collect()
     assert [str(r["ingest_date"]) for r in found] == DAYS
     assert all(r["n_objects"] == 1 and r["n_bytes"] > 100 for r in found)
+    span = R.inventory_span(R.raw_inventory(spark, lake.raw)).where("domain = 'carts'").first()
+    assert (span["n_days"], str(span["first_day"]), str(span["last_day"])) == (3, DAYS[0], DAYS[2])
 
 
 def test_partition_overwrite_is_idempotent_and_local(spark, tmp_path):

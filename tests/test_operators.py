@@ -7,8 +7,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark.operators import quality as Q
 from tidemark.operators import (
-    as_of, calendar_fill, coverage, day_range, dedup_latest, explode_lines, flatten, lagged,
+    as_of, calendar_fill, coverage, day_range, dedup_latest, explode_lines, flatten, history_window, lagged,
     latest_state, merge_schema, missing_days, missing_domains, moving, moving_days,
     ntile_distributed, ntile_scores, pending, replicate_and_thin, retention, running_in_month,
     salted_left_join, sessions, silences, snapshot_history, temporal_snapshot_join, top1_by,
@@ -189,6 +190,12 @@ def test_coverage_and_missing(spark):
     assert rows(missing_days(landed, calendar, "domain", "d")) == [
         ("p", D(2024, 1, 3)), ("u", D(2024, 1, 2)), ("u", D(2024, 1, 3)), ("u", D(2024, 1, 4))
     ]
+    check = Q.coverage_check(coverage(landed, calendar, "domain", "d"), "landed").first()
+    assert (check["passed"], check["detail"]) == (False, "lowest coverage 0.2500")
+    assert Q.coverage_check(coverage(landed, calendar, "domain", "d"), "landed", 0.25).first()["passed"]
+    assert not Q.coverage_check(coverage(landed.limit(0), calendar, "domain", "d"), "landed").first()["passed"]
+    window = history_window(spark, "2024-06-30").agg(F.min("date_key"), F.count("*")).first()
+    assert tuple(window) == (D(2024, 1, 3), 180)
     last = calendar.where("d = '2024-01-04'")
     assert rows(missing_domains(landed, "domain", "d", ["p", "u", "carts"], last)) == [
         (D(2024, 1, 4), "carts"), (D(2024, 1, 4), "u")

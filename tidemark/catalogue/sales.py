@@ -264,6 +264,13 @@ def v_daily_sales(spark, sf):
     return A.daily_sales_view(daily_sales(spark, sf))
 
 
+@query(with_fx(ALL, DAILY + f"""
+SELECT order_date, nb_orders, nb_items_sold, revenue, avg_order_value, revenue_ma7, revenue_wow_pct
+FROM daily WHERE category_slug = '{K.TOTAL_SLUG}' ORDER BY order_date DESC LIMIT 7"""))
+def last_total_sales(spark, sf):
+    return A.total_sales(daily_sales(spark, sf))
+
+
 SOLD = """
 , sold AS (
     SELECT o.*, p.unit_price, p.category_label, p.title, c.full_name, c.city

@@ -1,6 +1,8 @@
 """DataFrame-in, DataFrame-out operators shared by every layer."""
 
-from .calendar import calendar_attributes, calendar_fill, calendar_of, day_range
+from .calendar import (
+    calendar_attributes, calendar_fill, calendar_of, day_range, days_of, history_window,
+)
 from .dedup import dedup_latest, latest_state, top1_by
 from .gaps import sessions, silences
 from .incremental import anchor, coverage, missing_days, missing_domains, pending
@@ -16,7 +18,8 @@ from .versions import (
 
 __all__ = [
     "Rule", "anchor", "apply_rules", "as_of", "calendar_attributes", "calendar_fill", "calendar_of",
-    "coverage", "day_range", "dedup_latest", "explode_lines", "flatten", "lagged",
+    "coverage", "day_range", "days_of", "dedup_latest", "explode_lines", "flatten",
+    "history_window", "lagged",
     "latest_partition", "latest_state", "merge_schema", "missing_days", "missing_domains",
     "moving", "moving_days", "ntile_distributed", "ntile_scores", "pending", "reject_breakdown",
     "replicate_and_thin", "retention", "route", "running_in_month", "salted_left_join", "sessions",

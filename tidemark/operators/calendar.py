@@ -21,6 +21,14 @@ def day_range(spark: SparkSession, first: str, last: str, name: str = "date_key"
     return spark.range(1).select(_each_day(low, high).alias(name))
 
 
+def history_window(
+    spark: SparkSession, last: str, days: int = HISTORY_DAYS, name: str = "date_key"
+) -> DataFrame:
+    """One row per day of the history window that ends on an ISO date."""
+    high = F.lit(last).cast("date")
+    return spark.range(1).select(_each_day(F.date_sub(high, days - 1), high).alias(name))
+
+
 def days_of(df: DataFrame, day: str, name: str = "date_key") -> DataFrame:
     """One row per day from the first to the last day found in the data."""
     bounds = df.agg(F.min(day).alias("low"), F.max(day).alias("high")).where("low is not null")

@@ -87,6 +87,16 @@ def grain_check(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     return found.select(F.inline(F.array(line)))
 
 
+def coverage_check(
+    rates: DataFrame, name: str, target: float = K.COVERAGE_TARGET, rate: str = "coverage_rate"
+) -> DataFrame:
+    """The least covered source must reach the target; no source at all fails."""
+    lowest = rates.agg(F.min(rate).alias("_rate"))
+    line = _line(name, HARD, F.col("_rate") >= F.lit(target),
+                 F.lit("lowest coverage "), F.coalesce(F.col("_rate").cast("string"), F.lit("none")))
+    return lowest.select(F.inline(F.array(line)))
+
+
 def orphan_lines(facts: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Facts without a dimension row."""
     return facts.join(dim.select(*on), list(on), "left_anti")

@@ -41,6 +41,14 @@ def total_series(kpi: DataFrame, n: int = 30) -> DataFrame:
     ).orderBy(F.col("snapshot_date").desc()).limit(n)
 
 
+def total_sales(sales: DataFrame, n: int = 7) -> DataFrame:
+    """Newest TOTAL rows of the daily sales."""
+    return sales.where(F.col("category_slug") == K.TOTAL_SLUG).select(
+        "order_date", "nb_orders", "nb_items_sold", "revenue", "avg_order_value", "revenue_ma7",
+        "revenue_wow_pct",
+    ).orderBy(F.col("order_date").desc()).limit(n)
+
+
 def sold_lines(
     lines: DataFrame, products: DataFrame, customers: DataFrame,
     price_date: str = "order_date", customer_date: str | None = "snapshot_date",

@@ -94,3 +94,12 @@ def raw_inventory(spark: SparkSession, root: str) -> DataFrame:
     return found.where(F.col("ingest_date").isNotNull()).groupBy("domain", "ingest_date").agg(
         F.count("*").alias("n_objects"), F.sum("length").alias("n_bytes")
     )
+
+
+def inventory_span(inventory: DataFrame) -> DataFrame:
+    """Landed days of each domain: how many, first and last."""
+    return inventory.groupBy("domain").agg(
+        F.count_distinct("ingest_date").alias("n_days"),
+        F.min("ingest_date").alias("first_day"),
+        F.max("ingest_date").alias("last_day"),
+    )
