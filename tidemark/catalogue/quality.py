@@ -79,7 +79,8 @@ def quality_report(spark, sf):
     return Q.report(
         Q.row_checks(products, [
             Q.Violation("products.price_positive", Q.HARD, F.col("unit_price") <= 0, "price(s) <= 0"),
-            Q.Violation("products.complete", Q.SOFT, ~F.col("is_complete"), "incomplete record(s)"),
+            Q.Violation("products.complete", Q.SOFT, ~F.coalesce("is_complete", F.lit(False)),
+                        "incomplete record(s)"),
         ], non_empty="products.not_empty", depth=("history.depth", "snapshot_date", EXPECTED_MONTHS)),
         Q.row_checks(customers(spark, sf), non_empty="customers.not_empty"),
         Q.grain_check(products, "products.grain", ["product_id", "snapshot_date"]),

@@ -21,14 +21,18 @@ def record_hash(df: DataFrame, exclude: Iterable[str] = ()) -> Column:
     return F.sha2(F.to_json(F.struct(*kept)), 256)
 
 
+def padded(value: Column, width: int) -> Column:
+    """Zero-padded text, never truncated."""
+    text = value.cast("string")
+    return F.when(F.length(text) > width, text).otherwise(F.lpad(text, width, "0"))
+
+
 def business_key(prefix: str, day: Column, *parts: Column | tuple[Column, int]) -> Column:
     """`prefix-yyyyMMdd-part-…`; a (column, width) part is zero-padded, never truncated."""
     pieces = [F.lit(prefix), F.date_format(day, "yyyyMMdd")]
     for part in parts:
         if isinstance(part, tuple):
-            text, width = part[0].cast("string"), part[1]
-            padded = F.lpad(text, width, "0")
-            pieces.append(F.when(F.length(text) > width, text).otherwise(padded))
+            pieces.append(padded(*part))
         else:
             pieces.append(part.cast("string"))
     return F.concat_ws("-", *pieces)

@@ -63,15 +63,14 @@ def run_bronze(
 
 def _silver_days(
     source: DataFrame, target: DataFrame | None, target_day: str, mode: str,
-    dates: Sequence[str], limit: int | None, stamp: str | None,
+    dates: Sequence[str], limit: int | None,
 ) -> list[str]:
-    up, done, at = source, target, None
+    """Days with valid records that are not conformed yet, or were landed again since."""
+    done = target
     if target is not None:
-        done = target.withColumnRenamed(target_day, "_ingest_date")
-        if stamp:
-            done, at = done.withColumnRenamed(stamp, "_ingest_ts"), "_ingest_ts"
-    valid = up.where(F.col("_is_valid"))
-    return _listed(pending(valid, done, "_ingest_date", mode, dates, limit, at))
+        done = target.withColumnsRenamed({target_day: "_ingest_date", "silver_ts": "_bronze_ts"})
+    valid = source.where(F.col("_is_valid"))
+    return _listed(pending(valid, done, "_ingest_date", mode, dates, limit, "_bronze_ts"))
 
 
 def run_silver(
@@ -88,8 +87,7 @@ def run_silver(
     table = SILVER_TABLES[domain]
     target = lake.find(spark, "silver", table)
     day = "order_date" if domain == "carts" else "snapshot_date"
-    stamp = None if domain == "carts" else "source_ingest_ts"
-    days = _silver_days(source, target, day, mode, dates, limit, stamp)
+    days = _silver_days(source, target, day, mode, dates, limit)
     if not days:
         return []
     model = {"reconstruct": settings.synthetic_history, "seed": settings.seed}
@@ -153,7 +151,8 @@ def quality_report(spark: SparkSession, lake: Lake, expected_days: int) -> DataF
         check("silver", table, lambda df, t=table, k=keys: Q.grain_check(df, f"{t}.unique_grain", k))
     check("silver", SILVER_TABLES["products"], lambda df: Q.row_checks(df, [
         Q.Violation("silver.products.price_positive", Q.HARD, F.col("unit_price") <= 0, "price(s) <= 0"),
-        Q.Violation("silver.products.complete", Q.SOFT, ~F.col("is_complete"), "incomplete record(s)"),
+        Q.Violation("silver.products.complete", Q.SOFT, ~F.coalesce("is_complete", F.lit(False)),
+                    "incomplete record(s)"),
     ], depth=("history.depth", "snapshot_date", expected_days)))
     sales = lake.find(spark, "gold", GOLD_TABLES["sales_daily"])
     customers = lake.find(spark, "gold", GOLD_TABLES["customer_360"])

@@ -142,17 +142,18 @@ def fct_order_items(
         "order_ts": X.order_time(
             F.col("order_date"), uniform(order, "hour"), uniform(order, "minute")
         ),
+        "order_id": X.business_key(
+            "ORD", F.col("order_date"), (F.col("template_cart_id"), 3), F.col("template_replica")
+        ),
     })
     lines = explode_lines(orders, "_lines").withColumnsRenamed(
         {"productId": "product_id", "quantity": "quantity_source"}
     )
     line = F.concat_ws(":", order, F.col("product_id").cast("string"))
     drawn = F.round(F.col("quantity_source") * (F.lit(0.7) + F.lit(0.6) * uniform(line, "qty")))
-    parts = [(F.col("template_cart_id"), 3), F.col("template_replica")]
     return lines.select(
-        X.business_key("ORD", F.col("order_date"), *parts).alias("order_id"),
-        X.business_key("ORD", F.col("order_date"), *parts, (F.col("product_id"), 3))
-        .alias("order_line_id"),
+        "order_id",
+        F.concat_ws("-", "order_id", X.padded(F.col("product_id"), 3)).alias("order_line_id"),
         F.col("order_date").alias("snapshot_date"),
         "order_date", "order_ts", "customer_id", "product_id",
         F.greatest(F.lit(1), drawn.cast("int")).alias("quantity"),
