@@ -151,6 +151,7 @@ def test_incremental_days_equal_a_full_run(spark, tmp_path):
 def test_only_the_broken_element_is_rejected(spark, tmp_path):
     land(tmp_path, "products", DAYS[0], [product(1), product(2, "n/a"), product(3, None), product(4)])
     land(tmp_path, "products", DAYS[1], "<html>not json</html>")
+    land(tmp_path, "products", DAYS[1], "[]", token="ee")
     lake = Lake(str(tmp_path))
     seen = jobs.run_bronze(spark, lake, "products")
     assert (seen["total"], seen["invalid"], seen[K.REASON_UNREADABLE], seen[K.REASON_NO_PRICE]) == (5, 3, 2, 1)

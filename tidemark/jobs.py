@@ -190,6 +190,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     compact.add_argument("--target-file-size-mb", type=int, default=64)
     for job in jobs.choices.values():
         job.add_argument("--lake", required=True, help="root folder of the lake")
+        job.add_argument("--shuffle-partitions", type=int, default=0,
+                         help="about the bytes of the largest shuffle divided by 200 MB")
     return parser.parse_args(argv)
 
 
@@ -221,7 +223,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def main(argv: Sequence[str] | None = None) -> int:
     args = _arguments(argv)
-    spark = build_session(f"tidemark-{args.job}")
+    spark = build_session(
+        f"tidemark-{args.job}", shuffle_partitions=args.shuffle_partitions or None
+    )
     try:
         return run(spark, args)
     finally:

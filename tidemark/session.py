@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(app: str, master: str | None = None, **conf) -> SparkSession:
+def build_session(
+    app: str, master: str | None = None, shuffle_partitions: int | None = None, **conf
+) -> SparkSession:
+    """Session with the settings the jobs expect.
+
+    `shuffle_partitions` is where adaptive execution starts joining small partitions: choose it
+    for the largest shuffle, about its bytes divided by 200 MB.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -20,6 +27,10 @@ def build_session(app: str, master: str | None = None, **conf) -> SparkSession:
         .config("spark.sql.parquet.compression.codec", "zstd")
         .config("spark.ui.enabled", "false")
     )
+    if shuffle_partitions:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffle_partitions
+        )
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

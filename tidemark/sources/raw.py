@@ -57,10 +57,9 @@ def read_raw(
     objects = spark.read.text(paths, wholetext=True).select(
         F.col("value").alias("_object"), F.col("_metadata.file_path").alias("_source_file")
     )
-    elements = objects.select(
-        "_source_file", "_object",
-        F.explode_outer(F.from_json("_object", "array<string>")).alias("_element"),
-    ).select("_source_file", F.coalesce("_element", "_object").alias("_element"))
+    # An object that is no array is kept as its only element.
+    listed = F.coalesce(F.from_json("_object", "array<string>"), F.array("_object"))
+    elements = objects.select("_source_file", F.explode(listed).alias("_element"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = elements.select(
         "_source_file", F.from_json("_element", with_corrupt, options).alias("_row")
