@@ -26,6 +26,8 @@ def build_session(
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.parquet.compression.codec", "zstd")
         .config("spark.ui.enabled", "false")
+        # Recording a Python call site per column doubles the time to build a large plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if shuffle_partitions:
         builder = builder.config(
