@@ -15,15 +15,19 @@ from ..operators import (
 from ..session import materialise
 
 
-def catalog_kpi(products: DataFrame) -> DataFrame:
-    """Day x category with a TOTAL row: price level, ratings, reviews and completeness."""
+def catalog_kpi(products: DataFrame, accuracy: int = 10000) -> DataFrame:
+    """Day x category with a TOTAL row: price level, ratings, reviews and completeness.
+
+    The median is a sketch of bounded size: its rank is off by about 1/`accuracy` of the rows,
+    so small groups get their exact median.
+    """
     price, reviews = F.col("unit_price"), F.col("review_count")
     kpi = with_total(
         products, "snapshot_date", "category_slug",
         [
             F.count("*").alias("nb_products"),
             X.mean(price, 10, 2).alias("avg_unit_price"),
-            F.percentile_approx(price, 0.5).cast("decimal(10,2)").alias("median_unit_price"),
+            F.percentile_approx(price, 0.5, accuracy).cast("decimal(10,2)").alias("median_unit_price"),
             F.min(price).cast("decimal(10,2)").alias("min_unit_price"),
             F.max(price).cast("decimal(10,2)").alias("max_unit_price"),
             F.sum(price).cast(MONEY_TOTAL).alias("catalog_value"),
