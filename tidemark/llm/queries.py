@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content_sort, mixing, warc
+from . import chat, content_sort, jaccard, mixing, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -90,3 +90,24 @@ def op4_prefix_target_chat(spark: SparkSession, sf: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
     return chat.read_back(chat.prefix_examples(rows.unionByName(extra)))
+
+
+@query(r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(lower(coalesce(text, '')),
+        '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+        THEN [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE k * 5 >= 4 * (a.c + b.c - k)
+      UNION SELECT a.doc_id, b.doc_id FROM d a JOIN d b ON a.t = b.t AND a.doc_id <> b.doc_id),
+r AS (SELECT doc_id, doc_id AS z FROM d UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.z)
+SELECT doc_id, (SELECT min(z) FROM r WHERE r.doc_id = d.doc_id) AS class_id,
+       (SELECT count(*) FROM l WHERE l.x = d.doc_id) AS n_links,
+       min(doc_id) OVER (PARTITION BY t) AS copy_id, count(*) OVER (PARTITION BY t) AS n_copies
+FROM d""")
+def op9_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "copy_id", "n_copies")
