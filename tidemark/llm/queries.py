@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content_sort, jaccard, mixing, warc
+from . import chat, content_sort, decontaminate, jaccard, mixing, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -111,3 +111,9 @@ FROM d""")
 def op9_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     found = jaccard.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", "class_id", "n_links", "copy_id", "n_copies")
+
+
+@query()
+def op8_spaced_seed_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """One row for each document and benchmark item that share a passage."""
+    return decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
