@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content_sort, decontaminate, jaccard, mixing, warc
+from . import chat, content_sort, decontaminate, jaccard, mixing, pitman_yor, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -117,3 +117,8 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 def op8_spaced_seed_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """One row for each document and benchmark item that share a passage."""
     return decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query()
+def op10_pitman_yor_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return pitman_yor.score_texts(table(spark, sf, "documents"))
