@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content_sort, decontaminate, jaccard, mixing, pitman_yor, warc
+from . import chat, content_sort, decontaminate, jaccard, mixing, nbsvm, pitman_yor, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -122,3 +122,9 @@ def op8_spaced_seed_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op10_pitman_yor_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return pitman_yor.score_texts(table(spark, sf, "documents"))
+
+
+@query()
+def op6_nbsvm_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return nbsvm.score_quality(docs, nbsvm.train(docs, table(spark, sf, "labels")))

@@ -63,13 +63,15 @@ def _cut(data: np.ndarray, lo: int, offsets: np.ndarray, sep: np.ndarray) -> int
     return len(data)
 
 
-def word_hashes(texts: pa.Array, sep: np.ndarray = SPACE, lower: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, sep: np.ndarray = SPACE, lower: np.ndarray | None = None,
+                classes: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Hashes of all words of a column in order, and the number of words of each text.
 
-    The hash of a word is the value of its bytes as a polynomial modulo 2**64, spread evenly.
+    The hash of a word is the value of its bytes as a polynomial modulo 2**64, spread evenly. With `classes`, a byte's
+    class bits (0 for separators), also the union of the bits of each word's bytes.
     """
     data, offsets = utf8(texts)
-    hashes, starts_all = [], []
+    hashes, starts_all, bits = [], [], []
     at = 0
     while at < len(data):
         end = _cut(data, at, offsets, sep)
@@ -90,11 +92,15 @@ def word_hashes(texts: pa.Array, sep: np.ndarray = SPACE, lower: np.ndarray | No
             hashes.append(mix64((total[ends] - total[starts]) * _power(_INVERSE, len(part) + 1)[starts]
                                 + (ends - starts).astype(np.uint64)))
             starts_all.append(starts + at)
+            if classes is not None:
+                bits.append(np.bitwise_or.reduceat(classes[data[at:end]], starts))
         at = end
     if not hashes:
-        return np.empty(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
+        found = np.empty(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
+        return found if classes is None else (*found, np.empty(0, np.uint8))
     counts = np.diff(np.searchsorted(np.concatenate(starts_all), offsets))
-    return np.concatenate(hashes), counts
+    found = np.concatenate(hashes), counts
+    return found if classes is None else (*found, np.concatenate(bits))
 
 
 def shingles(words: np.ndarray, counts: np.ndarray, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
