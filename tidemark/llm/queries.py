@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content_sort, decontaminate, jaccard, mixing, nbsvm, pitman_yor, warc
+from . import chat, content_sort, decontaminate, html_tree, jaccard, mixing, nbsvm, pitman_yor, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -128,3 +128,8 @@ def op10_pitman_yor_scoring(spark: SparkSession, sf: str) -> DataFrame:
 def op6_nbsvm_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return nbsvm.score_quality(docs, nbsvm.train(docs, table(spark, sf, "labels")))
+
+
+@query()
+def op5_tree_scoring_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_tree.extract(table(spark, sf, "pages"))
