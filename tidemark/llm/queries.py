@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content_sort, decontaminate, html_tree, jaccard, mixing, nbsvm, pitman_yor, warc
+from . import chat, content_sort, decontaminate, html_tree, jaccard, mixing, nbsvm, pitman_yor, token_coder, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -133,3 +133,11 @@ def op6_nbsvm_quality(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op5_tree_scoring_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return html_tree.extract(table(spark, sf, "pages"))
+
+
+@query()
+def op7_context_mixing_ids(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = str(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_coder.write_and_read(table(spark, sf, "documents"), tokenizer, end_id=2)
