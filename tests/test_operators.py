@@ -193,6 +193,10 @@ def test_coverage_and_missing(spark):
     check = Q.coverage_check(coverage(landed, calendar, "domain", "d"), "landed").first()
     assert (check["passed"], check["detail"]) == (False, "lowest coverage 0.2500")
     assert Q.coverage_check(coverage(landed, calendar, "domain", "d"), "landed", 0.25).first()["passed"]
+    required = coverage(landed, calendar, "domain", "d", ["p", "carts"])
+    assert rows(required.select("domain", "n_landed")) == [("carts", 0), ("p", 3)]
+    outside = coverage(landed.where("d < '2024-01-01'"), calendar, "domain", "d")
+    assert rows(outside.select("domain", "n_landed")) == [("u", 0)]
     assert not Q.coverage_check(coverage(landed.limit(0), calendar, "domain", "d"), "landed").first()["passed"]
     window = history_window(spark, "2024-06-30").agg(F.min("date_key"), F.count("*")).first()
     assert tuple(window) == (D(2024, 1, 3), 180)

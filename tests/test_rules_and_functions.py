@@ -120,6 +120,18 @@ def test_murmur_uniform_has_the_published_steps(spark):
     assert got == pytest.approx(float(expected))
 
 
+def test_picks_reach_beyond_the_published_steps(spark):
+    key, day = F.col("id"), F.lit("2024-01-01")
+    for method in ("murmur3", "md5"):
+        found = spark.range(400_000).select(X.hash_pick(key, day, "cust", 1_000_000, method=method).alias("b"))
+        low, high, distinct = found.agg(F.min("b"), F.max("b"), F.count_distinct("b")).first()
+        assert 1 <= low and high <= 1_000_000
+        assert abs(distinct / (1_000_000 * (1 - 2.718281828 ** -0.4)) - 1) < 0.01
+    # Among ten the choices are the published ones.
+    published = X.hash_bucket(X.hash_uniform(key, day, "cust"), 10)
+    assert spark.range(5000).where(X.hash_pick(key, day, "cust", 10) != published).count() == 0
+
+
 def test_hash_bucket_reaches_every_bucket(spark):
     u = X.hash_uniform(F.col("id"), F.lit("2024-01-01"), "cust")
     found = spark.range(5000).select(X.hash_bucket(u, 10).alias("b")).groupBy("b").count().collect()

@@ -58,7 +58,7 @@ def test_land_routes_deduplicates_and_resumes(spark, tmp_path):
     assert spark.read.json(f"{base}/ok").count() == 2 and spark.read.json(f"{base}/dead").count() == 3
 
 
-def test_rows_later_than_the_time_to_live_are_dropped_and_keys_expire(spark, tmp_path):
+def test_late_events_land_and_keys_age_by_arrival(spark, tmp_path):
     source, base = tmp_path / "in", tmp_path / "out"
     batches = [
         [response("p", "d1", "2024-03-01T00:00:00Z")],
@@ -69,10 +69,33 @@ def test_rows_later_than_the_time_to_live_are_dropped_and_keys_expire(spark, tmp
         write(source, f"{n}.json", batch)
         drain(spark, source, base)
     found = rows(spark.read.json(f"{base}/ok").select(F.col("ingest_date").cast("string")))
-    # d3 came more than a day late; d1's key had expired, so it lands again.
-    assert found == [("d1",), ("d1",), ("d2",)]
+    # d3's event lies days behind, but its key is new; d1 arrived moments ago, so it is a duplicate.
+    assert found == [("d1",), ("d2",), ("d3",)]
 
 
+def test_late_arrivals_are_counted(spark):
+    at = dt.datetime(2024, 3, 5)
+    df = spark.createDataFrame([("p", at, at), ("p", at - dt.timedelta(days=2), at), ("u", at - dt.timedelta(hours=5), at)],
+                               f"domain string, ts timestamp, {L.ARRIVED} timestamp")
+    assert [tuple(r)[:2] for r in L.late_report(df, "ts", ["domain"]).collect()] == [("p", 1)]
+
+
+def test_batch_frames_are_deduplicated_too(spark):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 3, 5)), (1, dt.datetime(2020, 1, 1)), (2, None)], "k int, ts timestamp")
+    assert L.dedup_stream(df, ["k"], "ts").count() == 2
+
+
+def test_refused_rows_are_tried_again_until_the_limit(spark, tmp_path):
+    source, base = tmp_path / "in", tmp_path / "out"
+    write(source, "a.json", [dict(response("p", "2024-03-01", "2024-03-01T08:00:00Z", status=500), attempts=n)
+                             for n in (0, 2, 3)])
+    df = L.read_stream(spark, str(source), RESPONSES + ", attempts int")
+    for query in L.land(df, accepted(), ["domain"], "ts", f"{base}/ok", f"{base}/dead", f"{base}/c",
+                        retry_path=f"{base}/retry"):
+        query.awaitTermination()
+    assert rows(spark.read.json(f"{base}/retry").select("attempts")) == [(1,), (3,)]
+    assert rows(spark.read.json(f"{base}/dead").select("attempts")) == [(4,)]
+
 def test_requests_are_parsed_and_split(spark):
     body = json.dumps({"snapshot_date": "2024-03-01", "domains": ["products", " users2 "], "run_id": "r"})
     df = spark.createDataFrame([(body,), ("{broken",)], "body string")

@@ -1,6 +1,8 @@
 """Registered queries, each beside the SQL that must give the same rows."""
 
-from . import catalog, customers, functions, landing, lines, quality, raw_zone, sales, versions  # noqa: F401
+from . import (  # noqa: F401
+    catalog, customers, functions, landing, lines, operations, quality, raw_zone, sales, versions,
+)
 from .core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -217,6 +217,13 @@ def md5_uniform(key: str, day: str, salt: str) -> str:
     return f"(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
 
 
+def md5_pick(key: str, day: str, salt: str, buckets: str) -> str:
+    """One of 1..buckets from 52 bits of the hash."""
+    text = f"concat_ws('|', CAST({key} AS VARCHAR), CAST({day} AS VARCHAR), '{salt}', '{K.HISTORY_SEED}')"
+    uniform = f"(CAST(('0x' || substr(md5({text}), 1, 13)) AS BIGINT) / CAST({2**52} AS DOUBLE))"
+    return f"CAST(floor({uniform} * {buckets}) + 1 AS BIGINT)"
+
+
 def factor_sql(key: str, day: str, anchor: str) -> str:
     last = WINDOW_DAYS - 1
     index = f"CAST(datediff('day', {anchor}, {day}) + {last} AS DOUBLE)"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -9,7 +10,7 @@ from .. import functions as X
 from ..operators import dedup, nested, replicate_and_thin
 from ..operators import quality as Q
 from ..plans import silver as S
-from .catalog import md5_uniform
+from .catalog import md5_pick, md5_uniform
 from .core import query, table
 from .fixtures import customers, month, with_fx
 
@@ -74,6 +75,43 @@ def hash_bucket(spark, sf):
     )
 
 
+PICK = 1_000_000
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, i AS copy,
+       {md5_pick("concat_ws(':', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(i AS VARCHAR))", 'CAST(l_shipdate AS DATE)', 'cust', PICK)} AS picked
+FROM lineitem, (VALUES (1), (2), (3), (4)) AS copies(i)""")
+def hash_pick(spark, sf):
+    key = F.concat_ws(":", "l_orderkey", "l_linenumber", "copy")
+    copies = F.explode(F.array(*[F.lit(i) for i in range(1, 5)])).alias("copy")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", copies)
+    picked = X.hash_pick(key, _ship_day(), "cust", PICK, method="md5")
+    return rows.select("l_orderkey", "l_linenumber", "copy", picked.alias("picked"))
+
+
+@query(f"""
+SELECT CAST(count(*) AS BIGINT) AS n_keys, TRUE AS in_range, TRUE AS as_many_as_drawn,
+       TRUE AS evenly_spread FROM lineitem, (VALUES (1), (2), (3), (4)) AS copies(i)""")
+def hash_pick_shipped(spark, sf):
+    """The shipped method has no SQL; what its choices must be like among a million is known:
+    almost as many distinct ones as independent draws give, alike in all tenths of the range."""
+    key = F.concat_ws(":", "l_orderkey", "l_linenumber", "copy")
+    copies = F.explode(F.array(*[F.lit(i) for i in range(1, 5)])).alias("copy")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", copies)
+    picked = rows.select(X.hash_pick(key, _ship_day(), "cust", PICK).alias("p"))
+    one = picked.groupBy("p").agg(F.count("*").alias("n"))
+    tenth = one.groupBy(F.floor((F.col("p") - 1) / (PICK / 10)).alias("t")).agg(
+        F.sum("n").alias("n"), F.count("*").alias("distinct"), F.min("p").alias("low"), F.max("p").alias("high"))
+    total, distinct = F.sum("n"), F.sum("distinct")
+    drawn = PICK * (1 - F.exp(-total / PICK))
+    spread = F.max("off")
+    off = tenth.withColumn("off", F.abs(F.col("n") * 10 / F.sum("n").over(Window.partitionBy()) - 1))
+    return off.agg(
+        total.cast("bigint").alias("n_keys"), ((F.min("low") >= 1) & (F.max("high") <= PICK)).alias("in_range"),
+        (F.abs(distinct / drawn - 1) < 0.01).alias("as_many_as_drawn"), (spread < 0.1).alias("evenly_spread"))
+
+
 @query("""
 SELECT o_orderkey,
        concat_ws('-', 'ORD', strftime(o_orderdate, '%Y%m%d'),
@@ -181,7 +219,7 @@ SELECT concat_ws('-', 'ORD', strftime(order_date, '%Y%m%d'), {PAD.format(c='cart
        CAST(order_date AS TIMESTAMP) + to_hours(CAST({K.ORDER_FIRST_HOUR} + floor({_u(ORDER, 'hour')} * {K.ORDER_HOURS}) AS INT))
          + to_minutes(CAST(floor({_u(ORDER, 'minute')} * 60) AS INT)) AS order_ts,
        CASE WHEN replica = 0 THEN l_suppkey
-            ELSE CAST(floor({_u(ORDER, 'cust')} * (SELECT count(*) FROM customer)) + 1 AS BIGINT) END AS customer_id,
+            ELSE {md5_pick(ORDER, 'order_date', 'cust', '(SELECT count(*) FROM customer)')} END AS customer_id,
        CAST(product_id AS BIGINT) AS product_id,
        greatest(1, CAST(round(quantity_source * (CAST(0.7 AS DOUBLE) + CAST(0.6 AS DOUBLE) * {_u(LINE, 'qty')})) AS INT)) AS quantity,
        CAST(quantity_source AS INT) AS quantity_source, cart AS template_cart_id,

@@ -54,6 +54,26 @@ def hash_uniform(
     raise ValueError(f"unknown hash method {method!r}")
 
 
+def hash_pick(
+    key: Column, day: Column, salt: str, buckets: int | Column, seed: int = HISTORY_SEED,
+    method: str = "murmur3",
+) -> Column:
+    """Repeatable, evenly spread choice of one of 1..buckets, for any number of buckets.
+
+    `murmur3` refines each of the 100,000 published steps by the 64-bit hash of the same text, so
+    choices among a divisor of 100,000 are the published ones and no bucket is out of reach;
+    `md5` uses 52 bits and can be recomputed by any SQL engine.
+    """
+    text = F.concat_ws("|", key.cast("string"), day.cast("string"), F.lit(salt), F.lit(str(seed)))
+    if method == "md5":
+        uniform = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") / F.lit(float(2**52))
+    else:
+        step = hash_uniform(key, day, salt, seed, method) * F.lit(100000.0)
+        part = F.shiftrightunsigned(F.xxhash64(text), 29) / F.lit(float(2**35))
+        uniform = (F.round(step) + part) / F.lit(100000.0)
+    return F.least(hash_bucket(uniform, buckets), buckets if isinstance(buckets, Column) else F.lit(buckets))
+
+
 def hash_bucket(uniform: Column, buckets: int | Column) -> Column:
     """Evenly spread bucket number 1..buckets."""
     n = buckets if isinstance(buckets, Column) else F.lit(buckets)

@@ -6,18 +6,19 @@ import argparse
 import sys
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import constants as K
 from .config import BRONZE_TABLES, DOMAINS, GOLD_TABLES, SILVER_TABLES, Lake, Settings
-from .operators import pending
+from .operators import coverage, missing_domains, pending
 from .operators import quality as Q
 from .plans import bronze as B
 from .plans import gold as G
 from .plans import silver as S
-from .session import build_session
+from .session import build_session, drop_scratch, materialise
 from .sources import raw as R
 from .sources import tables as T
 
@@ -25,14 +26,24 @@ MODES = ("incremental", "full", "explicit")
 
 
 def landed_days(spark: SparkSession, lake: Lake, domain: str) -> DataFrame | None:
-    """Day and call instant of every raw object, from its name alone."""
-    try:
-        files = R.objects(spark, f"{lake.raw}/{domain}")
-    except AnalysisException as err:
-        if err.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return R.provenance(files, F.col("path")).select("_ingest_date", "_ingest_ts")
+    """Day, call instant and origin of every raw object, from its name or key alone.
+
+    A name without a day, or with another one than its folder's, stops the run.
+    """
+    found = []
+    for origin, root in (("object", f"{lake.raw}/{domain}"), ("landed", R.landed_root(lake.raw, domain))):
+        if not R.present(spark, root):
+            continue
+        if origin == "object":
+            traced = R.provenance(R.objects(spark, root), F.col("path"))
+            wrong = [r["path"] for r in R.misnamed(traced).select("path").limit(5).collect()]
+            if wrong:
+                raise ValueError(f"objects whose name does not fit their day folder: {wrong}")
+        else:
+            keys = spark.read.schema(R.LANDED_FIELDS).option("recursiveFileLookup", True).json(root)
+            traced = R.provenance(keys, F.col("object_key"))
+        found.append(traced.select("_ingest_date", "_ingest_ts", F.lit(origin).alias("origin")))
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def _listed(days: DataFrame) -> list[str]:
@@ -40,6 +51,23 @@ def _listed(days: DataFrame) -> list[str]:
     return [str(row[0]) for row in days.collect()]
 
 
+def _raw_rows(spark: SparkSession, lake: Lake, domain: str, days: list[str], landed: DataFrame) -> DataFrame:
+    """Records of the days, from the origins that have them; listed days nobody has are asked for
+    as objects, so that an explicit wrong day fails."""
+    have = {(r["origin"], str(r["_ingest_date"]))
+            for r in landed.select("origin", "_ingest_date").distinct().where(
+                F.col("_ingest_date").isin([F.lit(d).cast("date") for d in days])).collect()}
+    flowed = [d for d in days if ("landed", d) in have]
+    named = [d for d in days if ("object", d) in have or ("landed", d) not in have]
+    parts = []
+    if named:
+        parts.append(R.read_raw(spark, R.input_paths(lake.raw, domain, named), domain))
+    if flowed:
+        root = R.landed_root(lake.raw, domain)
+        parts.append(R.read_landed(spark, [f"{root}/ingest_date={d}" for d in flowed], domain))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_bronze(
     spark: SparkSession, lake: Lake, domain: str, mode: str = "incremental",
     dates: Sequence[str] = (), limit: int | None = None,
@@ -54,7 +82,7 @@ def run_bronze(
     ))
     if not days:
         return {"days": []}
-    rows = R.read_raw(spark, R.input_paths(lake.raw, domain, days), domain)
+    rows = _raw_rows(spark, lake, domain, days, landed)
     batch = f"bronze-{domain}-{uuid.uuid4().hex[:12]}"
     ready, seen = B.observed(B.dated_or_fail(B.bronze(rows, domain, batch)), domain)
     T.overwrite_partitions(ready, lake.path("bronze", table), ["_ingest_date"], ["id"])
@@ -132,9 +160,29 @@ def run_gold(spark: SparkSession, lake: Lake) -> list[str]:
     return [GOLD_TABLES[name] for name in built]
 
 
+def raw_checks(spark: SparkSession, lake: Lake, expected_days: int) -> list[DataFrame]:
+    """Coverage of the window that ends on the newest landed day, and that day's mandatory domains.
+
+    A domain without any object scores 0.
+    """
+    found = {d: landed_days(spark, lake, d) for d in DOMAINS}
+    parts = [f.select(F.lit(d).alias("domain"), "_ingest_date") for d, f in found.items() if f is not None]
+    empty = spark.createDataFrame([], "domain string, _ingest_date date")
+    landed = materialise(reduce(DataFrame.unionByName, parts, empty).distinct(), "landed-days")
+    newest = landed.agg(F.max("_ingest_date").alias("d")).select("d")
+    window = newest.where("d IS NOT NULL").select(
+        F.explode(F.sequence(F.date_sub("d", expected_days - 1), "d")).alias("_ingest_date"))
+    rates = coverage(landed, window, "domain", "_ingest_date", DOMAINS)
+    last = newest.where("d IS NOT NULL").select(F.col("d").alias("_ingest_date"))
+    lacking = missing_domains(landed, "domain", "_ingest_date", K.MANDATORY_DOMAINS, last)
+    return [Q.coverage_check(rates, "raw.coverage"),
+            Q.total_check(lacking.agg(F.count("*").alias("n")), "raw.mandatory_domains", Q.HARD, F.col("n"),
+                          "mandatory domain(s) without an object on the newest day")]
+
+
 def quality_report(spark: SparkSession, lake: Lake, expected_days: int) -> DataFrame:
-    """All rules of the lake; a table that is missing fails its rules."""
-    parts = []
+    """All rules of the lake; a table that is missing or empty fails its rules."""
+    parts = raw_checks(spark, lake, expected_days)
 
     def check(layer: str, table: str, rules) -> None:
         found = lake.find(spark, layer, table)
@@ -148,12 +196,15 @@ def quality_report(spark: SparkSession, lake: Lake, expected_days: int) -> DataF
     }
     for domain, keys in grains.items():
         table = SILVER_TABLES[domain]
-        check("silver", table, lambda df, t=table, k=keys: Q.grain_check(df, f"{t}.unique_grain", k))
+        check("silver", table, lambda df, t=table, k=keys: Q.report(
+            Q.grain_check(df, f"{t}.unique_grain", k), Q.row_checks(df, non_empty=f"silver.{t}.not_empty")))
     check("silver", SILVER_TABLES["products"], lambda df: Q.row_checks(df, [
         Q.Violation("silver.products.price_positive", Q.HARD, F.col("unit_price") <= 0, "price(s) <= 0"),
         Q.Violation("silver.products.complete", Q.SOFT, ~F.coalesce("is_complete", F.lit(False)),
                     "incomplete record(s)"),
     ], depth=("history.depth", "snapshot_date", expected_days)))
+    for table in GOLD_TABLES.values():
+        check("gold", table, lambda df, t=table: Q.row_checks(df, non_empty=f"gold.{t}.not_empty"))
     sales = lake.find(spark, "gold", GOLD_TABLES["sales_daily"])
     customers = lake.find(spark, "gold", GOLD_TABLES["customer_360"])
     if sales is not None:
@@ -188,6 +239,12 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     compact.add_argument("--table", required=True)
     compact.add_argument("--partition-by", default="")
     compact.add_argument("--target-file-size-mb", type=int, default=64)
+    expire = jobs.add_parser("expire")
+    expire.add_argument("--layer", required=True)
+    expire.add_argument("--table", required=True)
+    expire.add_argument("--day", default="snapshot_date", help="partition column")
+    expire.add_argument("--retain-days", type=int, default=K.RETAIN_DAYS)
+    expire.add_argument("--retain-last", type=int, default=K.RETAIN_LAST)
     for job in jobs.choices.values():
         job.add_argument("--lake", required=True, help="root folder of the lake")
         job.add_argument("--shuffle-partitions", type=int, default=0,
@@ -212,6 +269,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         keys = [k for k in args.partition_by.split(",") if k]
         target = args.target_file_size_mb * 1024 * 1024
         print(T.compact(spark, lake.path(args.layer, args.table), keys, target_bytes=target))
+    elif args.job == "expire":
+        print(T.expire(spark, lake.path(args.layer, args.table), args.day, args.retain_days, args.retain_last))
     else:
         checks = quality_report(spark, lake, args.expected_days or settings.history_days)
         found = checks.collect()  # one row per rule
@@ -229,6 +288,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     try:
         return run(spark, args)
     finally:
+        drop_scratch(spark)
         spark.stop()
 
 

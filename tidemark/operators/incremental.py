@@ -59,12 +59,23 @@ def missing_days(df: DataFrame, calendar: DataFrame, by: str, day: str) -> DataF
     return _expected(df, calendar, by, day).join(landed, [by, day], "left_anti")
 
 
-def coverage(df: DataFrame, calendar: DataFrame, by: str, day: str) -> DataFrame:
-    """Landed days, expected days and their share per value of `by`."""
-    days = calendar.select(day).distinct()
+def coverage(
+    df: DataFrame, calendar: DataFrame, by: str, day: str, required: Sequence[str] | None = None
+) -> DataFrame:
+    """Landed days, expected days and their share per value of `by`.
+
+    With `required`, exactly these values are reported; one without any landed day scores 0.
+    Without it, every value of the data is reported, those landed outside the calendar with 0.
+    """
+    days = calendar.select(F.col(day).alias("_day")).distinct()
     expected = days.agg(F.count("*").alias("n")).select("n").scalar()
-    landed = df.select(by, day).distinct().join(days, day, "left_semi")
-    return landed.groupBy(by).agg(F.count("*").alias("n_landed")).select(
+    landed = df.select(by, day).distinct().join(days, F.col(day) == F.col("_day"), "left")
+    counted = landed.groupBy(by).agg(F.count("_day").alias("n_landed"))
+    if required is not None:
+        wanted = df.sparkSession.createDataFrame([(v,) for v in required], f"{by} string")
+        counted = wanted.join(counted, by, "left").select(
+            by, F.coalesce("n_landed", F.lit(0)).cast("bigint").alias("n_landed"))
+    return counted.select(
         by, "n_landed", expected.alias("n_expected"),
         ratio(F.col("n_landed").cast("decimal(20,0)"), expected, 9, 4).alias("coverage_rate"),
     )

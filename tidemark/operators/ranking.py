@@ -1,9 +1,9 @@
 """`ntile` over a whole table without sorting it in one task.
 
-Slim rows (ranking, sort key, id) are range-partitioned and sorted; their place in the partition
+Slim rows (sort key, id) are range-partitioned and sorted; their place in the partition
 is written with them, so it stays the same whatever task is repeated afterwards. Per-partition
-counts turn places into ranks, and only the few rows that open a tile are brought back: every
-row's tile then follows from comparing it with those cut rows, without a join.
+counts turn places into ranks, and only the few rows that open a tile are kept, as one array: every
+row's tile is the number of those it has reached, without a join.
 """
 
 from __future__ import annotations
@@ -15,58 +15,59 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-# Sort keys of all rankings share one exact type.
-KEY_TYPE = "decimal(30,8)"
 PLACE_BITS = 33
 
 
 def _sort_key(measure: Column, descending: bool) -> tuple[Column, Column]:
     """NULL sorts first ascending and last descending, as ORDER BY does by default."""
-    known = measure.cast(KEY_TYPE)
-    if descending:
-        return measure.isNull().cast("int"), (-known).cast(KEY_TYPE)
-    return measure.isNotNull().cast("int"), known
-
-
-def _cut_rows(df: DataFrame, id_col: str, rankings: Mapping[str, tuple[Column, bool]], n: int):
-    entries = []
-    for name, (measure, descending) in rankings.items():
-        group, key = _sort_key(measure, descending)
-        entries.append(F.struct(
-            F.lit(name).alias("ranking"), group.alias("grp"), key.alias("sort_key"),
-            F.col(id_col).alias("id"),
-        ))
-    order = ["ranking", "grp", "sort_key", "id"]
-    slim = df.select(F.inline(F.array(*entries)))
+    return (measure.isNull() if descending else measure.isNotNull()).cast("int"), measure
+
+
+def _cuts(df: DataFrame, id_col: str, measure: Column, descending: bool, n: int) -> Column:
+    """The rows that open tiles 2..n, at most n - 1, as one array of (grp, key, id) in their own types."""
+    group, key = _sort_key(measure, descending)
+    slim = df.select(group.alias("grp"), key.alias("key"), F.col(id_col).alias("id"))
+    order = [F.col("grp"), F.col("key").desc() if descending else F.col("key"), F.col("id")]
     placed = materialise(
         slim.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id()),
         "ranking",
     ).withColumn("_block", F.shiftright("_place", PLACE_BITS))
-    blocks = placed.groupBy("ranking", "_block").agg(
-        F.count("*").alias("_n"), F.min("_place").alias("_start")
-    )
-    before = Window.partitionBy("ranking").orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    whole = Window.partitionBy("ranking")
+    blocks = placed.groupBy("_block").agg(F.count("*").alias("_n"), F.min("_place").alias("_start"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per written partition: a few thousand at most, whatever the table size.
     offsets = blocks.select(
-        "ranking", "_block", "_start",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(whole).alias("_total"),
+        "_block", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy()).alias("_total"),
     )
-    # One row per written partition and ranking: a few thousand at most, whatever the table size.
-    ranked = placed.join(F.broadcast(offsets), ["ranking", "_block"]).withColumn(
+    ranked = placed.join(offsets, "_block").withColumn(
         "_rank", F.col("_before") + F.col("_place") - F.col("_start") + 1
     )
+    # Tiles 1..extra have one row more than the others; a row opens a tile when the row before it
+    # lies in another one.
     base, extra = F.expr(f"_total div {n}"), F.col("_total") % n
-    starts = F.transform(
-        F.sequence(F.lit(1), F.lit(n - 1)),
-        lambda t: t * base + F.least(t.cast("bigint"), extra) + 1,
-    )
-    cuts = ranked.where(F.array_contains(starts, F.col("_rank")))
-    # At most n - 1 rows per ranking.
-    return cuts.select(*order).orderBy(*order).collect()
+    wide = extra * (base + 1)
+
+    def opens(rank: Column) -> Column:
+        in_wide = F.when(base + 1 > 0, (rank - 1) % (base + 1) == 0)
+        in_rest = F.when(base > 0, F.try_mod(rank - 1 - wide, base) == 0).otherwise(F.lit(False))
+        return F.when(rank <= wide, in_wide).otherwise(in_rest)
+
+    cuts = ranked.where((F.col("_rank") > 1) & opens(F.col("_rank")))
+    return cuts.agg(F.collect_list(F.struct("grp", "key", "id")).alias("cuts")).select("cuts").scalar()
+
+
+def _reached(measure: Column, descending: bool, id_col: str):
+    """Whether a row stands at or behind the row that opens a tile."""
+    group, key = _sort_key(measure, descending)
+
+    def at_or_behind(cut: Column) -> Column:
+        beyond = key < cut["key"] if descending else key > cut["key"]
+        tied = key.eqNullSafe(cut["key"]) & (F.col(id_col) >= cut["id"])
+        same = (group == cut["grp"]) & (F.coalesce(beyond, F.lit(False)) | tied)
+        return (group > cut["grp"]) | same
+
+    return at_or_behind
 
 
 def ntile_scores(
@@ -74,27 +75,18 @@ def ntile_scores(
 ) -> DataFrame:
     """Adds one `ntile(n)` column per entry of `rankings`: name -> (measure, descending).
 
-    Ties are broken by the unique `id_col`. `df` is read twice; pass a written table.
+    Measures are compared in their own type. Ties are broken by the unique `id_col`. `df` is read
+    once per ranking and once more; pass a written table.
     """
     if n < 2:
         return df.withColumns({name: F.lit(1) for name in rankings})
-    cuts = _cut_rows(df, id_col, rankings, n)
-    id_type = df.schema[id_col].dataType
-    scores = {}
-    for name, (measure, descending) in rankings.items():
-        group, key = _sort_key(measure, descending)
-        score = F.lit(1)
-        for row in cuts:
-            if row["ranking"] != name:
-                continue
-            cut_id = F.lit(row["id"]).cast(id_type)
-            cut_key = F.lit(row["sort_key"]).cast(KEY_TYPE)
-            same_group = group == row["grp"]
-            reached = (group > row["grp"]) | (same_group & F.coalesce(key > cut_key, F.lit(False)))
-            tied = same_group & key.eqNullSafe(cut_key) & (F.col(id_col) >= cut_id)
-            score = score + (reached | tied).cast("int")
-        scores[name] = score
-    return df.withColumns(scores)
+    cuts = {f"_cuts_{name}": _cuts(df, id_col, measure, descending, n)
+            for name, (measure, descending) in rankings.items()}
+    scores = {
+        name: F.size(F.filter(F.col(f"_cuts_{name}"), _reached(measure, descending, id_col))) + 1
+        for name, (measure, descending) in rankings.items()
+    }
+    return df.withColumns(cuts).withColumns(scores).drop(*cuts)
 
 
 def ntile_distributed(

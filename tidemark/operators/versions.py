@@ -26,13 +26,13 @@ def latest_partition(df: DataFrame, day: str) -> DataFrame:
 def version_diff(
     before: DataFrame, after: DataFrame, keys: Sequence[str], fingerprint: str
 ) -> DataFrame:
-    """Added, removed and changed keys between two versions."""
-    old = before.select(*keys, F.col(fingerprint).alias("_old"))
-    new = after.select(*keys, F.col(fingerprint).alias("_new"))
+    """Added, removed and changed keys between two versions; NULL is a fingerprint like any other."""
+    old = before.select(*keys, F.struct(fingerprint).alias("_old"))
+    new = after.select(*keys, F.struct(fingerprint).alias("_new"))
     change = (
         F.when(F.col("_old").isNull(), "added")
         .when(F.col("_new").isNull(), "removed")
-        .when(F.col("_old") != F.col("_new"), "changed")
+        .when(~F.col("_old").eqNullSafe(F.col("_new")), "changed")
     )
     joined = old.join(new, list(keys), "full_outer").withColumn("change", change)
     return joined.where(F.col("change").isNotNull()).select(*keys, "change")

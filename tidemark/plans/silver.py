@@ -137,7 +137,7 @@ def fct_order_items(
         "template_replica",
     ).withColumns({
         "customer_id": F.when(F.col("template_replica") == 0, F.col("source_customer_id")).otherwise(
-            X.hash_bucket(uniform(order, "cust"), customer_count)
+            X.hash_pick(order, F.col("order_date"), "cust", customer_count, seed, method)
         ),
         "order_ts": X.order_time(
             F.col("order_date"), uniform(order, "hour"), uniform(order, "minute")

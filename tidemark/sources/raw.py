@@ -23,6 +23,10 @@ DOMAIN_FIELDS = {
     "carts": """id BIGINT, userId BIGINT, date STRING,
         products ARRAY<STRUCT<productId: BIGINT, quantity: INT>>, __v INT""",
 }
+# What the landing flow writes for each object, below <raw>/landed/domain=<domain>/.
+LANDED_FIELDS = "object_key STRING, body STRING"
+#: Tasks of a listing.
+LISTING_TASKS = 64
 SECRETS = {"users": ("password",)}
 
 
@@ -36,6 +40,11 @@ def input_paths(root: str, domain: str, dates: Sequence[str]) -> list[str]:
     return [f"{root}/{domain}/ingest_date={d}" for d in dates]
 
 
+def landed_root(root: str, domain: str) -> str:
+    """Where the landing flow puts a domain's objects."""
+    return f"{root}/landed/domain={domain}"
+
+
 def read_raw(
     spark: SparkSession, paths: str | Sequence[str], domain: str, per_element: bool = True
 ) -> DataFrame:
@@ -54,9 +63,24 @@ def read_raw(
             .option("columnNameOfCorruptRecord", CORRUPT).json(paths)
         )
         return rows.select("*", F.col("_metadata.file_path").alias("_source_file"))
-    objects = spark.read.text(paths, wholetext=True).select(
+    objects = spark.read.text(paths, wholetext=True, recursiveFileLookup=True).select(
         F.col("value").alias("_object"), F.col("_metadata.file_path").alias("_source_file")
     )
+    return _elements(objects, with_corrupt)
+
+
+def read_landed(spark: SparkSession, paths: str | Sequence[str], domain: str) -> DataFrame:
+    """Objects as the landing flow writes them, many to a file: each line has an object's key and body."""
+    schema = domain_schema(domain)
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    objects = spark.read.schema(LANDED_FIELDS).json(paths).select(
+        F.col("body").alias("_object"), F.col("object_key").alias("_source_file")
+    )
+    return _elements(objects, with_corrupt)
+
+
+def _elements(objects: DataFrame, with_corrupt: T.StructType) -> DataFrame:
+    """One row per array element; those that do not fit the schema are kept as corrupt."""
     # An object that is no array is kept as its only element.
     listed = F.coalesce(F.from_json("_object", "array<string>"), F.array("_object"))
     elements = objects.select("_source_file", F.explode(listed).alias("_element"))
@@ -77,10 +101,26 @@ def provenance(df: DataFrame, path: Column | None = None) -> DataFrame:
     )
 
 
-def objects(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file of a tree with its size and partition values; no content is read."""
+def objects(spark: SparkSession, root: str, tasks: int = LISTING_TASKS) -> DataFrame:
+    """One row per file of a tree with its size and partition values; no content is read.
+
+    Spark cuts a file scan by bytes, which a listing does not read: a bounded number of tasks
+    takes all cuts.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.select("path", "length", "modificationTime")
+    return files.select("path", "length", "modificationTime").coalesce(tasks)
+
+
+def misnamed(df: DataFrame, path: str = "path") -> DataFrame:
+    """Traced objects whose name has no day, or another one than their folder."""
+    folder = F.regexp_extract(path, r"/ingest_date=([^/]+)/", 1).try_cast("date")
+    return df.where(~F.coalesce(F.col("_ingest_date") == folder, F.lit(False)))
+
+
+def present(spark: SparkSession, root: str) -> bool:
+    """Whether a folder exists, in any file system Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def raw_inventory(spark: SparkSession, root: str) -> DataFrame:

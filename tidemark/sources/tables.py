@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import COMPACTION_MIN_FILES, COMPACTION_TARGET_BYTES
+from ..constants import COMPACTION_MIN_FILES, COMPACTION_TARGET_BYTES, RETAIN_DAYS, RETAIN_LAST
 from ..operators.quality import gate
 from ..session import scratch_path
 from .raw import objects
 
 
+#: Partitions that one compaction pass rewrites.
+COMPACTION_BATCH = 500
+#: The folder value of a NULL partition.
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _clustered(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
     """Rows of a partition together and sorted; adaptive execution splits a partition that is too
     large for one task and joins small ones, so a hot day is written by many tasks."""
@@ -35,16 +43,66 @@ def overwrite_partitions(
 def replace_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
 ) -> None:
-    """Replaces the whole table.
+    """Replaces the whole table, written once beside it and then put in its place by renames.
 
-    Rows are staged first, so `df` may read the table it replaces and a failed computation
-    leaves the table as it was.
+    `df` may read the table it replaces, and a failed computation leaves the table as it was. A
+    run that stops between the two renames leaves the old version as `<path>__old`; the next one
+    puts it back first.
     """
-    staged = _staged(df, "replace")
-    writer = _clustered(staged, partition_by, sort_by).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    )
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    spark = df.sparkSession
+    recover(spark, path)
+    fresh = f"{path}__new-{uuid.uuid4().hex}"
+    writer = _clustered(df, partition_by, sort_by).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(fresh)
+    fs, make = _files(spark, path)
+    old = make(f"{path}__old")
+    if fs.exists(make(path)) and not fs.rename(make(path), old):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(make(fresh), make(path)):
+        raise OSError(f"cannot publish {path}")
+    fs.delete(old, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts back the version that an interrupted replacement has moved aside."""
+    fs, make = _files(spark, path)
+    old = make(f"{path}__old")
+    if fs.exists(old):
+        if fs.exists(make(path)):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, make(path))
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and how to name a path in it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def partition_days(spark: SparkSession, path: str, day: str) -> list[tuple[str, str]]:
+    """(day, folder) of every partition, oldest first: one entry per day, from one listing."""
+    fs, make = _files(spark, path)
+    if not fs.exists(make(path)):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(make(path))]
+    return sorted((n.split("=", 1)[1], f"{path}/{n}") for n in names if n.startswith(f"{day}="))
+
+
+def expire(
+    spark: SparkSession, path: str, day: str, retain_days: int = RETAIN_DAYS, keep_last: int = RETAIN_LAST,
+) -> list[str]:
+    """Deletes the partitions more than `retain_days` before the newest one, but never the newest
+    `keep_last`; returns the deleted days."""
+    days = [(d, p) for d, p in partition_days(spark, path, day) if d != HIVE_NULL]
+    if not days:
+        return []
+    limit = (dt.date.fromisoformat(days[-1][0]) - dt.timedelta(days=retain_days)).isoformat()
+    gone = [(d, p) for d, p in days[:-keep_last or None] if d < limit]
+    fs, make = _files(spark, path)
+    for _, folder in gone:
+        fs.delete(make(folder), True)
+    return [d for d, _ in gone]
 
 
 def _staged(df: DataFrame, label: str) -> DataFrame:
@@ -117,18 +175,26 @@ def compact(
 ) -> int:
     """Rewrites the planned partitions and returns their number."""
     plan = compaction_plan(spark, path, target_bytes, min_files).select(
-        F.regexp_replace("partition", "^/", "").alias("_partition")
+        F.regexp_replace("partition", "^/", "").alias("_partition"), F.col("n_files_after").alias("_files")
     )
     # One short row per partition folder of the table.
-    wanted = [r["_partition"] for r in plan.collect()]
-    if not wanted:
-        return 0
-    table = spark.read.parquet(path)
-    folders = [f"{path}/{p}" if p else path for p in wanted]
-    reader = spark.read.schema(table.schema)
-    rows = reader.option("basePath", path).parquet(*folders)
-    if partition_by:
-        overwrite_partitions(_staged(rows, "compact"), path, partition_by, sort_by)
-    else:
-        replace_table(rows, path, (), sort_by)
+    wanted = {r["_partition"]: r["_files"] for r in plan.collect()}
+    table = spark.read.parquet(path) if wanted else None
+    todo = list(wanted)
+    for at in range(0, len(todo), COMPACTION_BATCH):
+        part = todo[at:at + COMPACTION_BATCH]
+        folders = [f"{path}/{p}" if p else path for p in part]
+        rows = spark.read.schema(table.schema).option("basePath", path).parquet(*folders)
+        # Rows are dealt out evenly to the planned number of files of their partition.
+        folder = F.regexp_extract("_metadata.file_path", r"((?:/[^/=]+=[^/]+)*)/[^/]+$", 1)
+        counts = F.create_map(*[F.lit(v) for p in part for v in (f"/{p}" if p else "", wanted[p])])
+        dealt = rows.select("*", F.pmod(F.monotonically_increasing_id(), counts[folder]).alias("_file"))
+        staged = _staged(dealt, "compact")
+        spread = staged.repartition(sum(wanted[p] for p in part), *partition_by, "_file")
+        ordered = spread.sortWithinPartitions(*partition_by, "_file", *sort_by).drop("_file")
+        if partition_by:
+            (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*partition_by).parquet(path))
+        else:
+            ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return len(wanted)

@@ -1,6 +1,6 @@
 """Landing flow: requests are split by domain, responses routed, deduplicated and written.
 
-Every function up to `land` works alike on batch and streaming frames.
+The functions before `land` take batch and streaming frames; `read_stream` starts a stream.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import constants as K
 from ..operators.rules import route
 
+# When the flow received a row.
+ARRIVED = "_arrived"
+
 # Request envelope.
 REQUEST_FIELDS = "snapshot_date STRING, domains ARRAY<STRING>, run_id STRING"
 
@@ -67,11 +70,16 @@ def dedup_stream(
     df: DataFrame, keys: Sequence[str], ts: str, ttl: str = K.DEDUP_TTL,
     spread: Sequence[str] = (), salts: int = 8,
 ) -> DataFrame:
-    """First arrival of each key within the time to live.
+    """First arrival of each key within the time to live; `ts` is when a row arrived.
+
+    Keys age by arrival, so a row whose event is old but whose key is new is never refused. On a
+    batch frame all rows count as arrived together.
 
     With `spread` columns a busy key is first reduced on `salts` tasks, so the second step
     receives at most `salts` rows of it per batch and no single state partition sees them all.
     """
+    if not df.isStreaming:
+        return df.dropDuplicates(list(keys))
     marked = df.withWatermark(ts, ttl)
     if not spread:
         return marked.dropDuplicatesWithinWatermark(list(keys))
@@ -84,6 +92,18 @@ def dedup_stream(
     )
 
 
+def arriving(df: DataFrame, name: str = ARRIVED) -> DataFrame:
+    """The rows with the instant at which the flow received them: that of their micro-batch."""
+    return df.withColumn(name, F.current_timestamp())
+
+
+def late_report(df: DataFrame, ts: str, by: Sequence[str], arrived: str = ARRIVED,
+                ttl: str = K.DEDUP_TTL) -> DataFrame:
+    """Rows whose event lies more than the time to live before their arrival, counted."""
+    late = F.col(ts) < F.col(arrived) - F.expr(f"INTERVAL {ttl}")
+    return df.where(late).groupBy(*by).agg(F.count("*").alias("n_late"), F.min(ts).alias("oldest"))
+
+
 def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How often each repeated key arrived, and how many arrivals were surplus."""
     counted = df.groupBy(*keys).agg(F.count("*").alias("n_arrivals"))
@@ -105,19 +125,31 @@ def dead_letter_key(domain: Column, day: Column, token: Column) -> Column:
 
 def land(
     df: DataFrame, accepted: Column, keys: Sequence[str], ts: str, ok_path: str, dead_path: str,
-    checkpoint: str, spread: Sequence[str] = (), ttl: str = K.DEDUP_TTL,
+    checkpoint: str, spread: Sequence[str] = (), ttl: str = K.DEDUP_TTL, body: str = "body",
+    retry_path: str | None = None, attempts: str = "attempts",
 ) -> list[StreamingQuery]:
     """Starts the landing and the dead-letter stream over everything available now.
 
-    Both file sinks commit exactly once; the checkpoint carries the deduplication state.
+    Accepted rows are landed once per key and time to live, counted from their arrival, below
+    `ok_path` as `domain=<d>/ingest_date=<day>`, each with its `object_key` from the call instant
+    `ts`; with `<raw>/landed` as `ok_path` the Bronze job finds them. With a
+    `retry_path`, a refused row goes there with its attempts counted until `MAX_RETRIES` is
+    passed; the caller's next request takes it from there. All file sinks commit exactly once;
+    the checkpoint carries the deduplication state.
     """
     conforming, refused = route(df, accepted)
-    landed = dedup_stream(conforming, keys, ts, ttl, spread)
-    return [
-        _write(landed.withColumnRenamed("snapshot_date", "ingest_date"),
-               ok_path, ["domain", "ingest_date"], f"{checkpoint}/ok"),
-        _write(refused, dead_path, ["domain", "snapshot_date"], f"{checkpoint}/dead"),
-    ]
+    token = F.md5(F.concat_ws("|", "domain", "snapshot_date", F.col(ts).cast("string"), body))
+    key = object_key(F.col("domain"), F.col("snapshot_date"), F.unix_millis(ts), token)
+    landed = dedup_stream(arriving(conforming), keys, ARRIVED, ttl, spread).withColumn("object_key", key)
+    started = [_write(landed.withColumnRenamed("snapshot_date", "ingest_date"),
+                      ok_path, ["domain", "ingest_date"], f"{checkpoint}/ok")]
+    if retry_path:
+        counted = retry_route(refused, F.lit(True), attempts)
+        again = counted.where(F.col("next_stop") == "retry").drop("next_stop")
+        refused = counted.where(F.col("next_stop") == "dead_letter").drop("next_stop")
+        started.append(_write(again, retry_path, ["domain", "snapshot_date"], f"{checkpoint}/retry"))
+    started.append(_write(refused, dead_path, ["domain", "snapshot_date"], f"{checkpoint}/dead"))
+    return started
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], checkpoint: str) -> StreamingQuery:

@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def throughput(df: DataFrame, ts: str, width: str, by: Sequence[str]) -> DataFrame:
-    """Events per fixed window; works on batch and streaming frames."""
-    counted = df.groupBy(F.window(F.col(ts), width).alias("_w"), *by).agg(
-        F.count("*").alias("n_events")
-    )
+def throughput(
+    df: DataFrame, ts: str, width: str, by: Sequence[str], size: str | None = None
+) -> DataFrame:
+    """Events per fixed window, with `size` also their bytes; works on batch and streaming frames."""
+    sums = [F.count("*").alias("n_events")]
+    if size:
+        sums.append(F.coalesce(F.sum(F.col(size).cast("bigint")), F.lit(0)).alias("n_bytes"))
+    counted = df.groupBy(F.window(F.col(ts), width).alias("_w"), *by).agg(*sums)
     return counted.select(
-        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *by, "n_events"
+        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *by,
+        "n_events", *(["n_bytes"] if size else [])
     )
 
 
