@@ -21,24 +21,40 @@ def catalog_kpi(products: DataFrame, accuracy: int = 10000) -> DataFrame:
     The median is a sketch of bounded size: its rank is off by about 1/`accuracy` of the rows,
     so small groups get their exact median.
     """
-    price, reviews = F.col("unit_price"), F.col("review_count")
+    price, reviews, rating = F.col("unit_price"), F.col("review_count"), F.col("rating_score")
+    known = price.isNotNull()
+    # All but the median adds up: products are summed per (day, category, label) once, and TOTAL
+    # rows and labels come from these few sums.
+    sums = products.groupBy("snapshot_date", "category_slug", "category_label").agg(
+        F.count("*").alias("nb_products"), F.sum(price).alias("_price"), F.count_if(known).alias("_priced"),
+        F.min(price).alias("_low"), F.max(price).alias("_high"),
+        F.sum(rating).alias("_rating"), F.count(rating).alias("_rated"),
+        F.sum(rating * reviews).alias("_weighted"),
+        F.sum(reviews).alias("_reviews"), F.count_if("is_complete").alias("nb_complete_products"),
+        F.bool_or("is_reconstructed").alias("is_reconstructed"),
+    )
+    median = F.percentile_approx(price, 0.5, accuracy).cast("decimal(10,2)").alias("median_unit_price")
+    slim = products.select(F.col("snapshot_date").alias("_day"), F.col("category_slug").alias("_slug"), "unit_price")
+    medians = slim.groupBy("_day", "_slug").agg(median).unionByName(
+        slim.groupBy("_day").agg(median).withColumn("_slug", F.lit(K.TOTAL_SLUG)))
     kpi = with_total(
-        products, "snapshot_date", "category_slug",
+        sums, "snapshot_date", "category_slug",
         [
-            F.count("*").alias("nb_products"),
-            X.mean(price, 10, 2).alias("avg_unit_price"),
-            F.percentile_approx(price, 0.5, accuracy).cast("decimal(10,2)").alias("median_unit_price"),
-            F.min(price).cast("decimal(10,2)").alias("min_unit_price"),
-            F.max(price).cast("decimal(10,2)").alias("max_unit_price"),
-            F.sum(price).cast(MONEY_TOTAL).alias("catalog_value"),
-            X.mean(F.col("rating_score"), 4, 3).alias("avg_rating_simple"),
-            X.weighted_mean(F.col("rating_score"), reviews, 4, 3).alias("avg_rating_weighted"),
-            F.sum(reviews).cast("bigint").alias("total_reviews"),
-            F.count_if("is_complete").alias("nb_complete_products"),
+            F.sum("nb_products").alias("nb_products"),
+            X.ratio(F.sum("_price"), F.sum("_priced"), 10, 2).alias("avg_unit_price"),
+            F.min("_low").cast("decimal(10,2)").alias("min_unit_price"),
+            F.max("_high").cast("decimal(10,2)").alias("max_unit_price"),
+            F.sum("_price").cast(MONEY_TOTAL).alias("catalog_value"),
+            X.ratio(F.sum("_rating"), F.sum("_rated"), 4, 3).alias("avg_rating_simple"),
+            X.ratio(F.sum("_weighted"), F.sum("_reviews"), 4, 3).alias("avg_rating_weighted"),
+            F.sum("_reviews").cast("bigint").alias("total_reviews"),
+            F.sum("nb_complete_products").alias("nb_complete_products"),
             F.bool_or("is_reconstructed").alias("is_reconstructed"),
         ],
         label=F.max("category_label"), total_label=K.ALL_CATALOGUE_LABEL,
     )
+    kpi = kpi.join(medians, F.col("snapshot_date").eqNullSafe(F.col("_day"))
+                   & F.col("category_slug").eqNullSafe(F.col("_slug"))).drop("_day", "_slug")
     complete = F.col("nb_complete_products").cast("decimal(20,0)")
     before = lagged("total_reviews", "category_slug", "snapshot_date")
     return kpi.select(
@@ -103,6 +119,22 @@ def priced_lines(
     return valued.withColumn("line_revenue", revenue)
 
 
+LINES = "_n_lines"
+
+
+def purchases(lines: DataFrame, price_date: str = "order_date") -> DataFrame:
+    """What the analytics need of the order lines, written once: a row per order, product and day
+    with its lines and items. All further sums read this instead of the facts."""
+    keys = dict.fromkeys(("order_date", price_date, "order_id", "customer_id", "product_id"))
+    slim = lines.groupBy(*keys).agg(F.count("*").alias(LINES), F.sum("quantity").alias("quantity"))
+    return materialise(slim, "purchases")
+
+
+def _line_count(lines: DataFrame) -> Column:
+    """Lines in a group, of order lines or of purchases."""
+    return F.sum(LINES) if LINES in lines.columns else F.count("*")
+
+
 def sales_value(lines: DataFrame, products: DataFrame, price_date: str = "order_date") -> DataFrame:
     """Lines, items, revenue and price level per day x category and TOTAL.
 
@@ -111,7 +143,7 @@ def sales_value(lines: DataFrame, products: DataFrame, price_date: str = "order_
     `price_date` must follow from `order_date`, such as its month.
     """
     bought = lines.groupBy(*dict.fromkeys(("order_date", price_date, "product_id"))).agg(
-        F.count("*").alias("_lines"), F.sum("quantity").alias("_items")
+        _line_count(lines).alias("_lines"), F.sum("quantity").alias("_items")
     )
     price = products.select(
         "product_id", "snapshot_date", "unit_price", "category_slug", "category_label", "rating_score"
@@ -150,27 +182,34 @@ def sales_reach(
 ) -> DataFrame:
     """Distinct orders, customers and cities per day x category and TOTAL.
 
-    Lines are reduced to one row per (order, category) before customers are joined and counted,
-    and the counted rows carry keys only.
+    Keys are made distinct first, each kind for itself: what is left is counted as rows, and customers
+    are joined to one row per buyer, day and category.
     """
     category = products.select("product_id", "snapshot_date", "category_slug")
     bought = lines.select(*dict.fromkeys(
         ("order_date", price_date, "product_id", "order_id", "customer_id")
     ))
-    placed = _named(temporal_snapshot_join(
+    placed = materialise(_named(temporal_snapshot_join(
         bought, category, "product_id", price_date, "snapshot_date", salts, ["order_id"]
-    ))
-    orders = placed.select("order_date", "category_slug", "order_id", "customer_id").distinct()
+    )).select("order_date", "category_slug", "order_id", "customer_id").distinct(), "orders-placed")
+    slot = ["order_date", "category_slug"]
+    buyers = placed.select(*slot, "customer_id").distinct()
     if customer_date:
         place = customers.select("customer_id", F.col(customer_date).alias("order_date"), "city")
-        located = orders.join(place, ["customer_id", "order_date"], "left")
+        located = buyers.join(place, ["customer_id", "order_date"], "left")
     else:
-        located = orders.join(customers.select("customer_id", "city"), "customer_id", "left")
-    return with_total(located, "order_date", "category_slug", [
-        F.count_distinct("order_id").alias("nb_orders"),
-        F.count_distinct("customer_id").alias("nb_active_customers"),
-        F.count_distinct("city").alias("nb_cities"),
-    ])
+        located = buyers.join(customers.select("customer_id", "city"), "customer_id", "left")
+    orders = _reach(placed.select(*slot, "order_id"), "order_id", "nb_orders")
+    active = _reach(buyers, "customer_id", "nb_active_customers")
+    cities = _reach(located.select(*slot, "city"), "city", "nb_cities")
+    return orders.join(active, slot).join(cities, slot)
+
+
+def _reach(keyed: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct values of a key per day x category and per day, NULL not counted."""
+    detail = keyed.distinct()
+    total = detail.select("order_date", F.lit(K.TOTAL_SLUG).alias("category_slug"), key).distinct()
+    return detail.unionByName(total).groupBy("order_date", "category_slug").agg(F.count(key).alias(name))
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -218,6 +257,7 @@ def sales_by_category(
     bounds: tuple[Column, Column] | None = None, salts: int = 1,
 ) -> DataFrame:
     """Calendar-complete daily sales with moving average, month-to-date and week-on-week change."""
+    lines = purchases(lines, price_date)
     totals = sales_totals(
         lines, products, customers,
         price_date=price_date, customer_date=customer_date, salts=salts,
@@ -249,7 +289,7 @@ def sales_by_category(
 def customer_activity(lines: DataFrame) -> DataFrame:
     """Orders, items and active months per customer, from one row per order."""
     orders = lines.groupBy("customer_id", "order_id", "order_date").agg(
-        F.count("*").alias("_lines"), F.sum("quantity").alias("_items")
+        _line_count(lines).alias("_lines"), F.sum("quantity").alias("_items")
     )
     return orders.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("nb_orders"),
@@ -278,7 +318,7 @@ def category_value(
 ) -> DataFrame:
     """Revenue and ratings per (customer, category); unmatched lines under a NULL category."""
     bought = lines.groupBy("customer_id", "product_id", price_date).agg(
-        F.sum("quantity").alias("_items"), F.count("*").alias("_lines")
+        F.sum("quantity").alias("_items"), _line_count(lines).alias("_lines")
     )
     price = products.select(
         "product_id", "snapshot_date", "unit_price", "category_slug", "category_label", "rating_score"
@@ -374,6 +414,7 @@ def customer_base(
         profile = latest_state(customers, "customer_id", "snapshot_date").withColumnRenamed(
             "snapshot_date", "profile_snapshot_date"
         )
+    lines = purchases(lines, price_date)
     totals = customer_totals(lines, products, price_date)
     newest = lines.agg(F.max("order_date").alias("newest")).select("newest").scalar()
     zero = ("nb_orders", "nb_order_lines", "nb_items", "nb_distinct_products",
