@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark import jobs
-from tidemark.config import GOLD_TABLES, Lake, Settings
+from tidemark.config import Lake, Settings
+from tidemark.constants import GOLD_TABLES
 from tidemark.operators import quality as Q
 from tidemark.plans import bronze as B
 from tidemark.plans import gold as G

@@ -1,5 +1,16 @@
 """Labels, rates, thresholds and formats that published results depend on."""
 
+# Domains, and the tables that published layouts name.
+DOMAINS = ("products", "users", "carts")
+BRONZE_TABLES = {"products": "raw_products", "users": "raw_users", "carts": "raw_carts"}
+SILVER_TABLES = {"products": "dim_products", "users": "dim_customers", "carts": "fct_order_items"}
+GOLD_TABLES = {
+    "catalog_kpi": "gold_catalog_daily_kpi",
+    "price_trend": "gold_product_price_trend",
+    "sales_daily": "gold_sales_by_category_daily",
+    "customer_360": "gold_customer_360",
+}
+
 # Category labels of the sales and catalogue tables.
 TOTAL_SLUG = "TOTAL"
 UNKNOWN_SLUG = "inconnu"

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import constants as K
-from .config import BRONZE_TABLES, DOMAINS, GOLD_TABLES, SILVER_TABLES, Lake, Settings
+from .config import Lake, Settings
+from .constants import BRONZE_TABLES, DOMAINS, GOLD_TABLES, SILVER_TABLES
 from .operators import coverage, missing_domains, pending
 from .operators import quality as Q
 from .plans import bronze as B
@@ -118,7 +119,7 @@ def run_silver(
     days = _silver_days(source, target, day, mode, dates, limit)
     if not days:
         return []
-    model = {"reconstruct": settings.synthetic_history, "seed": settings.seed}
+    model = {"reconstruct": settings.reconstruct, "seed": settings.seed}
     if domain == "products":
         newest = source.agg(F.max("_ingest_date").alias("d")).select("d").scalar()
         anchor = F.lit(end_date).cast("date") if end_date else newest
@@ -247,13 +248,17 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     expire.add_argument("--retain-last", type=int, default=K.RETAIN_LAST)
     for job in jobs.choices.values():
         job.add_argument("--lake", required=True, help="root folder of the lake")
+        job.add_argument("--history-months", type=int, default=Settings.history_months)
+        job.add_argument("--history-seed", type=int, default=Settings.seed)
+        job.add_argument("--no-history", action="store_true", help="measures as observed, nothing reconstructed")
         job.add_argument("--shuffle-partitions", type=int, default=0,
                          help="about the bytes of the largest shuffle divided by 200 MB")
     return parser.parse_args(argv)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
-    lake, settings = Lake(args.lake.rstrip("/")), Settings.from_env()
+    lake = Lake(args.lake.rstrip("/"))
+    settings = Settings(args.history_months, not args.no_history, args.history_seed)
     if args.job in {"bronze", "silver"}:
         dates = [d.strip() for d in args.dates.split(",") if d.strip()]
         mode = "explicit" if dates else args.mode
