@@ -25,9 +25,9 @@ def event_stream(spark, sf):
     )
 
 
-def drain(spark, df, label: str, complete: bool = False):
+def drain(spark, df, label: str):
     base = scratch_path(spark, label)
-    return L.run_to_table(df, f"{base}/table", f"{base}/checkpoint", complete)
+    return L.run_to_table(df, f"{base}/table", f"{base}/checkpoint")
 
 
 BODY = """concat('{"snapshot_date":"', CAST(CAST(ts AS DATE) AS VARCHAR), '","domains":["', event_type,
@@ -140,9 +140,9 @@ SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL
        domain, CAST(count(*) AS BIGINT) AS n_events
 FROM fx_landing GROUP BY 1, 2, 3"""))
 def throughput_tumbling(spark, sf):
-    landed = with_response(event_stream(spark, sf)).withWatermark("ts", K.DEDUP_TTL)
-    counted = M.throughput(landed, "ts", "5 minutes", ["domain"])
-    return _plain(drain(spark, counted, "throughput", complete=True))
+    base = scratch_path(spark, "throughput")
+    return _plain(M.stream_throughput(with_response(event_stream(spark, sf)), "ts", "5 minutes", ["domain"],
+                                      f"{base}/counts", f"{base}/checkpoint"))
 
 
 @query(with_fx("fx_landing", """

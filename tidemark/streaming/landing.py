@@ -160,21 +160,8 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], checkpoint: st
     )
 
 
-def run_to_table(
-    df: DataFrame, path: str, checkpoint: str, complete: bool = False
-) -> DataFrame:
-    """Drains the stream into a Parquet table and returns that table.
-
-    `complete` replaces the table with the whole result of every micro-batch, for aggregates
-    whose last windows must appear too.
-    """
+def run_to_table(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Drains the stream into a Parquet table and returns that table."""
     writer = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if complete:
-        def replace(batch: DataFrame, _: int) -> None:
-            batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-        query = writer.outputMode("complete").foreachBatch(replace).start()
-    else:
-        query = writer.outputMode("append").format("parquet").option("path", path).start()
-    query.awaitTermination()
+    writer.outputMode("append").format("parquet").option("path", path).start().awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(path)
