@@ -17,8 +17,10 @@ MASKS = ("111010011011", "110110101101", "101101110011", "111111110000")
 SPAN = 12
 #: An overlap counts from this many aligned tokens on, of which this share must agree.
 MIN_TOKENS, MIN_SHARE = 13, 0.8
-#: Words of the filter of benchmark hashes that travels to every task: 2**17 longs, 1 MB whatever the benchmark's size.
+#: Words of the filter of benchmark hashes that travels to every task: 2**17 longs, 1 MB whatever the benchmark's size;
+#: a hash sets the bits that these parts of it name.
 FILTER_WORDS = 1 << 17
+FILTER_SHIFTS = (0, 20, 41)
 #: Tokens kept on either side of a hit; longer overlaps are found piece by piece.
 REACH = 96
 
@@ -79,9 +81,11 @@ def _regions(filter_words: np.ndarray):
             at, hashes = [], []
             for m in range(len(MASKS)):
                 h = seed_hashes(words, m)
-                slot = h & low
-                hit = (filter_words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
-                found = np.flatnonzero(hit.astype(bool) & inside)
+                found = np.flatnonzero(inside)
+                for shift in FILTER_SHIFTS:
+                    slot = (h[found] >> np.uint64(shift)) & low
+                    hit = (filter_words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
+                    found = found[hit.astype(bool)]
                 at.append(found)
                 hashes.append(h[found])
             at, hashes = np.concatenate(at), np.concatenate(hashes)
@@ -123,6 +127,7 @@ def _best_overlap(equal: np.ndarray, least_tokens: int, share: float) -> tuple[i
     best = None
     for e in at:
         s = int(np.searchsorted(-low, -(total[e + 1] + 1e-9), "left"))
+        s = int(at[np.searchsorted(at, s)])
         length = e + 1 - s
         if length >= least_tokens and (best is None or length > best[1] - best[0]):
             best = (s, int(e) + 1)
@@ -170,9 +175,9 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     d = docs.select(F.col(id_col).cast("long").alias("doc"), text_of(text_col).alias("text"))
     i = items.select(F.col(item_col).cast("long").alias("item"), text_of(item_text_col).alias("text"))
     seeds = written(i.mapInArrow(_item_seeds, "hash long, item long, item_pos int"), "seeds")
-    slot = F.col("hash").bitwiseAND(F.lit(FILTER_WORDS * 64 - 1))
+    slots = F.array(*(F.shiftrightunsigned("hash", s).bitwiseAND(F.lit(FILTER_WORDS * 64 - 1)) for s in FILTER_SHIFTS))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
-    bits = (seeds.select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit"))
+    bits = (seeds.select(F.explode(slots).alias("slot")).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit"))
             .groupBy("word").agg(F.bit_or("bit").alias("bits")))
     filter_words = np.zeros(FILTER_WORDS, np.uint64)
     for word, value in bits.collect():  # FILTER_WORDS rows at the most
