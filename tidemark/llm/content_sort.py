@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from .common import cut, text_of
 
+#: Characters of a text that the sampled splitters hold.
+SPLIT_CHARS = 64
+
 _ROWS = "doc_id long, text_sha256 string, part int, run long, first boolean, keep_id long, n long, edge string"
 
 
@@ -66,8 +69,9 @@ def _runs(batches):
 def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row with the group of rows that have the same text; the row with the largest identifier stays.
 
-    Sampled splitters deal the rows out by (text, identifier), an external sort puts equal texts side by side, and
-    neighbours are compared in full. A group may cross partitions: only the runs at partition borders, at most two of
+    Sampled splitters deal the rows out by (beginning of the text, hash of the whole text, identifier), an external sort
+    by these and the text itself puts equal texts side by side, and neighbours are compared in full. The splitters so
+    stay small whatever the texts' length. A group may cross partitions: only the runs at partition borders, at most two of
     each partition, are brought together afterwards, again by their full texts.
 
     A null text counts as empty. A null identifier comes after all others; where all are null, so is `keep_id`.
@@ -75,8 +79,9 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    order = [F.col("text"), F.col("doc_id").desc_nulls_last()]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    split = [F.substring("text", 1, SPLIT_CHARS), F.xxhash64("text")]
+    last = F.col("doc_id").desc_nulls_last()
+    ordered = rows.repartitionByRange(*split, last).sortWithinPartitions(*split, "text", last)
     slim = cut(ordered.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
                .mapInArrow(_runs, _ROWS))
     seams = (slim.where(F.col("edge").isNotNull()).groupBy("edge")
