@@ -27,10 +27,10 @@ def test_indicators_are_distinct_and_by_row():
 def test_descent_separates():
     rng = np.random.default_rng(0)
     rows = [np.array([i % 2, 2 + i % 5]) for i in range(60)]
-    values = [rng.uniform(0.9, 1.1, 2) for _ in rows]
+    scale = rng.uniform(0.8, 1.2, 7)
     y = np.array([1.0 if i % 2 else -1.0 for i in range(60)])
-    w, bias = nbsvm.descend(rows, values, y, np.full(60, 10.0), 50, rng)
-    assert all(s * (w[r] @ v + bias) > 0.9 for r, v, s in zip(rows, values, y))
+    w, bias = nbsvm.descend(rows, scale, y, np.full(60, 10.0), 50, rng)
+    assert all(s * (w[r].sum() / np.sqrt(scale[r].sum()) + bias) > 0.9 for r, s in zip(rows, y))
 
 
 def test_odd_rows(spark, odd, odd_rows):
