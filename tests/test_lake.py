@@ -134,6 +134,43 @@ def test_a_day_landed_again_is_processed_again(spark, tmp_path):
     assert [r["unit_price_observed"] for r in found] == [Decimal("7.00")]
 
 
+def test_a_day_landed_again_without_valid_records_loses_its_rows(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    for day in DAYS[:2]:
+        land(tmp_path, "products", day, [product(1, 5.0)])
+    jobs.run_bronze(spark, lake, "products")
+    assert jobs.run_silver(spark, lake, "products", Settings()) == DAYS[:2]
+    (tmp_path / "raw" / "products" / f"ingest_date={DAYS[0]}" / f"products_{DAYS[0]}_1709290800123_0a-1b.json").write_text("[]")
+    land(tmp_path, "products", DAYS[0], [product(1, -1.0)], millis=1709290800999, token="ff")
+    assert jobs.run_bronze(spark, lake, "products")["days"] == [DAYS[0]]
+    assert jobs.run_silver(spark, lake, "products", Settings()) == [DAYS[0]]
+    found = lake.read(spark, "silver", "dim_products").collect()
+    assert [str(r["snapshot_date"]) for r in found] == [DAYS[1]]
+    assert jobs.run_silver(spark, lake, "products", Settings()) == []
+
+
+def test_landing_job_feeds_bronze(spark, tmp_path):
+    lake, source = Lake(str(tmp_path / "lake")), tmp_path / "in"
+    source.mkdir()
+    line = {"domain": "products", "snapshot_date": DAYS[0], "ts": "2024-03-01T08:00:00Z", "mime": "application/json"}
+    lines = [dict(line, status=200, body=json.dumps([product(1), product(2)])),
+             dict(line, status=500, body="", domain="users")]
+    (source / "a.json").write_text("\n".join(map(json.dumps, lines)))
+    jobs.run_landing(spark, lake, str(source))
+    assert jobs.run_bronze(spark, lake, "products")["days"] == [DAYS[0]]
+    bronze = lake.read(spark, "bronze", "raw_products")
+    assert rows(bronze.select("id", "_is_valid")) == [(1, True), (2, True)]
+    assert bronze.select(F.unix_millis("_ingest_ts")).first()[0] == 1709280000000
+    assert spark.read.json(f"{lake.root}/_retry").select("attempts").first()[0] == 1
+    jobs.run_landing(spark, lake, str(source))
+    assert jobs.run_bronze(spark, lake, "products")["days"] == []
+
+
+def test_views_over_gold(spark, lake, capsys):
+    jobs.run_views(spark, lake, "SELECT count(*) AS n FROM v_daily_sales", 5)
+    assert "|n " in capsys.readouterr().out
+
+
 def test_incremental_days_equal_a_full_run(spark, tmp_path):
     totals = []
     for mode in ("steps", "full"):
@@ -157,7 +194,9 @@ def test_only_the_broken_element_is_rejected(spark, tmp_path):
     lake = Lake(str(tmp_path))
     seen = jobs.run_bronze(spark, lake, "products")
     assert (seen["total"], seen["invalid"], seen[K.REASON_UNREADABLE], seen[K.REASON_NO_PRICE]) == (5, 3, 2, 1)
-    assert jobs.run_silver(spark, lake, "products", Settings()) == [DAYS[0]]
+    # The second day has no valid record: it is processed once and gives no rows.
+    assert jobs.run_silver(spark, lake, "products", Settings()) == DAYS[:2]
+    assert jobs.run_silver(spark, lake, "products", Settings()) == []
     by_file = R.read_raw(spark, R.input_paths(lake.raw, "products", DAYS[:2]), "products", per_element=False)
     # Read by file, the one badly typed element taints its neighbours too.
     found = by_file.collect()

@@ -17,11 +17,13 @@ from .constants import BRONZE_TABLES, DOMAINS, GOLD_TABLES, SILVER_TABLES
 from .operators import coverage, missing_domains, pending
 from .operators import quality as Q
 from .plans import bronze as B
+from .plans.analytics import publish_views
 from .plans import gold as G
 from .plans import silver as S
 from .session import build_session, drop_scratch, materialise
 from .sources import raw as R
 from .sources import tables as T
+from .streaming import landing as L
 
 MODES = ("incremental", "full", "explicit")
 
@@ -90,16 +92,20 @@ def run_bronze(
     return {"days": days, **seen.get}
 
 
+def _processed(lake: Lake, table: str) -> str:
+    """The small table of processed days: day, and the newest landing it has seen."""
+    return lake.path("silver", f"_processed/{table}")
+
+
 def _silver_days(
-    source: DataFrame, target: DataFrame | None, target_day: str, mode: str,
-    dates: Sequence[str], limit: int | None,
+    spark: SparkSession, lake: Lake, table: str, source: DataFrame, mode: str, dates: Sequence[str],
+    limit: int | None,
 ) -> list[str]:
-    """Days with valid records that are not conformed yet, or were landed again since."""
-    done = target
-    if target is not None:
-        done = target.withColumnsRenamed({target_day: "_ingest_date", "silver_ts": "_bronze_ts"})
-    valid = source.where(F.col("_is_valid"))
-    return _listed(pending(valid, done, "_ingest_date", mode, dates, limit, "_bronze_ts"))
+    """Days not processed yet, or landed again since; a day without results counts as processed."""
+    done = None
+    if R.present(spark, _processed(lake, table)):
+        done = spark.read.schema("_ingest_date date, _bronze_ts timestamp").parquet(_processed(lake, table))
+    return _listed(pending(source, done, "_ingest_date", mode, dates, limit, "_bronze_ts"))
 
 
 def run_silver(
@@ -114,11 +120,13 @@ def run_silver(
     if source is None:
         return []
     table = SILVER_TABLES[domain]
-    target = lake.find(spark, "silver", table)
     day = "order_date" if domain == "carts" else "snapshot_date"
-    days = _silver_days(source, target, day, mode, dates, limit)
+    days = _silver_days(spark, lake, table, source, mode, dates, limit)
     if not days:
         return []
+    wanted = source.where(F.col("_ingest_date").isin([F.lit(d).cast("date") for d in days]))
+    seen = materialise(wanted.groupBy("_ingest_date").agg(
+        F.max("_bronze_ts").alias("_bronze_ts"), F.bool_or("_is_valid").alias("valid")), "days-seen")
     model = {"reconstruct": settings.reconstruct, "seed": settings.seed}
     if domain == "products":
         newest = source.agg(F.max("_ingest_date").alias("d")).select("d").scalar()
@@ -132,9 +140,34 @@ def run_silver(
         buyers = known.select("customer_id").distinct().agg(F.count("*").alias("n")).select("n").scalar()
         rows, order = S.fct_order_items(source, buyers, days, **model), ["customer_id", "order_id"]
     T.overwrite_partitions(rows, lake.path("silver", table), [day], order)
+    # A day whose records are all invalid by now has no rows to put in place of its old ones.
+    T.drop_days(spark, lake.path("silver", table), day, _listed(seen.where("NOT valid").select("_ingest_date")))
+    seen.drop("valid").coalesce(1).write.mode("append").parquet(_processed(lake, table))
     return days
 
 
+# What the landing job reads, one JSON line per response.
+RESPONSE_FIELDS = "domain STRING, snapshot_date STRING, ts TIMESTAMP, status INT, mime STRING, body STRING, attempts INT"
+
+
+def run_landing(spark: SparkSession, lake: Lake, source: str) -> None:
+    """Lands all responses that have come into `source` since the last run; refused ones go to
+    `_retry` until they have been tried often enough, then to the dead letters."""
+    responses = L.read_stream(spark, source, RESPONSE_FIELDS)
+    accepted = L.is_conforming(F.col("status"), F.length("body"), F.col("mime"))
+    for query in L.land(
+        responses, accepted, ["domain", "snapshot_date"], "ts", f"{lake.raw}/landed", f"{lake.root}/_dead_letter",
+        f"{lake.root}/_checkpoints/landing", retry_path=f"{lake.root}/_retry",
+    ):
+        query.awaitTermination()
+
+
+def run_views(spark: SparkSession, lake: Lake, sql: str, limit: int) -> None:
+    """Publishes the report views over the Gold tables and shows a query on them."""
+    publish_views(lake.read(spark, "gold", GOLD_TABLES["sales_daily"]), lake.read(spark, "gold", GOLD_TABLES["customer_360"]))
+    spark.sql(sql).show(limit, truncate=False)
+
+
 def run_gold(spark: SparkSession, lake: Lake) -> list[str]:
     """Recomputes the four analytics tables."""
     products = lake.read(spark, "silver", SILVER_TABLES["products"])
@@ -240,6 +273,11 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     compact.add_argument("--table", required=True)
     compact.add_argument("--partition-by", default="")
     compact.add_argument("--target-file-size-mb", type=int, default=64)
+    landing = jobs.add_parser("land")
+    landing.add_argument("--source", required=True, help="folder of JSON response lines")
+    views = jobs.add_parser("views")
+    views.add_argument("--sql", default="SELECT * FROM v_monthly_summary ORDER BY year, month, category_label")
+    views.add_argument("--limit", type=int, default=20)
     expire = jobs.add_parser("expire")
     expire.add_argument("--layer", required=True)
     expire.add_argument("--table", required=True)
@@ -274,6 +312,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         keys = [k for k in args.partition_by.split(",") if k]
         target = args.target_file_size_mb * 1024 * 1024
         print(T.compact(spark, lake.path(args.layer, args.table), keys, target_bytes=target))
+    elif args.job == "land":
+        run_landing(spark, lake, args.source)
+    elif args.job == "views":
+        run_views(spark, lake, args.sql, args.limit)
     elif args.job == "expire":
         print(T.expire(spark, lake.path(args.layer, args.table), args.day, args.retain_days, args.retain_last))
     else:

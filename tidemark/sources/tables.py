@@ -89,6 +89,13 @@ def partition_days(spark: SparkSession, path: str, day: str) -> list[tuple[str,
     return sorted((n.split("=", 1)[1], f"{path}/{n}") for n in names if n.startswith(f"{day}="))
 
 
+def drop_days(spark: SparkSession, path: str, day: str, days: Sequence[str]) -> None:
+    """Deletes the partitions of these days, where they exist."""
+    fs, make = _files(spark, path)
+    for d in days:
+        fs.delete(make(f"{path}/{day}={d}"), True)
+
+
 def expire(
     spark: SparkSession, path: str, day: str, retain_days: int = RETAIN_DAYS, keep_last: int = RETAIN_LAST,
 ) -> list[str]:
