@@ -27,15 +27,17 @@ from .text import LOWER, SPACE, mix64, slices, word_hashes
 #: Fixed hashes of the two marks around a text (no word can be told apart from them but by chance).
 BEGIN, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 #: Text bytes of a chunk, tokens of a bin, customers of a room.
-CHUNK_BYTES, BIN_TOKENS, ROOM_TOKENS = 16 << 20, 3_000_000, 1_000_000
+CHUNK_BYTES, BIN_TOKENS, ROOM_TOKENS = 12 << 20, 2_500_000, 1_000_000
 #: A context is looked at for rooms when a chunk holds it with this share; at most so many contexts are cut.
 FREQUENT = 1 << 16
 #: Concentrations of the two levels.
 THETA, THETA_ROOT = 1.0, 1.0
 #: Customers seated one by one; beyond them the wait for the next new table is drawn at once.
 ONE_BY_ONE = 48
-#: Sweeps of the restaurants of a bin for each sample, and Metropolis steps in a sweep.
-SWEEPS, STEPS = 2, 2
+#: Sweeps of the restaurants of a bin before the first sample, and Metropolis steps in a sweep.
+WARM, STEPS = 1, 2
+#: Units of the sums of logarithms that travel as whole numbers.
+_UNIT = float(1 << 32)
 
 _CUT_MARK = np.uint64(0xA5A5A5A55A5A5A5A)
 
@@ -184,8 +186,7 @@ class Bin:
             n.append(customers.astype(np.int64))
             if entries:
                 pair = np.repeat(np.arange(at, at + len(tok_no), dtype=np.int32), n_e)
-                self.parts.append((int(first[0]) + docs.astype(np.int64), np.cumsum(doc_id.astype(np.uint64)).view(np.int64),
-                                   null_id, doc_no, more, pair))
+                self.parts.append((int(first[0]), docs, doc_id, null_id, doc_no, more, pair))
             at += len(tok_no)
         self.contexts, to_ctx = np.unique(np.concatenate(all_ctx), return_inverse=True)
         self.tokens, to_tok = np.unique(np.concatenate(all_tok), return_inverse=True)
@@ -233,13 +234,12 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
 def _seat(n: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, theta: float, rng) -> tuple[np.ndarray, np.ndarray]:
     """Seats n customers of each dish one after another; returns tables and the log of the path's importance weight.
 
+    The dishes must come in descending order of n.
     others: tables of the other dishes in the restaurant; base: the parent's probability of the dish. With k seated at
     t tables the next customer opens a table in proportion to a = (theta + d * (others + t)) * base and joins one in
     proportion to k - d * t; the weight is the product of a + k - d * t over all steps, which a path's true probability
     has and its proposal has not.
     """
-    order = np.argsort(-n, kind="stable")
-    n, others, base = n[order], others[order], base[order]
     t, log_w = np.ones(len(n)), np.zeros(len(n))
     falling = -n
     for k in range(1, ONE_BY_ONE):
@@ -265,32 +265,38 @@ def _seat(n: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, theta:
         log_w[live[opens]] += np.log(a[opens] + stop[opens])
         t[live] += opens
         live = live[at[live] < n[live]]
-    out_t, out_w = np.empty_like(t), np.empty_like(log_w)
-    out_t[order], out_w[order] = t, log_w
-    return out_t, out_w
+    return t, log_w
 
 
-def sample_tables(bin_: Bin, base: np.ndarray, cut_tables: np.ndarray, d: float, theta: float, rng) -> np.ndarray:
-    """Tables of every pair after SWEEPS sweeps given the parent's probabilities (by token).
+def sample_tables(bin_: Bin, base: np.ndarray, cut_tables: np.ndarray, d: float, theta: float, rng,
+                  samples: int) -> list[np.ndarray]:
+    """Tables of every pair in consecutive samples, given the parent's probabilities (by token).
 
-    A pair with one customer has one table. All other dishes are redrawn side by side given the tables of the rest of
-    their restaurant as of the sweep before: a path is proposed and taken or not by Metropolis' rule, STEPS times. Of a
-    cut restaurant the tables in other rooms are held at their last sum.
+    A pair with one customer has one table. In each sweep all other dishes are redrawn side by side given the tables of
+    the rest of their restaurant as of the sweep before: a path is proposed and taken or not by Metropolis' rule, STEPS
+    times (once for two customers, where the first proposal is exact). Of a cut restaurant the tables in other rooms
+    are held at their last sum.
     """
     t = (bin_.n > 0).astype(np.float64)
     away = np.zeros(len(bin_.contexts))
     away[bin_.is_cut] = cut_tables - bin_.per_context(t)[bin_.is_cut]
     many = np.flatnonzero(bin_.n > 1)
-    n, p = bin_.n[many].astype(np.float64), base[bin_.token[many]]
-    for _ in range(SWEEPS):
-        others = (bin_.per_context(t) + away)[bin_.context[many]] - t[many]
+    many = many[np.argsort(-bin_.n[many], kind="stable")]
+    n, p, context = bin_.n[many].astype(np.float64), base[bin_.token[many]], bin_.context[many]
+    more = slice(0, int(np.searchsorted(-n, -2.0, "left")))  # dishes with three customers or more
+    found = []
+    for sweep in range(WARM + samples):
+        others = (bin_.per_context(t) + away)[context] - t[many]
         now, weight = _seat(n, others, p, d, theta, rng)
         for _ in range(STEPS - 1):
-            new, new_weight = _seat(n, others, p, d, theta, rng)
-            take = np.log(rng.random(len(n))) < new_weight - weight
-            now, weight = np.where(take, new, now), np.where(take, new_weight, weight)
+            new, new_weight = _seat(n[more], others[more], p[more], d, theta, rng)
+            take = np.log(rng.random(len(new))) < new_weight - weight[more]
+            now[more] = np.where(take, new, now[more])
+            weight[more] = np.where(take, new_weight, weight[more])
         t[many] = now
-    return t
+        if sweep >= WARM:
+            found.append(t.copy())
+    return found
 
 
 def discount(ones: float, twos: float) -> float:
@@ -319,7 +325,12 @@ def _send(bin_no: int, keys: np.ndarray, values: np.ndarray, bins: int) -> pa.Ta
 
 
 def _sum_keys(messages: pa.Table) -> pa.Table:
-    """Sums by key, returned to each bin in the order it sent them, with a mark for the one bin that owns a key."""
+    """Sums by key, returned to each bin in the order it sent them, with a mark for the one bin that owns a key.
+
+    A bin's message to itself (shard below 0) comes back as it is.
+    """
+    if messages["shard"][0].as_py() < 0:
+        return messages
     parts = [unpack(b.as_buffer()) for b in messages["blob"]]
     who = messages["bin"].to_numpy()
     parts = [parts[i] for i in np.argsort(who)]
@@ -340,7 +351,7 @@ def _sum_keys(messages: pa.Table) -> pa.Table:
 
 def _received(table: pa.Table, step: int) -> np.ndarray:
     """The answers of one round in the order of the keys; the last column is the owner's mark."""
-    table = table.filter(pc.equal(table["step"], step)).sort_by("shard")
+    table = table.filter(pc.and_(pc.equal(table["step"], step), pc.greater_equal(table["shard"], 0))).sort_by("shard")
     parts = [np.stack([c.astype(np.int64) for c in unpack(b.as_buffer())], 1) for b in table["blob"]]
     return np.concatenate(parts)
 
@@ -376,7 +387,7 @@ class Model:
         """Each document's share of a bin: tokens, known tokens, sums of log10 of both models."""
         return lambda key, blobs, answers: self._score(blobs, answers)
 
-    def _draws(self, b: Bin, bin_no: int, step: int, answers: pa.Table) -> np.ndarray:
+    def _draws(self, b: Bin, bin_no: int, step: int, answers: pa.Table) -> list[np.ndarray]:
         """The samples of a round given the tables after the round before (in round 1: one for each kind)."""
         first = _received(answers, 0)
         token, _, kinds_cut, d, total, _ = _levels(b, first)
@@ -387,8 +398,7 @@ class Model:
             tables, all_tables, cut_tables = t[:, 0], sums[0], ctx[:, 0]
         base = root_probability(tables.astype(float), float(all_tables), 0.0, 0.5)
         rng = np.random.default_rng([self.seed, step, bin_no])
-        n = self.samples if step > self.burn_in else 1
-        return np.stack([sample_tables(b, base, cut_tables, d, THETA, rng) for _ in range(n)])
+        return sample_tables(b, base, cut_tables, d, THETA, rng, self.samples if step > self.burn_in else 1)
 
     def seat(self, step: int):
         """Round `step`: tables by word and by cut restaurant, and from the owners the kinds of words."""
@@ -404,16 +414,25 @@ class Model:
             zero = [np.zeros(len(b.tokens))] * 3, [np.zeros(len(b.contexts))] * 3
             v = b.message([*(b.per_token(t) for t in draws), *zero[0]], [*(b.per_context(t) for t in draws), *zero[1]],
                           [*(t.sum() for t in draws), *known])
-            return _send(bin_no, b.keys, v, self.bins)
+            sent = _send(bin_no, b.keys, v, self.bins)
+            if step <= self.burn_in:
+                return sent
+            # The samples themselves go to the bin's last round.
+            kept = pack(*(t[b.n > 1] for t in draws))
+            own = pa.table([pa.array([bin_no], pa.int32()), pa.array([-1 - bin_no], pa.int32()), pa.array([kept], pa.binary())],
+                           schema=_MESSAGE)
+            return pa.concat_tables([sent, own])
 
         return run
 
     def _score(self, blobs: pa.Table, answers: pa.Table) -> pa.Table:
         if not blobs.num_rows:
             return _SHARE.empty_table()
-        b, bin_no = Bin(blobs["blob"], self.cut, entries=True), blobs["bin"][0].as_py()
-        last = self.burn_in + 1
-        draws = self._draws(b, bin_no, last, answers)
+        b, last = Bin(blobs["blob"], self.cut, entries=True), self.burn_in + 1
+        draws = []
+        for many in unpack(answers.filter(pc.less(answers["shard"], 0))["blob"][0].as_buffer()):
+            draws.append((b.n > 0).astype(np.float64))
+            draws[-1][b.n > 1] = many
         token, n_context, _, d, total, _ = _levels(b, _received(answers, 0))
         t_all, ctx_all, sums = b.split(_received(answers, last))
         s = self.samples
@@ -425,24 +444,36 @@ class Model:
             n_u = n_context[b.context]
             own = ((b.n - d * t) + (THETA + d * tables) * root) / (THETA + n_u)
             p += np.where(n_u > 0, own, root)
-        score, known = np.log10(p / s), token[:, 0][b.token]
+        score, known = -np.log10(p / s), token[:, 0][b.token]
         base = np.log10(known + 1.0)
-        out = []
-        for rid, doc_id, null_id, doc_no, more, pair in b.parts:
+        rows = []
+        for first, docs, doc_id, null_id, doc_no, more, pair in b.parts:
             of, times = b.of[pair], more.astype(np.float64) + 1
-            add = lambda x: np.bincount(doc_no, weights=times * x, minlength=len(rid))  # noqa: E731, B023
-            ones = np.ones(len(of))
-            out.append(pa.table([
-                pa.array(rid), pa.array(doc_id, mask=null_id.astype(bool)), pa.array(add(ones).astype(np.int64)),
-                pa.array(add(known[of] > 0).astype(np.int64)), pa.array(add(base[of])), pa.array(add(score[of])),
-                pa.array(np.full(len(rid), int(total[0]))), pa.array(np.full(len(rid), int(kinds)))], schema=_SHARE))
-        return pa.concat_tables(out)
+            add = lambda x: np.bincount(doc_no, weights=times * x, minlength=len(docs))  # noqa: E731, B023
+            rows.append((first, pack(docs, doc_id, null_id, add(np.ones(len(of))), add(known[of] > 0),
+                                     np.rint(add(base[of]) * _UNIT), np.rint(add(score[of]) * _UNIT))))
+        return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
+                         pa.array([int(total[0])] * len(rows), pa.int64()), pa.array([int(kinds)] * len(rows), pa.int64())],
+                        schema=_SHARE)
+
+
+def _documents(shares: pa.Table) -> pa.Table:
+    """The sums over all bins for the documents of one chunk."""
+    parts = [unpack(b.as_buffer()) for b in shares["blob"]]
+    docs, of = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    doc_id, null = np.zeros(len(docs), np.int64), np.zeros(len(docs), bool)
+    doc_id[of] = np.concatenate([np.cumsum(p[1].astype(np.uint64)) for p in parts]).view(np.int64)
+    null[of] = np.concatenate([p[2] for p in parts]).astype(bool)
+    n_tokens, n_known, base, score = (np.bincount(of, weights=np.concatenate([p[k] for p in parts])) for k in range(3, 7))
+    n, v = shares["train_tokens"][0].as_py(), shares["kinds"][0].as_py()
+    return pa.table([
+        pa.array(doc_id, mask=null), pa.array(n_tokens.astype(np.int64)), pa.array(n_known.astype(np.int64)),
+        pa.array(np.full(len(docs), n)), pa.array(base / _UNIT - n_tokens * np.log10(n + v + 1.0)),
+        pa.array(-score / _UNIT)], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
-_SHARE = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                    ("base", pa.float64()), ("score", pa.float64()), ("train_tokens", pa.int64()), ("kinds", pa.int64())])
-_SHARE_DDL = ("rid long, doc_id long, n_tokens long, n_known long, base double, score double, train_tokens long, "
-              "kinds long")
+_SHARE = pa.schema([("chunk", pa.int64()), ("blob", pa.binary()), ("train_tokens", pa.int64()), ("kinds", pa.int64())])
+_SHARE_DDL = "chunk long, blob binary, train_tokens long, kinds long"
 
 
 def held_out(ident: Column) -> Column:
@@ -483,11 +514,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         messages = by_bin.cogroup(answers.groupBy("bin")).applyInArrow(model.seat(step), _MESSAGE_DDL)
         answers = answers.unionByName(summed(messages, step))
     shares = by_bin.cogroup(answers.groupBy("bin")).applyInArrow(model.score(), _SHARE_DDL)
-    n = F.sum("n_tokens")
-    mass = F.max("train_tokens") + F.max("kinds") + 1
-    return (shares.groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"), n.alias("n_tokens"), F.sum("n_known").alias("n_known"),
-        F.max("train_tokens").alias("train_tokens"),
-        (F.sum("base") - n * F.log10(mass.cast("double"))).alias("base_score"), F.sum("score").alias("score"))
-        .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
-                "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity")))
+    found = shares.groupBy("chunk").applyInArrow(
+        _documents, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
