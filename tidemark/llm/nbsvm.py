@@ -14,6 +14,8 @@ from .text import LOWER, SPACE, mix64, slices, word_hashes
 BUCKETS, FIT_ROWS = 1 << 18, 16_000
 #: Smoothing of the counts, cost of a margin error (balanced over the classes), passes over the sample.
 ALPHA, COST, PASSES = 1.0, 1.0, 12
+#: Bytes of text whose n-grams are held at a time.
+SLICE_BYTES = 4 << 20
 #: Score from which a text is taken for good.
 THRESHOLD = 0.3
 
@@ -57,7 +59,7 @@ def indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _featured(batches):
-    for batch in slices(batches, 2):
+    for batch in slices(batches, 2, SLICE_BYTES):
         row, bucket = indicators(batch.column(2))
         ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
         bucket = bucket.astype(np.uint32)
@@ -73,19 +75,26 @@ def log_count_ratios(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
     return np.log(fine / bad)
 
 
-def descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: np.ndarray, passes: int,
+def descend(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, cost: np.ndarray, passes: int,
             rng) -> tuple[np.ndarray, float]:
-    """Weights and bias of the hinge-loss machine by dual coordinate descent, one row's multiplier at a time."""
-    w, bias = np.zeros(BUCKETS), 0.0
+    """The hinge-loss machine by dual coordinate descent, one row's multiplier at a time.
+
+    A row's vector has the ratio r of each of its buckets, scaled to length 1; `scale` is r squared. What is kept and
+    returned is weight times r for each bucket, and the bias: margins are sums of it over a row's buckets, divided by
+    the length of its ratios, so no row's values need to be held.
+    """
+    w, bias = np.zeros(len(scale)), 0.0
     alpha = np.zeros(len(rows))
-    square = np.array([v @ v + 1.0 for v in values])
+    size = np.array([scale[b].sum() for b in rows])
+    length = np.sqrt(np.maximum(size, 1e-18))
+    square = size / length**2 + 1.0
     for _ in range(passes):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            gradient = y[i] * (w[rows[i]] @ values[i] + bias) - 1.0
+            gradient = y[i] * (w[rows[i]].sum() / length[i] + bias) - 1.0
             new = min(max(alpha[i] - gradient / square[i], 0.0), cost[i])
             if (step := (new - alpha[i]) * y[i]) != 0.0:
-                w[rows[i]] += step * values[i]
+                w[rows[i]] += scale[rows[i]] * (step / length[i])
                 bias += step
                 alpha[i] = new
                 moved = max(moved, abs(step))
@@ -122,16 +131,13 @@ def _fit(sample: pa.Table) -> pa.Table:
     weights, scale, bias, slope = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 1.0
     offset = float(np.log((n1 + 1) / (n - n1 + 1)))  # the labels' rate where there is one class at the most
     if 0 < n1 < n:
-        r = log_count_ratios([rows[i] for i in fit], good[fit])
-        values = [r[b] / max(1e-9, np.sqrt((r[b] ** 2).sum())) for b in rows]
+        scale = log_count_ratios([rows[i] for i in fit], good[fit]) ** 2
         y = np.where(good, 1.0, -1.0)
         share = good[fit].mean()
         cost = np.where(good, COST / (2 * share), COST / (2 * (1 - share)))
-        w, bias = descend([rows[i] for i in fit], [values[i] for i in fit], y[fit], cost[fit], PASSES,
-                          np.random.default_rng(5))
-        weights, scale = w * r, r**2
+        weights, bias = descend([rows[i] for i in fit], scale, y[fit], cost[fit], PASSES, np.random.default_rng(5))
         hold = np.flatnonzero(aside) if len(fit) < n else np.arange(n)
-        margin = np.array([w[rows[i]] @ values[i] + bias for i in hold])
+        margin = np.array([weights[rows[i]].sum() / np.sqrt(max(scale[rows[i]].sum(), 1e-18)) + bias for i in hold])
         slope, offset = _squash(margin, good[hold])
     model = np.concatenate([weights, scale, [bias, slope, offset]])
     return pa.table({"model": pa.array([model.tobytes()], pa.binary())})
@@ -179,7 +185,7 @@ def score_quality(docs: DataFrame, model: np.ndarray, id_col: str = "doc_id", te
     identifiers are in fold 0. Equal texts have equal scores. No rows give no rows.
     """
     def run(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE_BYTES):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(model, batch.column(1)))],
                                              ["doc_id", "score"])
 
@@ -194,7 +200,7 @@ def keep_good(docs: DataFrame, model: np.ndarray, text_col: str = "text") -> Dat
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in slices(batches, at):
+        for batch in slices(batches, at, SLICE_BYTES):
             yield batch.filter(pa.array(scores(model, batch.column(at)) >= THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
