@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share; a temporary one only where none is set."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    place = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if place is None:
-        place = spark.sparkContext.getCheckpointDir()
-        if place is None:
-            place = tempfile.mkdtemp(prefix="tidemark-")
-            spark.sparkContext.setCheckpointDir(place)
+        place = tempfile.mkdtemp(prefix="tidemark-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(place)
     return place.rstrip("/")
 
 
