@@ -18,41 +18,47 @@ from .text import slices
 #: Ids of a block, blocks that are coded side by side, ids of a section (the unit a task holds).
 BLOCK_IDS, LANES, SECTION_IDS = 2048, 2048, 4_000_000
 #: Slots of the tables that predict the id after one and after two ids; both start empty in every block.
-SLOTS = 2048
+SLOTS = 1024
 #: Distributions have 16 steps of 15 bits; a step is never narrower than LEAST; they move by 1/16 to each symbol.
 BITS, LEAST, RATE = 15, 24, 4
 _TOTAL = 1 << BITS
 _START = np.arange(16, dtype=np.int16) * np.int16(_TOTAL // 16)
 _TARGET = np.array([[LEAST * j if j <= s else _TOTAL - LEAST * (16 - j) for j in range(16)] for s in range(16)], np.int16)
 _ONES = np.uint64(0x0101010101010101)
-#: Distributions of a lane: which prediction holds (by both confidences and whether they agree), then the first three
-#: hexadecimal digits of an id, each after those before it. The last digit is coded as it is.
-_FLAGS, _DIGITS, _ORDER0 = 32, (0, 1, 17), 17 + 256
+#: Distributions of a lane: which prediction holds (by both confidences and whether they agree), then the first two
+#: hexadecimal digits of an id, the second after the first. The low byte is coded as it is.
+_FLAGS, _ORDER0, _LOW_BITS = 32, 17, 8
 
 MAGIC = b"TDMK"
 
+#: Distinct pieces of text whose ids a task keeps.
+CACHED = 350_000
+
 
 class _Lanes:
-    """Range coding and models of many blocks in step; subclasses find or take the symbols."""
+    """Range coding and models of many blocks in step; subclasses find or take the symbols.
+
+    Between the symbols of an id the coder's state of the lanes at work is held in `at_work` (range, and low or code,
+    and place), so that lanes are picked out once for each id.
+    """
 
     def __init__(self, lanes: int):
-        self.range = np.full(lanes, 1 << 48, np.uint64)
         self.flags = np.tile(_START, (lanes * _FLAGS, 1))
         self.digits = np.tile(_START, (lanes * _ORDER0, 1))
         self.guess = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]  # 4 * id + confidence
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.lane = np.arange(lanes)
 
-    def symbol(self, table: np.ndarray, at: np.ndarray, lane: np.ndarray, wanted) -> np.ndarray:
-        """Codes one of 16 symbols for each lane by the distribution at `at`, and moves that towards it."""
+    def symbol(self, table: np.ndarray, at: np.ndarray, wanted) -> np.ndarray:
+        """Codes one of 16 symbols for each lane at work by the distribution at `at`, and moves that towards it."""
         rows = table.take(at, axis=0)
-        step = self.range.take(lane) >> np.uint64(BITS)
-        s = self.find(rows, step, lane, wanted)
+        step = self.at_work[0] >> np.uint64(BITS)
+        s = self.find(rows, step) if wanted is None else wanted
         flat = rows.ravel()
         index = self.lane[:len(s)] * 16 + s
-        low = flat.take(index).astype(np.uint64)
-        high = np.where(s == 15, np.int32(_TOTAL), flat.take(np.minimum(index + 1, len(flat) - 1))).astype(np.uint64)
-        self.narrow(lane, step, low, high - low)
+        low = flat.take(index)
+        width = np.where(s == 15, np.int32(_TOTAL), flat.take(np.minimum(index + 1, len(flat) - 1))) - low
+        self.narrow(step, low.astype(np.uint64), width.astype(np.uint64))
         move = _TARGET.take(s, axis=0)
         move -= rows
         move >>= RATE
@@ -60,11 +66,11 @@ class _Lanes:
         table.view("V32").ravel()[at] = rows.view("V32").ravel()
         return s
 
-    def plain(self, lane: np.ndarray, wanted) -> np.ndarray:
-        """Codes one of 16 symbols that are all alike."""
-        step = self.range.take(lane) >> np.uint64(4)
-        s = self.find_plain(step, lane, wanted)
-        self.narrow(lane, step, s.astype(np.uint64), np.uint64(1))
+    def plain(self, wanted) -> np.ndarray:
+        """Codes the low byte, all values alike."""
+        step = self.at_work[0] >> np.uint64(_LOW_BITS)
+        s = self.find_plain(step) if wanted is None else wanted
+        self.narrow(step, s.astype(np.uint64), np.uint64(1))
         return s
 
     def ids(self, n: int, wanted: np.ndarray | None) -> np.ndarray:
@@ -78,19 +84,22 @@ class _Lanes:
         flag = None
         if wanted is not None:
             flag = np.where(wanted == two, 0, np.where(wanted == one, 1, 2))
-        flag = self.symbol(self.flags, lane * _FLAGS + (sure2 * 8 + sure1 * 2 + (one == two)), lane, flag)
+        self.pick(slice(0, n))
+        flag = self.symbol(self.flags, lane * _FLAGS + (sure2 * 8 + sure1 * 2 + (one == two)), flag)
+        self.put(slice(0, n))
         found = np.where(flag == 0, two, one)
         new = np.flatnonzero(flag == 2)
         if len(new):
             first = new * _ORDER0
-            digits = [None] * 4
+            value = (None,) * 3
             if wanted is not None:
-                value = wanted.take(new)
-                digits = [value >> 12, value >> 8 & 15, value >> 4 & 15, value & 15]
-            a = self.symbol(self.digits, first, new, digits[0])
-            b = self.symbol(self.digits, first + a + _DIGITS[1], new, digits[1])
-            c = self.symbol(self.digits, first + (a * 16 + b) + _DIGITS[2], new, digits[2])
-            found[new] = (a << 12) | (b << 8) | (c << 4) | self.plain(new, digits[3])
+                new_ids = wanted.take(new)
+                value = new_ids >> 12, new_ids >> 8 & 15, new_ids & 255
+            self.pick(new)
+            a = self.symbol(self.digits, first, value[0])
+            b = self.symbol(self.digits, first + a + 1, value[1])
+            found[new] = (a << 12) | (b << 8) | self.plain(value[2])
+            self.put(new)
         for guess, slot, was, sure in zip(self.guess, slots, (one, two), (sure1, sure2)):
             right = was == found
             keep = np.where(right | (sure > 0), was, found)
@@ -99,70 +108,75 @@ class _Lanes:
         self.last[:n] = found
         return found
 
+    def pick(self, lanes):
+        """Takes up the state of these lanes."""
+        self.at_work = [x[lanes] for x in self.state]
+        self.chosen = self.lane[lanes]
+
+    def put(self, lanes):
+        for x, now in zip(self.state, self.at_work):
+            x[lanes] = now
+
 
 class _Encoder(_Lanes):
     def __init__(self, lanes: int, most: int):
         super().__init__(lanes)
-        self.low = np.zeros(lanes, np.uint64)
-        self.room = most * 5 + 4  # no symbol takes more than a word
+        self.room = most * 4 + 4  # no symbol takes more than a word
         self.out = np.empty(lanes * self.room, np.uint32)
-        self.size = np.zeros(lanes, np.int64)
-
-    def find(self, rows, step, lane, wanted):
-        return wanted
-
-    def find_plain(self, step, lane, wanted):
-        return wanted
+        # Range, low end, and the next place in the output.
+        self.state = [np.full(lanes, 1 << 48, np.uint64), np.zeros(lanes, np.uint64), self.lane * self.room]
 
-    def narrow(self, lane, step, low, width):
-        base = self.low.take(lane) + step * low
+    def narrow(self, step, low, width):
+        _, base, place = self.at_work
+        base = base + step * low
         span = step * width
         short = span < np.uint64(1 << 32)
-        emit = lane[short]
-        self.out[emit * self.room + self.size[emit]] = base[short] >> np.uint64(32)  # a 17th bit is a carry
-        self.size[emit] += 1
-        self.low[lane] = np.where(short, (base & np.uint64(0xFFFFFFFF)) << np.uint64(16), base)
-        self.range[lane] = np.where(short, span << np.uint64(16), span)
+        # The word that would leave next is written always and counts only where it does; a 17th bit is a carry.
+        self.out[place] = base >> np.uint64(32)
+        shift = short * np.uint64(16)
+        base = np.where(short, base & np.uint64(0xFFFFFFFF), base)
+        self.at_work = [span << shift, base << shift, place + short]
 
     def words(self) -> list[bytes]:
-        lanes = np.arange(len(self.size))
+        _, low, place = self.state
         for _ in range(3):
-            self.out[lanes * self.room + self.size] = self.low >> np.uint64(32)
-            self.size += 1
-            self.low = (self.low & np.uint64(0xFFFFFFFF)) << np.uint64(16)
-        out = self.out.reshape(-1, self.room)
-        for k in range(int(self.size.max()) - 1, 0, -1):  # carries run to the front, all lanes at once
-            used = k < self.size
+            self.out[place] = low >> np.uint64(32)
+            place = place + 1
+            low = (low & np.uint64(0xFFFFFFFF)) << np.uint64(16)
+        size, out = place - self.lane * self.room, self.out.reshape(-1, self.room)
+        for k in range(int(size.max()) - 1, 0, -1):  # carries run to the front, all lanes at once
+            used = k < size
             out[used, k - 1] += out[used, k] >> np.uint32(16)
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, self.size)]
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, size)]
 
 
 class _Decoder(_Lanes):
     def __init__(self, words: list[np.ndarray]):
         super().__init__(len(words))
         self.data = np.concatenate(words + [np.zeros(4, np.uint16)]).astype(np.uint64)
-        self.at = np.concatenate([[0], np.cumsum([len(w) for w in words])[:-1]])
-        self.code = np.zeros(len(words), np.uint64)
+        place = np.concatenate([[0], np.cumsum([len(w) for w in words])[:-1]])
+        code = np.zeros(len(words), np.uint64)
         for _ in range(3):
-            self.code = (self.code << np.uint64(16)) | self.data[self.at]
-            self.at += 1
+            code = (code << np.uint64(16)) | self.data[place]
+            place = place + 1
+        # Range, code less the low end, and the next place in the input.
+        self.state = [np.full(len(words), 1 << 48, np.uint64), code, place]
 
-    def find(self, rows, step, lane, wanted):
-        value = np.minimum(self.code.take(lane) // step, np.uint64(_TOTAL - 1)).astype(np.int16)
+    def find(self, rows, step):
+        value = np.minimum(self.at_work[1] // step, np.uint64(_TOTAL - 1)).astype(np.int16)
         below = (rows <= value[:, None]).view(np.uint64).reshape(-1, 2)
         return (((below[:, 0] + below[:, 1]) * _ONES) >> np.uint64(56)).astype(np.int64) - 1
 
-    def find_plain(self, step, lane, wanted):
-        return np.minimum(self.code.take(lane) // step, np.uint64(15)).astype(np.int64)
+    def find_plain(self, step):
+        return np.minimum(self.at_work[1] // step, np.uint64(255)).astype(np.int64)
 
-    def narrow(self, lane, step, low, width):
-        code, span = self.code.take(lane) - step * low, step * width
+    def narrow(self, step, low, width):
+        _, code, place = self.at_work
+        code, span = code - step * low, step * width
         short = span < np.uint64(1 << 32)
-        at = self.at.take(lane)
-        more = self.data.take(np.minimum(at, len(self.data) - 1))
-        self.code[lane] = np.where(short, (code << np.uint64(16)) | more, code)
-        self.range[lane] = np.where(short, span << np.uint64(16), span)
-        self.at[lane] = at + short
+        shift = short * np.uint64(16)
+        code = (code << shift) | (self.data.take(place, mode="clip") * short)
+        self.at_work = [span << shift, code, place + short]
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -173,12 +187,12 @@ def encode(ids: np.ndarray) -> bytes:
     for at in range(0, len(ids), BLOCK_IDS * LANES):
         part = ids[at:at + BLOCK_IDS * LANES]
         blocks = [part[i:i + BLOCK_IDS] for i in range(0, len(part), BLOCK_IDS)]
-        full = np.zeros((len(blocks), len(blocks[0])), np.int64)
+        full = np.zeros((len(blocks), len(blocks[0])), np.uint16)
         full.ravel()[:len(part)] = part
         coder, full = _Encoder(len(blocks), len(blocks[0])), np.ascontiguousarray(full.T)
         for k in range(len(full)):
             n = len(blocks) - (len(blocks[-1]) <= k)  # only the last block may be shorter
-            coder.ids(n, full[k, :n])
+            coder.ids(n, full[k, :n].astype(np.int64))
         for block, words in zip(blocks, coder.words()):
             crc = zlib.crc32(block.astype("<u4").tobytes())
             out.append(struct.pack("<III", len(block), len(words) // 2, crc) + words)
@@ -197,7 +211,7 @@ def decode(data: memoryview) -> np.ndarray:
         group = sorted(range(first, min(first + LANES, len(blocks))), key=lambda i: -blocks[i][0])
         sizes = np.array([blocks[i][0] for i in group])
         coder = _Decoder([blocks[i][2] for i in group])
-        ids = np.zeros((int(sizes[0]), len(group)), np.uint32)
+        ids = np.zeros((int(sizes[0]), len(group)), np.uint16)
         for k in range(len(ids)):
             n = int((sizes > k).sum())
             ids[k, :n] = coder.ids(n, None)
@@ -208,7 +222,7 @@ def decode(data: memoryview) -> np.ndarray:
             if zlib.crc32(block.astype("<u4").tobytes()) != blocks[i][1]:
                 raise ValueError("damaged block")
             out.append(block)
-    return np.concatenate(out) if out else np.empty(0, np.uint32)
+    return np.concatenate(out) if out else np.empty(0, np.uint16)
 
 
 # ---- tokens -----------------------------------------------------------------------------------------------------
@@ -234,8 +248,9 @@ class _Words(dict):
         return place
 
     def _tokenise(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the pieces, where those of each begin, and how many they are. Those that begin with a space are tokenised as one text."""
-        spaced = np.array([p[:1] == " " for p in pieces])
+        """Ids of the pieces, where those of each begin, and how many they are. Those that begin with a space or line end
+        are tokenised as one text."""
+        spaced = np.array([p[:1] in " \n" for p in pieces])
         sizes, starts, flat, held = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [], 0
         own = np.flatnonzero(spaced)
         if len(own):
@@ -268,19 +283,25 @@ class _Words(dict):
 def token_ids(texts: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by the end id, and their number for each text.
 
-    The byte-level pre-tokeniser never joins what stands before a space that follows another character with what comes
-    after, so texts without two spaces in a row are cut there, and each distinct piece is tokenised once.
+    The byte-level pre-tokeniser never joins what stands before white space that follows another character with what
+    comes after, so texts are cut before each space, and before each line end where no white space adjoins it, and each
+    distinct piece is tokenised once. Texts with two spaces in a row are not cut.
     """
     places, pieces = [], []
     for text in texts:
-        parts = [text] if "  " in text or "\0" in text else text.replace(" ", "\0 ").split("\0") if text else []
+        if "  " in text or "\0" in text or not text:
+            parts = [text] if text else []
+        elif "\n\n" in text or " \n" in text or "\n " in text:
+            parts = text.replace(" ", "\0 ").split("\0")
+        else:
+            parts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
         places += map(words.__getitem__, parts)
         places.append(0)
         pieces.append(len(parts) + 1)
     ids, size = words.take(np.array(places))
     ends = np.cumsum(pieces)
     total = np.concatenate([[0], np.cumsum(size)])
-    if len(words) > 300_000:
+    if len(words) > CACHED:
         words.clear()
     return ids, total[ends] - total[ends - pieces]
 
@@ -306,11 +327,13 @@ def _encoded(path: str, end_id: int):
         def done():
             return pa.RecordBatch.from_arrays([pa.array([_section(part, number, docs, sizes, ids)], pa.binary())], ["section"])
 
-        for batch in slices(batches, 1, 2 << 20):
+        for batch in slices(batches, 1, 1 << 20):
             found, size = token_ids(batch.column(1).to_pylist(), words)
             docs.append(batch.column(0))
             sizes.append(size)
-            ids.append(found)
+            if len(found) and not 0 <= found.min() <= found.max() < 1 << 16:
+                raise ValueError("ids must lie in 0 to 65535")
+            ids.append(found.astype(np.uint16))
             held += len(found)
             if held >= SECTION_IDS:
                 yield done()
@@ -349,10 +372,10 @@ def _decoded(batches):
                     raise ValueError("damaged directory")
                 doc, null = np.frombuffer(directory, "<i8", n), np.frombuffer(directory, np.uint8, n, 8 * n)
                 sizes = np.frombuffer(directory, "<u8", n, 9 * n).astype(np.int64)
-                ids = decode(data[at + 17 * n:at + 17 * n + size]).astype("<u4")
+                ids = decode(data[at + 17 * n:at + 17 * n + size])
                 at += 17 * n + size + 1
                 ends = np.cumsum(sizes)
-                crcs = [zlib.crc32(ids[e - s:e]) for e, s in zip(ends, sizes)]
+                crcs = [zlib.crc32(ids[e - s:e].astype("<u4").tobytes()) for e, s in zip(ends, sizes)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, number, np.int32)),
                     pa.array(doc, mask=null.astype(bool)), pa.array(ends - sizes), pa.array(sizes),
