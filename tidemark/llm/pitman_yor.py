@@ -32,8 +32,9 @@ CHUNK_BYTES, BIN_TOKENS, ROOM_TOKENS = 12 << 20, 2_500_000, 1_000_000
 FREQUENT = 1 << 16
 #: Concentrations of the two levels.
 THETA, THETA_ROOT = 1.0, 1.0
-#: Customers seated one by one; beyond them the wait for the next new table is drawn at once.
-ONE_BY_ONE = 48
+#: Customers seated one by one; beyond them as many at a time as this share of those seated, so that the number of
+#: steps grows with the logarithm of a dish's customers.
+ONE_BY_ONE, GROUP_SHARE = 48, 16
 #: Sweeps of the restaurants of a bin before the first sample, and Metropolis steps in a sweep.
 WARM, STEPS = 1, 2
 #: Units of the sums of logarithms that travel as whole numbers.
@@ -224,13 +225,6 @@ class Bin:
         return out
 
 
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """For x > 0, by Stirling's series at x + 8."""
-    y = x + 8
-    series = (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3)
-    return series - np.log(x * (x + 1) * (x + 2) * (x + 3)) - np.log((x + 4) * (x + 5) * (x + 6) * (x + 7))
-
-
 def _seat(n: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, theta: float, rng) -> tuple[np.ndarray, np.ndarray]:
     """Seats n customers of each dish one after another; returns tables and the log of the path's importance weight.
 
@@ -250,20 +244,20 @@ def _seat(n: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, theta:
         log_w[:m] += np.log(a + join)
         t[:m] += rng.random(m) * (a + join) < a
     m = int(np.searchsorted(falling, -ONE_BY_ONE, "left"))
-    at, live = np.full(m, float(ONE_BY_ONE)), np.arange(m)
+    at, live = np.full(m, ONE_BY_ONE), np.arange(m)
     while len(live):
-        a, x = (theta + d * (others[live] + t[live])) * base[live], at[live] - d * t[live]
-        h = (a - 1) / 2
-        # Gamma(x) / Gamma(x + a) is (x + h) ** -a up to terms of x ** -2: the wait has a closed form.
-        with np.errstate(over="ignore"):
-            y = np.floor((x + h) * rng.random(len(live)) ** (-1 / a) - h - x) + x
-        end = n[live] - d * t[live]
-        opens = y < end
-        stop = np.where(opens, y, end)
-        log_w[live] += _log_gamma(a + stop) - _log_gamma(a + x)
-        at[live] = np.where(opens, stop + d * t[live] + 1, n[live])
-        log_w[live[opens]] += np.log(a[opens] + stop[opens])
-        t[live] += opens
+        k = np.minimum(np.maximum(1, at[live] // GROUP_SHARE), n[live].astype(np.int64) - at[live])
+        middle = at[live] + (k - 1) / 2
+        more = np.zeros(len(live))
+        for _ in range(2):  # the group's chance of a new table, at the tables expected half way
+            a = (theta + d * (others[live] + t[live] + more)) * base[live]
+            chance = a / (a + np.maximum(middle - d * (t[live] + more), 1 - d))
+            more = k * chance / 2
+        new = rng.binomial(k, chance)
+        a = (theta + d * (others[live] + t[live] + new / 2)) * base[live]
+        log_w[live] += k * np.log(a + np.maximum(middle - d * (t[live] + new / 2), 1 - d))
+        t[live] += new
+        at[live] += k
         live = live[at[live] < n[live]]
     return t, log_w
 
