@@ -27,7 +27,7 @@ from .text import LOWER, SPACE, mix64, slices, word_hashes
 #: Fixed hashes of the two marks around a text (no word can be told apart from them but by chance).
 BEGIN, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 #: Text bytes of a chunk, tokens of a bin, customers of a room.
-CHUNK_BYTES, BIN_TOKENS, ROOM_TOKENS = 12 << 20, 2_500_000, 1_000_000
+CHUNK_BYTES, BIN_TOKENS, ROOM_TOKENS = 8 << 20, 2_500_000, 1_000_000
 #: A context is looked at for rooms when a chunk holds it with this share; at most so many contexts are cut.
 FREQUENT = 1 << 16
 #: Concentrations of the two levels.
