@@ -51,6 +51,18 @@ def test_pieces_give_the_library_s_ids(tokenizer, texts):
     assert list(sizes) == [len(w) for w in want] and list(ids) == [i for w in want for i in w]
 
 
+@pytest.mark.parametrize("texts", [
+    ["a b\n\nc d\n", "hi\n", "yo\n"], ["a c\n ", "b\n", "x y"], ["a\r\n", "b\r\n\r\nc", "d\t ", "e\t \tf", "g\u3000\n"],
+])
+def test_pieces_that_end_in_white_space(tokenizer, texts):
+    """New pieces must not join each other, nor keep wrong ids for later texts."""
+    words = token_coder._Words(tokenizer, 2)
+    for some in (texts, texts[::-1]):
+        ids, sizes = token_coder.token_ids(some, words)
+        want = [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in some]
+        assert list(sizes) == [len(w) for w in want] and list(ids) == [i for w in want for i in w]
+
+
 def brute(rows, tokenizer):
     out, at = [], 0
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -33,6 +34,9 @@ MAGIC = b"TDMK"
 
 #: Distinct pieces of text whose ids a task keeps.
 CACHED = 350_000
+#: White space other than spaces and line ends in front of one of these, and all places where such a text may be cut.
+_OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000][ \n]")
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
 
 class _Lanes:
@@ -249,8 +253,8 @@ class _Words(dict):
 
     def _tokenise(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the pieces, where those of each begin, and how many they are. Those that begin with a space or line end
-        are tokenised as one text."""
-        spaced = np.array([p[:1] in " \n" for p in pieces])
+        and do not end in white space, which would join what follows, are tokenised as one text."""
+        spaced = np.array([p[:1] in " \n" and not p[-1:].isspace() for p in pieces])
         sizes, starts, flat, held = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [], 0
         own = np.flatnonzero(spaced)
         if len(own):
@@ -285,12 +289,15 @@ def token_ids(texts: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray]:
 
     The byte-level pre-tokeniser never joins what stands before white space that follows another character with what
     comes after, so texts are cut before each space, and before each line end where no white space adjoins it, and each
-    distinct piece is tokenised once. Texts with two spaces in a row are not cut.
+    distinct piece is tokenised once. Texts with two spaces in a row are not cut, and those with other white space before a
+    space or line end only at the beginning of white space.
     """
     places, pieces = [], []
     for text in texts:
         if "  " in text or "\0" in text or not text:
             parts = [text] if text else []
+        elif _OTHER_SPACE.search(text):
+            parts = _CUT.split(text)
         elif "\n\n" in text or " \n" in text or "\n " in text:
             parts = text.replace(" ", "\0 ").split("\0")
         else:
