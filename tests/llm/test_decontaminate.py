@@ -1,6 +1,8 @@
+import itertools
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as dc
@@ -42,6 +44,32 @@ def test_against_brute_force(spark, sf, documents):
     assert changed_little <= set(got)
 
 
+@pytest.mark.parametrize("length,changed", [(13, 2), (15, 3), (20, 4), (25, 5)])
+def test_some_mask_fits_every_overlap(length, changed):
+    """Shorter of equal changes; longer overlaps hold one of 13 to 25 tokens that is as much alike."""
+    assert changed == int(length * (1 - dc.MIN_SHARE) + 1e-9)
+    places = [sum(1 << (s + k) for k, bit in enumerate(m) if bit == "1")
+              for m in dc.MASKS for s in range(length - len(m) + 1)]
+    spoilt = (sum(1 << j for j in c) for c in itertools.combinations(range(length), changed))
+    assert not [c for c in spoilt if all(p & c for p in places)]
+
+
+def test_short_overlaps_equal_brute_force(spark):
+    rnd, items, rows = random.Random(6), {}, []
+    for i in range(12):
+        items[i] = [f"w{i}x{j}" for j in range(13 + i % 9)]
+        for _ in range(12):
+            cut = list(items[i])
+            for j in rnd.sample(range(1, len(cut) - 1), len(cut) // 5 + rnd.randrange(2)):
+                cut[j] = f"changed{j}"
+            rows.append((len(rows), " ".join(["before"] * rnd.randrange(3) + cut + ["after"] * rnd.randrange(3))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.doc_to - r.doc_from for r in dc.overlaps(docs, table).collect()}
+    want = {(n, i): k for n, t in rows for i, w in items.items() if (k := best(t.split(), w))}
+    assert len(want) > 50 and got == want
+
+
 def test_planted_passages_and_clean_texts(spark, sf, documents):
     items = spark.read.parquet(f"{sf}/benchmark.parquet")
     texts = {r.item_id: " ".join(WORD.findall(r.text.lower())) for r in items.collect()}

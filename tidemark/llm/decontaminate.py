@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from .common import text_of, written
 from .text import LOWER, PUNCT, mix64, slices, word_hashes
 
-#: Fixed masks over 12 tokens; a 0 is a position that may differ. Each looks at 8 tokens.
-MASKS = ("111010011011", "110110101101", "101101110011", "111111110000")
-SPAN = 12
+#: Fixed masks; a 0 is a position that may differ. Each looks at 7 tokens. One of them fits every stretch of 13 tokens
+#: with 2 differences, 15 with 3, 20 with 4 and 25 with 5 (tested by enumeration), and so every overlap of at least
+#: MIN_TOKENS and MIN_SHARE: a longer one can be halved until a part as alike has 13 to 25 tokens.
+MASKS = ("1101000101101", "110111011", "110100001111", "11101111",
+         "1110100010101", "1110000110011")
+SPAN = max(map(len, MASKS))
 #: An overlap counts from this many aligned tokens on, of which this share must agree.
 MIN_TOKENS, MIN_SHARE = 13, 0.8
 #: Words of the filter of benchmark hashes that travels to every task: 2**17 longs, 1 MB whatever the benchmark's size;
@@ -32,8 +35,8 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def seed_hashes(words: np.ndarray, mask: int) -> np.ndarray:
-    """The hash of the looked-at tokens of every window of SPAN tokens."""
-    n = max(0, len(words) - SPAN + 1)
+    """The hash of the looked-at tokens of every window as long as the mask."""
+    n = max(0, len(words) - len(MASKS[mask]) + 1)
     acc = np.full(n, mask + 1, np.uint64)
     for k, bit in enumerate(MASKS[mask]):
         if bit == "1":
@@ -41,19 +44,19 @@ def seed_hashes(words: np.ndarray, mask: int) -> np.ndarray:
     return mix64(acc)
 
 
-def _inside(counts: np.ndarray, total: int) -> np.ndarray:
-    """For each window start whether the window lies in one text."""
+def _inside(counts: np.ndarray, total: int, mask: int) -> np.ndarray:
+    """The starts of windows that lie in one text."""
     ends = np.repeat(np.cumsum(counts), counts)
-    return (np.arange(total) + SPAN <= ends)[:max(0, total - SPAN + 1)]
+    return np.flatnonzero(np.arange(total) + len(MASKS[mask]) <= ends)
 
 
 def _item_seeds(batches):
     for batch in slices(batches, 1):
         words, counts = tokens(batch.column(1))
-        ok = np.flatnonzero(_inside(counts, len(words)))
         begin = np.cumsum(counts) - counts
         row = np.repeat(np.arange(batch.num_rows), counts)
         for m in range(len(MASKS)):
+            ok = _inside(counts, len(words), m)
             h = seed_hashes(words, m)[ok]
             own = row[ok]
             yield pa.RecordBatch.from_arrays([
@@ -77,11 +80,10 @@ def _regions(filter_words: np.ndarray):
         region = TaskContext.get().partitionId() << 40
         for batch in slices(batches, 1):
             words, counts = tokens(batch.column(1))
-            inside = _inside(counts, len(words))
             at, hashes = [], []
             for m in range(len(MASKS)):
                 h = seed_hashes(words, m)
-                found = np.flatnonzero(inside)
+                found = _inside(counts, len(words), m)
                 for shift in FILTER_SHIFTS:
                     slot = (h[found] >> np.uint64(shift)) & low
                     hit = (filter_words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
@@ -168,8 +170,8 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     Seeds of all windows of both sides are joined by hash; a filter of fixed size spares the shuffle of seeds that no
     item has, and decides nothing by itself. Each joined diagonal is then compared token by token.
 
-    An overlap is found when one of the masks fits it anywhere. Texts and items of fewer than SPAN tokens, null or
-    empty ones included, give none. Null identifiers are kept as null, rows with equal identifiers give one row.
+    An overlap is found when one of the masks fits it anywhere, as one does for every overlap under the given settings
+    or stricter ones. Texts and items of fewer than `min_tokens` tokens, null or empty ones included, give none. Null identifiers are kept as null, rows with equal identifiers give one row.
     Repeated items are found under each identifier. An empty table on either side gives no rows.
     """
     d = docs.select(F.col(id_col).cast("long").alias("doc"), text_of(text_col).alias("text"))
