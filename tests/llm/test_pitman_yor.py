@@ -93,6 +93,59 @@ def test_groups_agree_with_one_by_one(monkeypatch, n, others, base):
     assert fast_w.mean() == pytest.approx(slow_w.mean(), rel=0.002)
 
 
+def exact_tables(n, others, base, d, theta):
+    """Probabilities of 1 to n tables of a dish, by the recursion of the generalised Stirling numbers."""
+    log_s = np.full(n + 2, -np.inf)
+    log_s[1] = 0.0
+    t = np.arange(1, n + 1)
+    with np.errstate(divide="ignore"):
+        for k in range(1, n):
+            log_s[1:-1] = np.logaddexp(log_s[:-2], np.log(np.maximum(k - d * t, 0)) + log_s[1:-1])
+    w = log_s[1:-1] + np.cumsum(np.log((theta + d * (others + t - 1)) * base))
+    return np.exp(w - w.max()) / np.exp(w - w.max()).sum()
+
+
+@pytest.mark.parametrize("n,others,base,d", [(20, 50, 0.01, 0.8), (20, 5, 0.3, 0.1), (200, 500, 0.01, 0.5),
+                                             (200, 20, 0.001, 0.9), (2000, 5000, 0.01, 0.5), (2000, 5000, 0.01, 0.8),
+                                             (2000, 20, 0.05, 0.5), (2000, 20, 0.05, 0.1)])
+def test_sampled_tables_have_the_exact_mean(n, others, base, d):
+    """As the rounds call it: many restaurants, each with one dish of n customers among dishes of one."""
+    size = 400
+
+    class Restaurants:
+        contexts, tokens, is_cut = np.arange(size), np.arange(2), np.zeros(size, bool)
+        context = np.repeat(np.arange(size), others + 1)
+        token = np.tile(np.append(np.ones(others, int), 0), size)
+        n = np.tile(np.append(np.ones(others, int), 0), size)
+
+        def per_context(self, x):
+            return np.bincount(self.context, weights=x, minlength=size)
+
+    b = Restaurants()
+    b.n = np.where(b.token == 0, n, 1)
+    draws = hpy.sample_tables(b, np.array([base, 0.1]), np.empty(0), d, 1.0, np.random.default_rng(5), 3)
+    found = np.array([x[b.token == 0] for x in draws])
+    p = exact_tables(n, others, base, d, 1.0)
+    mean = p @ np.arange(1, n + 1)
+    sd = (p @ (np.arange(1, n + 1) - mean) ** 2) ** 0.5
+    assert abs(found.mean() - mean) < 4 * sd / size ** 0.5 + 0.005 * mean, (found.mean(), mean, sd)
+    assert found.std() == pytest.approx(sd, rel=0.15, abs=0.02)
+
+
+@pytest.mark.parametrize("d", [0.05, 0.3, 0.5, 0.8, 0.95])
+def test_stirling_numbers_agree_with_their_recursion(d):
+    for n in (65, 300, 2000):
+        log_s = np.full(n + 2, -np.inf)
+        log_s[1] = 0.0
+        t = np.arange(1, n + 1)
+        with np.errstate(divide="ignore"):
+            for k in range(1, n):
+                log_s[1:-1] = np.logaddexp(log_s[:-2], np.log(np.maximum(k - d * t, 0)) + log_s[1:-1])
+        got = hpy.log_stirling(np.full(n, n), t, d)
+        diff = got - log_s[1:-1]
+        assert np.abs(diff - diff[0]).max() < 1e-3, (n, np.abs(diff - diff[0]).argmax() + 1, np.abs(diff - diff[0]).max())
+
+
 def test_steps_grow_with_the_logarithm():
     rng, calls = np.random.default_rng(1), []
     seat = lambda n: hpy._seat(np.array([n]), np.array([n / 10]), np.array([0.1]), 0.7, 1.0, rng)

@@ -35,8 +35,10 @@ THETA, THETA_ROOT = 1.0, 1.0
 #: Customers seated one by one; beyond them as many at a time as this share of those seated, so that the number of
 #: steps grows with the logarithm of a dish's customers.
 ONE_BY_ONE, GROUP_SHARE = 48, 16
-#: Sweeps of the restaurants of a bin before the first sample, and Metropolis steps in a sweep.
-WARM, STEPS = 1, 2
+#: Sweeps of the restaurants of a bin before the first sample of a round, and Metropolis steps of a large dish in a sweep.
+WARM, STEPS = 8, 2
+#: Dishes of up to so many customers are drawn from their whole distribution.
+SMALL = 64
 #: Units of the sums of logarithms that travel as whole numbers.
 _UNIT = float(1 << 32)
 
@@ -262,32 +264,145 @@ def _seat(n: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, theta:
     return t, log_w
 
 
+def log_stirling(n: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    """Logs of the generalised Stirling numbers S(n, t): the ways to seat n customers at t tables, weighted, up to a
+    factor that depends on n alone.
+
+    S(n, t) is n! / t! times the coefficient of z**n in ((1 - (1 - z)**d) / d)**t, an integral around 0. With z = exp(p)
+    the path is a parabola around the cut p >= 0 or, where the saddle point is far from it, a line through that point.
+    """
+    out = np.empty(len(n))
+    for at in range(0, len(n), 4096):
+        own = slice(at, at + 4096)
+        with np.errstate(all="ignore"):  # at the ends of the search
+            out[own] = _log_stirling(n[own].astype(np.float64), t[own].astype(np.float64), d)
+    return out
+
+
+def _log_stirling(n, t, d):
+    # The saddle point: t d r (1 - r)**(d - 1) = n (1 - (1 - r)**d), with v = -log(r).
+    lo, hi = np.full(len(n), -80.0), np.full(len(n), 6.0)
+    for _ in range(50):
+        mid = (lo + hi) / 2
+        e = -np.expm1(-np.exp(mid))
+        mean = t * d * (1 - e) * e ** (d - 1) / -np.expm1(d * np.log(e))
+        lo, hi = np.where(mean > n, mid, lo), np.where(mean > n, hi, mid)
+    v = np.exp(hi)
+    e = -np.expm1(-v)
+    r, u = 1 - e, e ** d
+    g = d * r * e ** (d - 1) / (1 - u)  # mean of one table's customers
+    spread = t * np.maximum(g * (1 + r * (1 - d) / e - g), 1e-300)  # variance of all tables' customers
+    line = v > 0.3
+    v = np.where(line, v, np.maximum(v, 1.0 / n))
+    y = (np.arange(-160, 161) / 160.0)[None, :]
+    wide = np.where(line, np.minimum(np.pi, 12 / np.sqrt(spread)), np.minimum(8.0, np.sqrt(45 / (n * v)) + 1.0))
+    y = y * wide[:, None]
+    p = np.where(line[:, None], -v[:, None] + 1j * y, -v[:, None] * (1 - 1j * y) ** 2)
+    slope = np.where(line[:, None], 1.0 + 0j, 2 * v[:, None] * (1 - 1j * y))
+    f = t[:, None] * np.log(-np.expm1(d * np.log(-np.expm1(p)))) - n[:, None] * p
+    top = f.real.max(1)
+    ends = np.where(np.abs(y) >= wide[:, None], 0.5, 1.0)
+    total = (np.exp(f - top[:, None]) * slope * ends).real.sum(1) * wide
+    found = top + np.log(np.maximum(total, 1e-300)) - _log_gamma(t + 1) - t * np.log(d)
+    # Almost all customers alone: S(n, n) = 1, S(n, n - 1) = (1 - d) n (n - 1) / 2; the factor left out is n! / (160 * 2 pi).
+    left_out = _log_gamma(n + 1) - np.log(320 * np.pi)
+    found = np.where(t == n, -left_out, found)
+    return np.where(t == n - 1, np.log((1 - d) * n * np.maximum(n - 1, 1) / 2) - left_out, found)
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    shift = np.log(x) + np.log(x + 1) + np.log(x + 2) + np.log(x + 3) + np.log(x + 4) + np.log(x + 5) + np.log(x + 6)
+    z = x + 7
+    return ((z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5)
+            - shift)
+
+
+def _small_stirling(d: float) -> np.ndarray:
+    """Logs of S(n, t) for all n up to SMALL, by their recursion."""
+    out = np.full((SMALL + 1, SMALL + 2), -np.inf)
+    out[1, 1] = 0.0
+    t = np.arange(1, SMALL + 1)
+    for n in range(1, SMALL):
+        with np.errstate(divide="ignore"):
+            out[n + 1, 1:-1] = np.logaddexp(out[n, :-2], np.log(np.maximum(n - d * t, 0)) + out[n, 1:-1])
+    return out
+
+
+class _Large:
+    """Tables of large dishes: a Metropolis chain whose proposals lie around the most likely number of tables."""
+
+    def __init__(self, n: np.ndarray, t: np.ndarray, d: float):
+        self.n, self.t, self.d = n, t, d
+        self.log_s = log_stirling(n, t, d)
+
+    def step(self, c: np.ndarray, steps: int, rng):
+        """Redraws t from S(n, t) * c**t."""
+        n, d = self.n, self.d
+        lo, hi = np.full(len(n), -80.0), np.full(len(n), 0.0)  # n = c r (1 - r)**(d - 1), by log(1 - r)
+        for _ in range(50):
+            mid = (lo + hi) / 2
+            more = c * -np.expm1(mid) * np.exp((d - 1) * mid) > n
+            lo, hi = np.where(more, mid, lo), np.where(more, hi, mid)
+        e = np.exp(hi)
+        mean = c * (1 - e ** d) / d
+        var = mean - n / (1 + (1 - e) * (1 - d) / e)
+        mean = np.clip(mean, 1, n)
+        scale = 0.65 * np.sqrt(np.clip(var, 0.05, n)) + 0.2
+
+        def weight(t, log_s):
+            a, h = (t - mean) / scale, 0.5 / scale
+            chance = np.log(np.sinh(h)) - np.logaddexp(np.logaddexp(a, -a), np.log(2 * np.cosh(h)))
+            return log_s + t * np.log(c) - chance
+
+        now = weight(self.t, self.log_s)
+        for _ in range(steps):
+            x = rng.random(len(n))
+            new = np.rint(mean + scale * np.log((x + 1e-300) / (1 - x)))
+            inside = (new >= 1) & (new <= n)
+            new = np.where(inside, new, self.t)
+            log_s = log_stirling(n, new, d)
+            then = weight(new, log_s)
+            take = inside & (np.log(rng.random(len(n))) < then - now)
+            self.t, self.log_s, now = (np.where(take, a, b) for a, b in ((new, self.t), (log_s, self.log_s), (then, now)))
+
+
 def sample_tables(bin_: Bin, base: np.ndarray, cut_tables: np.ndarray, d: float, theta: float, rng,
-                  samples: int) -> list[np.ndarray]:
+                  samples: int, start: np.ndarray | None = None) -> list[np.ndarray]:
     """Tables of every pair in consecutive samples, given the parent's probabilities (by token).
 
-    A pair with one customer has one table. In each sweep all other dishes are redrawn side by side given the tables of
-    the rest of their restaurant as of the sweep before: a path is proposed and taken or not by Metropolis' rule, STEPS
-    times (once for two customers, where the first proposal is exact). Of a cut restaurant the tables in other rooms
-    are held at their last sum.
+    Gibbs sampling: a restaurant of T tables draws x from Gamma(theta / d + T, 1), given which its dishes are independent
+    and have t tables in proportion to S(n, t) * (d * base * x)**t. Dishes of up to SMALL customers are drawn from that
+    distribution; larger ones make STEPS Metropolis steps from the tables they have. The chain goes on from `start`
+    (the tables of dishes with two customers or more), or begins with one seating path. Of a cut restaurant the tables
+    in other rooms are held at their last sum.
     """
     t = (bin_.n > 0).astype(np.float64)
+    many = np.flatnonzero(bin_.n > 1)
     away = np.zeros(len(bin_.contexts))
+    if start is not None:
+        t[bin_.n > 1] = start
     away[bin_.is_cut] = cut_tables - bin_.per_context(t)[bin_.is_cut]
-    many = np.flatnonzero(bin_.n > 1)
     many = many[np.argsort(-bin_.n[many], kind="stable")]
     n, p, context = bin_.n[many].astype(np.float64), base[bin_.token[many]], bin_.context[many]
-    more = slice(0, int(np.searchsorted(-n, -2.0, "left")))  # dishes with three customers or more
+    if start is None:
+        t[many], _ = _seat(n, (bin_.per_context(t) + away)[context] - t[many], p, d, theta, rng)
+    split = int(np.searchsorted(-n, -SMALL, "left"))
+    large = _Large(n[:split], t[many[:split]], d)
+    edges = np.searchsorted(-n, -np.arange(SMALL + 1.0), "left"), np.searchsorted(-n, -np.arange(SMALL + 1.0), "right")
+    log_s = _small_stirling(d)
     found = []
     for sweep in range(WARM + samples):
-        others = (bin_.per_context(t) + away)[context] - t[many]
-        now, weight = _seat(n, others, p, d, theta, rng)
-        for _ in range(STEPS - 1):
-            new, new_weight = _seat(n[more], others[more], p[more], d, theta, rng)
-            take = np.log(rng.random(len(new))) < new_weight - weight[more]
-            now[more] = np.where(take, new, now[more])
-            weight[more] = np.where(take, new_weight, weight[more])
-        t[many] = now
+        x = rng.standard_gamma(theta / d + bin_.per_context(t) + away)
+        c = np.maximum(d * p * x[context], 1e-300)
+        if split:
+            large.step(c[:split], STEPS, rng)
+            t[many[:split]] = large.t
+        for k in range(2, SMALL + 1):
+            for lo in range(edges[0][k], edges[1][k], 1 << 16):
+                own = slice(lo, min(lo + (1 << 16), edges[1][k]))
+                w = log_s[k, 1:k + 1] + np.log(c[own])[:, None] * np.arange(1, k + 1)
+                w = np.cumsum(np.exp(w - w.max(1, keepdims=True)), axis=1)
+                t[many[own]] = 1 + (w[:, :-1] <= (rng.random(len(w)) * w[:, -1])[:, None]).sum(1)
         if sweep >= WARM:
             found.append(t.copy())
     return found
@@ -350,6 +465,12 @@ def _received(table: pa.Table, step: int) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def _kept(table: pa.Table, step: int) -> list[np.ndarray]:
+    """The samples that a bin sent itself in a round: tables of the pairs with two customers or more."""
+    own = table.filter(pc.and_(pc.equal(table["step"], step), pc.less(table["shard"], 0)))
+    return unpack(own["blob"][0].as_buffer())
+
+
 def _levels(bin_: Bin, answers: np.ndarray):
     """After round 0: customers by token, customers and kinds by context, discount, and totals."""
     token, ctx, total = bin_.split(answers)
@@ -392,7 +513,8 @@ class Model:
             tables, all_tables, cut_tables = t[:, 0], sums[0], ctx[:, 0]
         base = root_probability(tables.astype(float), float(all_tables), 0.0, 0.5)
         rng = np.random.default_rng([self.seed, step, bin_no])
-        return sample_tables(b, base, cut_tables, d, THETA, rng, self.samples if step > self.burn_in else 1)
+        start = None if step == 1 else _kept(answers, step - 1)[-1].astype(np.float64)
+        return sample_tables(b, base, cut_tables, d, THETA, rng, self.samples if step > self.burn_in else 1, start)
 
     def seat(self, step: int):
         """Round `step`: tables by word and by cut restaurant, and from the owners the kinds of words."""
@@ -409,9 +531,7 @@ class Model:
             v = b.message([*(b.per_token(t) for t in draws), *zero[0]], [*(b.per_context(t) for t in draws), *zero[1]],
                           [*(t.sum() for t in draws), *known])
             sent = _send(bin_no, b.keys, v, self.bins)
-            if step <= self.burn_in:
-                return sent
-            # The samples themselves go to the bin's last round.
+            # The samples themselves go to the bin's next round.
             kept = pack(*(t[b.n > 1] for t in draws))
             own = pa.table([pa.array([bin_no], pa.int32()), pa.array([-1 - bin_no], pa.int32()), pa.array([kept], pa.binary())],
                            schema=_MESSAGE)
@@ -424,7 +544,7 @@ class Model:
             return _SHARE.empty_table()
         b, last = Bin(blobs["blob"], self.cut, entries=True), self.burn_in + 1
         draws = []
-        for many in unpack(answers.filter(pc.less(answers["shard"], 0))["blob"][0].as_buffer()):
+        for many in _kept(answers, last):
             draws.append((b.n > 0).astype(np.float64))
             draws[-1][b.n > 1] = many
         token, n_context, _, d, total, _ = _levels(b, _received(answers, 0))
