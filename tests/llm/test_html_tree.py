@@ -26,6 +26,28 @@ def test_main_text(html):
     assert html_tree.main_text(html) == CASES[html]
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<div class='content has-sidebar'>", "<div id='page' class='no-sidebar'>", "<div class='post-content social'>",
+    "<main class='layout sidebar-left'>", "<div class='has-sidebar'>", "<div class='hentry comments-enabled'>",
+    "<span class='share-wrap'>", "<article class='widget'>"])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "{}"])
+def test_wrappers_keep_the_article(wrapper, inner):
+    tag = wrapper[1:].split()[0]
+    text = f"<h1>T</h1><p>{BODY}</p><p>{BODY} Two.</p>"
+    page = (f"<body><nav><a href=1>m</a></nav>{wrapper}{inner.format(text)}<div class=sidebar><p>Side.</p></div></{tag}>"
+            "<div class=cookie>ok</div></body>")
+    assert html_tree.main_text(page) == f"T\n{BODY}\n{BODY} Two."
+
+
+@pytest.mark.parametrize("beside", [
+    f"<div id=comments>{f'<p>{BODY} Me too.</p>' * 5}</div>", f"<div class=related>{f'<p>{BODY} More.</p>' * 2}</div>",
+    "<div class=related><article><p>Teaser, short.</p></article></div>", "<p>x<span class=ad>buy</span></p>"])
+def test_names_still_tell_what_is_beside(beside):
+    want = BODY + ("\nx" if "span" in beside else "")
+    assert html_tree.main_text(f"<main><p>{BODY}</p>{beside}</main>" if "span" in beside else
+                               f"<main><p>{BODY}</p></main>{beside}") == want
+
+
 def test_deep_and_long_pages():
     assert html_tree.main_text("<div>" * 5000 + f"<p>{BODY}") == BODY
     assert html_tree.main_text("<b>" * 5000 + "x") == "x"

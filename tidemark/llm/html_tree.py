@@ -29,6 +29,7 @@ promotion banner sidebar sidenav rail menu nav navbar navigation breadcrumb brea
 cookies consent gdpr notice notices alert popup modal overlay comment comments commentlist disqus respond replies
 discussion share sharing social related recommended newsletter subscribe subscription signup login search widget
 widgets pager pagination toolbar skip hidden""".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies discussion".split())
 MAIN_WORDS = frozenset("article content entry main post story text body blog page".split())
 CONTAINER_BONUS = {"article": 25.0, "main": 15.0, "section": 3.0, "div": 5.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0,
                    "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "dd": -3.0, "dt": -3.0, "address": -3.0, "th": -5.0}
@@ -36,6 +37,7 @@ CONTAINER_BONUS = {"article": 25.0, "main": 15.0, "section": 3.0, "div": 5.0, "p
 _TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_WRAPPED = re.compile(r"<(?:article|main|section|div|p|h[1-6]|ul|ol|dl|table|blockquote)[\s/>]", re.I)
 _BROKEN = re.compile(r"<[/!?a-zA-Z]")
 
 #: Share of link text from which a list, table or box with several links is a menu; share of the best container's
@@ -47,39 +49,45 @@ class _Page:
     """Elements in page order (parents before children) and the blocks of text outside dropped elements."""
 
     def __init__(self):
-        self.tag, self.parent, self.bonus, self.links = ["#root"], [-1], [0.0], [0]
+        self.tag, self.parent, self.bonus, self.links, self.named = ["#root"], [-1], [0.0], [0], [0]
         self.blocks: list[tuple[int, str, int]] = []  # owner, text, characters inside links
 
-    def add(self, tag: str, parent: int, bonus: float) -> int:
+    def add(self, tag: str, parent: int, bonus: float, named: int) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
         self.bonus.append(bonus)
         self.links.append(0)
+        self.named.append(named)
         return len(self.tag) - 1
 
 
-def _judge(tag: str, attrs: str, inside_article: bool) -> tuple[bool, float]:
-    """Whether an element is beside the article, and what its name says for it."""
+def _judge(tag: str, attrs: str, inside_article: bool) -> tuple[bool, float, int]:
+    """Whether an element is beside the article, what its name says for it, and whether by its name it may be beside
+    (1, or 2 for comments)."""
     bonus = CONTAINER_BONUS.get(tag, 0.0)
     if tag in ASIDE_TAGS or (tag == "header" and not inside_article):
-        return True, bonus
+        return True, bonus, 0
     if not attrs or tag in ("body", "html"):
-        return False, bonus
+        return False, bonus, 0
     words: set[str] = set()
+    named_main = tag == "main"
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True, bonus
+            return True, bonus, 0
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True, bonus
+            return True, bonus, 0
         if name == "role" and value.lower() in ASIDE_ROLES:
-            return True, bonus
+            return True, bonus, 0
         if name in ("class", "id"):
-            words |= {w.lower() for w in _WORD.findall(value)}
+            for part in value.split():
+                own = {w.lower() for w in _WORD.findall(part)}
+                words |= own
+                named_main = named_main or bool(own & MAIN_WORDS and not own & ASIDE_WORDS)
     main = words & MAIN_WORDS
-    if words & ASIDE_WORDS and not (tag in ("article", "main") and main):
-        return True, bonus
-    return False, bonus + (10.0 if main else 0.0)
+    if words & ASIDE_WORDS and not named_main and not (tag == "article" and main):
+        return False, bonus - 10.0, 2 if words & COMMENT_WORDS else 1
+    return False, bonus + (10.0 if main else 0.0), 0
 
 
 def _parse(html: str) -> _Page:
@@ -100,7 +108,7 @@ def _parse(html: str) -> _Page:
             linked = 0
 
     def pop_to(depth: int):
-        if any(s[0] in BLOCK for s in stack[depth:]):
+        if stack[-1][1] != stack[depth - 1][1] or any(s[0] in BLOCK for s in stack[depth:]):
             flush()
         for s in stack[depth:]:
             opened[s[0]] -= 1
@@ -162,11 +170,16 @@ def _parse(html: str) -> _Page:
             else:
                 break
         _, owner, dropped, inside, link = stack[-1]
-        beside, bonus = _judge(tag, m[3], inside)
-        if tag in BLOCK:
+        beside, bonus, named = _judge(tag, m[3], inside)
+        wraps = tag in BLOCK
+        if named and not wraps:  # inside a line there is nothing to weigh, unless blocks stand in it
+            close = html.find(f"</{m[2]}", at)
+            wraps = bool(_WRAPPED.search(html, at, close if close >= 0 else end))
+            beside = not wraps
+        if wraps:
             flush()
             if not dropped and not beside:
-                owner = page.add(tag, owner, bonus)
+                owner = page.add(tag, owner, bonus, named)
         if tag == "a" and not dropped:
             page.links[owner] += 1
         stack.append((tag, owner, dropped or beside, inside or tag in ("article", "main"), link or tag == "a"))
@@ -175,9 +188,46 @@ def _parse(html: str) -> _Page:
     return page
 
 
+def _drop_named(page: _Page) -> None:
+    """Takes out the elements that by their names are beside the article, unless they hold it.
+
+    One that holds most of the text of all article and main elements stays. So does one that holds most of the page's
+    text, unless it names comments and a tenth of the text is elsewhere, or stands outside article and main elements
+    that hold a quarter of the text.
+    """
+    if not any(page.named):
+        return
+    n = len(page.tag)
+    inside = [False] * n  # an article or main element that is not named itself, or in one
+    for i in range(1, n):
+        inside[i] = inside[page.parent[i]] or (page.tag[i] in ("article", "main") and not page.named[i])
+    size, own = [0] * n, [0] * n  # text outside links, and the part of it in article or main elements below
+    for owner, text, in_links in page.blocks:
+        size[owner] += len(text) - in_links
+    for i in range(n - 1, 0, -1):
+        if page.tag[i] in ("article", "main") and not page.named[i]:
+            own[i] = size[i]
+        size[page.parent[i]] += size[i]
+        own[page.parent[i]] += own[i]
+    drop = [False] * n
+    for i in range(1, n):
+        drop[i] = drop[page.parent[i]]
+        if page.named[i] and not drop[i]:
+            holds = own[i] > 0 and 2 * own[i] >= own[0]
+            most = 2 * size[i] > size[0]
+            if page.named[i] == 2:
+                most = most and 10 * (size[0] - size[i]) < size[0]
+            elif not inside[i]:
+                most = most and 4 * (own[0] - own[i]) < size[0]
+            drop[i] = not (holds or most)
+    page.blocks = [b for b in page.blocks if not drop[b[0]]]
+    page.links = [0 if d else x for d, x in zip(drop, page.links)]
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by line ends; empty where a page has no text."""
     page = _parse(html or "")
+    _drop_named(page)
     if not page.blocks:
         return ""
     n = len(page.tag)
@@ -242,7 +292,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     score is what it gathers and what its name says, times the share of its text outside links. The best container is
     kept (an article or main element around it, if there is one) with those of its siblings that score alike. Menus,
     page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out wherever they
-    are. Character references are decoded, white space inside a block becomes one space, blocks are joined by one line
+    are; an element that only its class or id calls so stays if it holds the article or most of the page's text. Character references are decoded, white space inside a block becomes one space, blocks are joined by one line
     end in page order.
 
     Null html counts as empty; a page without text gives an empty text. Null identifiers and addresses are kept, each
