@@ -48,6 +48,24 @@ def test_names_still_tell_what_is_beside(beside):
                                f"<main><p>{BODY}</p></main>{beside}") == want
 
 
+def test_short_siblings_and_lists_stay():
+    parts = ["<section><h2>One</h2><p>Short.</p></section>", f"<section><p>{BODY}</p><p>{BODY} Two.</p></section>",
+             "<ul><li>First</li><li>Second</li></ul>", "<p>A line.</p>", "<div><p>The end.</p></div>",
+             "<ol><li>With <a href=1>a link</a> in a longer line of text.</li></ol>"]
+    menu = "<ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul>"
+    want = ["One", "Short.", BODY, f"{BODY} Two.", "First", "Second", "A line.", "The end.",
+            "With a link in a longer line of text."]
+    for page in ("".join(parts), f"<div>{menu}{''.join(parts)}</div>"):
+        assert html_tree.main_text(f"<body>{menu}{page}<div class=comments><p>No.</p></div></body>") == "\n".join(want)
+
+
+def test_references_inside_the_article_stay():
+    links = "<ul><li><a href=1>Reference one</a></li><li><a href=2>Reference two</a></li></ul>"
+    for tag in ("article", "main", "div"):
+        page = f"<body>{links}<{tag}><p>{BODY}</p><p>{BODY} Two.</p>{links}</{tag}></body>"
+        assert html_tree.main_text(page) == f"{BODY}\n{BODY} Two.\nReference one\nReference two"
+
+
 def test_deep_and_long_pages():
     assert html_tree.main_text("<div>" * 5000 + f"<p>{BODY}") == BODY
     assert html_tree.main_text("<b>" * 5000 + "x") == "x"

@@ -40,9 +40,9 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WRAPPED = re.compile(r"<(?:article|main|section|div|p|h[1-6]|ul|ol|dl|table|blockquote)[\s/>]", re.I)
 _BROKEN = re.compile(r"<[/!?a-zA-Z]")
 
-#: Share of link text from which a list, table or box with several links is a menu; share of the best container's
-#: score from which a sibling is kept.
-MENU_DENSITY, SIBLING_SHARE = 0.66, 0.2
+#: Share of link text from which a list, table or box with several links is a menu, and from which a sibling of the
+#: best container is left out; share of an article's score from which a sibling of it is kept.
+MENU_DENSITY, SIBLING_DENSITY, SIBLING_SHARE = 0.66, 0.5, 0.2
 
 
 class _Page:
@@ -267,14 +267,27 @@ def main_text(html: str | None) -> str:
         for i in range(1, n):
             if page.parent[i] != page.parent[best] or i == best or not size[i]:
                 continue
+            if page.tag[best] not in ("article", "main"):
+                keep[i] = density(i) < SIBLING_DENSITY and not page.named[i]
+                continue
             plain = page.tag[i] == "p" and density(i) < 0.25 and size[i] > 80
             if page.tag[i] == "h1" or plain or (score[i] >= least and page.tag[i] not in ("ul", "ol")):
                 keep[i] = True
     menu = [False] * n
+    article = [False] * n  # the best container and all in it, unless it is the page itself
+    article[best] = page.tag[best] not in ("#root", "html", "body")
     for i in range(1, n):
         up = page.parent[i]
         keep[i] = keep[i] or keep[up]
-        menu[i] = menu[up] or (page.tag[i] not in PARAGRAPH and i != best and links[i] > 1 and density(i) > MENU_DENSITY)
+        article[i] = article[i] or article[up]
+    # A container that no article or main element marks may begin with a menu; after its first prose none is taken for one.
+    prose = best if page.tag[best] in ("article", "main") else min(
+        (owner for owner, text, in_links in page.blocks
+         if article[owner] and 2 * in_links < len(text) and (page.tag[owner] == "p" or len(text) > 80)), default=best)
+    for i in range(1, n):
+        up = page.parent[i]
+        menu[i] = menu[up] or (not (article[i] and i >= prose) and page.tag[i] not in PARAGRAPH and i != best
+                               and links[i] > 1 and density(i) > MENU_DENSITY)
     return "\n".join(text for owner, text, _ in page.blocks if keep[owner] and not menu[owner])
 
 
@@ -290,10 +303,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Paragraphs give points for their length and commas to the elements around them, less with each level; an element's
     score is what it gathers and what its name says, times the share of its text outside links. The best container is
-    kept (an article or main element around it, if there is one) with those of its siblings that score alike. Menus,
-    page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out wherever they
-    are; an element that only its class or id calls so stays if it holds the article or most of the page's text. Character references are decoded, white space inside a block becomes one space, blocks are joined by one line
-    end in page order.
+    kept (an article or main element around it, if there is one). Of its siblings all stay that are less than half
+    links; beside an article or main element only those that score alike. Menus outside the container or before its
+    prose, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out wherever
+    they are; an element that only its class or id calls so stays if it holds the article or most of the page's text.
+    Character references are decoded, white space inside a block becomes one space, blocks are joined by one line end in
+    page order.
 
     Null html counts as empty; a page without text gives an empty text. Null identifiers and addresses are kept, each
     row gives a row. Whole pages are read. Other columns are not. No rows give no rows.
