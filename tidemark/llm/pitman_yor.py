@@ -294,18 +294,19 @@ def _log_stirling(n, t, d):
     spread = t * np.maximum(g * (1 + r * (1 - d) / e - g), 1e-300)  # variance of all tables' customers
     line = v > 0.3
     v = np.where(line, v, np.maximum(v, 1.0 / n))
-    y = (np.arange(-160, 161) / 160.0)[None, :]
+    y = (np.arange(65) / 64.0)[None, :]  # the other half of the path is its mirror image
     wide = np.where(line, np.minimum(np.pi, 12 / np.sqrt(spread)), np.minimum(8.0, np.sqrt(45 / (n * v)) + 1.0))
+    wide = np.where(~line & (n * v * (1 - d) > 200), np.minimum(wide, 7 / (v * np.sqrt(spread))), wide)
     y = y * wide[:, None]
     p = np.where(line[:, None], -v[:, None] + 1j * y, -v[:, None] * (1 - 1j * y) ** 2)
     slope = np.where(line[:, None], 1.0 + 0j, 2 * v[:, None] * (1 - 1j * y))
     f = t[:, None] * np.log(-np.expm1(d * np.log(-np.expm1(p)))) - n[:, None] * p
     top = f.real.max(1)
-    ends = np.where(np.abs(y) >= wide[:, None], 0.5, 1.0)
+    ends = np.where((y == 0) | (y >= wide[:, None]), 0.5, 1.0)
     total = (np.exp(f - top[:, None]) * slope * ends).real.sum(1) * wide
     found = top + np.log(np.maximum(total, 1e-300)) - _log_gamma(t + 1) - t * np.log(d)
-    # Almost all customers alone: S(n, n) = 1, S(n, n - 1) = (1 - d) n (n - 1) / 2; the factor left out is n! / (160 * 2 pi).
-    left_out = _log_gamma(n + 1) - np.log(320 * np.pi)
+    # Almost all customers alone: S(n, n) = 1, S(n, n - 1) = (1 - d) n (n - 1) / 2; the factor left out is n! / (64 pi).
+    left_out = _log_gamma(n + 1) - np.log(64 * np.pi)
     found = np.where(t == n, -left_out, found)
     return np.where(t == n - 1, np.log((1 - d) * n * np.maximum(n - 1, 1) / 2) - left_out, found)
 
