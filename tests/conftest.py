@@ -23,8 +23,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
-
-def rows(df, *order):
-    found = [tuple(r) for r in df.collect()]
-    return sorted(found, key=lambda r: tuple((v is not None, str(v)) for v in r))

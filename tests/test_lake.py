@@ -5,7 +5,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q

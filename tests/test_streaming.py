@@ -3,7 +3,7 @@
 import datetime as dt
 import json
 
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from tidemark.streaming import landing as L
