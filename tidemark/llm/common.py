@@ -34,13 +34,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """The same rows as a Parquet table in the shared folder; its size is then known to the planner."""
     spark, place = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.parquet(place)
+    df.write.partitionBy(*partition_by).parquet(place)
     return spark.read.schema(df.schema).parquet(place)
 
 
+def drop_written(df: DataFrame | None) -> None:
+    """Removes the files of a written table that nothing reads any more."""
+    if df is None:
+        return
+    spark = df.sparkSession
+    for name in {root + "/llm/" + rest.split("/")[0] for root, rest in (f.rsplit("/llm/", 1) for f in df.inputFiles())}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

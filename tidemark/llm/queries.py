@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content_sort, decontaminate, html_tree, jaccard, mixing, nbsvm, pitman_yor, token_coder, warc
+from . import (ball_kmeans, chat, content_sort, decontaminate, html_tree, jaccard, license_scan, mixing, nbsvm, pitman_yor,
+               prefix_trie, token_coder, warc)
 
 QUERIES, ORACLES = {}, {}
 
@@ -141,3 +142,75 @@ def op7_context_mixing_ids(spark: SparkSession, sf: str) -> DataFrame:
 
     tokenizer = str(public_tokenizers.path("byte_bpe_50k.json"))
     return token_coder.write_and_read(table(spark, sf, "documents"), tokenizer, end_id=2)
+
+
+@query()
+def op11_diagonal_voting_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.license_report(table(spark, sf, "documents"))
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds as one step after the other; a part's nearest entry is the least of distance * entries + index."""
+    nearest = f"""SELECT x.vec_id, x.part, any_value(x.v) AS v, min(list_sum([(p[1] - p[2]) * (p[1] - p[2])
+        FOR p IN list_zip(x.v, b.v)]) * {entries} + b.entry) AS best FROM x JOIN b{{0}} b ON b.part = x.part
+        GROUP BY x.vec_id, x.part"""
+    steps = [f"""k AS (SELECT vec_id, label, [CAST(floor(c * 4096.0) AS BIGINT) FOR c IN CAST(embedding AS DOUBLE[])] AS v,
+        row_number() OVER (ORDER BY vec_id) - 1 AS place FROM embeddings WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)""",
+             f"""x AS (SELECT vec_id, label, place, CAST(part AS BIGINT) AS part,
+        v[CAST(part * len(v) // {parts} + 1 AS BIGINT):CAST((part + 1) * len(v) // {parts} AS BIGINT)] AS v
+        FROM k, range({parts}) r(part))""",
+             f"b0 AS (SELECT part, CAST(place AS BIGINT) AS entry, v FROM x WHERE place < {entries})"]
+    for r in range(rounds):
+        steps.append(f"a{r} AS MATERIALIZED ({nearest.format(r)})")
+        steps.append(f"""s{r} AS (SELECT part, CAST(best % {entries} AS BIGINT) AS entry, place, sum(c)::BIGINT AS total, count(*) AS n
+        FROM (SELECT part, best, unnest(v) AS c, unnest(range(len(v))) AS place FROM a{r}) GROUP BY ALL)""")
+        steps.append(f"""m{r} AS (SELECT part, entry, list((total - ((total % n) + n) % n) // n ORDER BY place) AS v FROM s{r}
+        GROUP BY part, entry)""")
+        steps.append(f"""b{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{r} b
+        LEFT JOIN m{r} m ON m.part = b.part AND m.entry = b.entry)""")
+    return f"""WITH {", ".join(steps)}, z AS ({nearest.format(rounds)}),
+    e AS (SELECT vec_id, string_agg(printf('%02x', CAST(best % {entries} AS INTEGER)), '' ORDER BY part) AS code,
+          CAST(sum(best // {entries}) AS BIGINT) AS error FROM z GROUP BY vec_id),
+    h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+    SELECT e.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM e JOIN k ON k.vec_id = e.vec_id, h"""
+
+
+@query(_codes_sql())
+def op12_ball_kmeans_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return ball_kmeans.vector_codes(table(spark, sf, "embeddings"))
+
+
+@query(r"""
+WITH RECURSIVE t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+       FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c, CAST(c AS VARCHAR) AS digits FROM t),
+crc AS (SELECT c, digits, CAST(0 AS BIGINT) AS step, CAST(4294967295 AS BIGINT) AS v FROM ids
+        UNION ALL
+        SELECT c, digits, step + 1, CASE WHEN u % 2 = 1 THEN xor(u >> 1, 3988292384) ELSE u >> 1 END
+        FROM (SELECT c, digits, step, CASE WHEN step % 8 = 0 THEN xor(v, ascii(digits[step // 8 + 1])) ELSE v END AS u
+              FROM crc WHERE step < 8 * length(digits))),
+h AS (SELECT c, xor(v, 4294967295) % 4 AS h FROM crc WHERE step = 8 * length(digits)),
+head AS (SELECT h.c, t.i AS d, t.role, t.text FROM h JOIN t ON t.c = h.c - h.c % 20 AND t.i <= h.h),
+size AS (SELECT h.c, h.h, count(head.d) AS hp FROM h LEFT JOIN head ON head.c = h.c GROUP BY ALL),
+r AS (SELECT * FROM head UNION ALL
+      SELECT t.c, s.hp + t.i - s.h, t.role, t.text FROM t JOIN size s ON s.c = t.c WHERE t.i > s.h),
+p AS (SELECT c, d, text, list(role || chr(1) || text || chr(2)) OVER (PARTITION BY c ORDER BY d) AS path FROM r
+      UNION ALL SELECT c, 0, '', [] FROM ids),
+last AS (SELECT c, max(d) AS d FROM p GROUP BY c),
+n AS (SELECT p.d AS depth, path, min(p.c) AS conv_id, count(*) AS n_convs,
+             len(regexp_extract_all(any_value(text), '[^ 	-]+')) AS words,
+             sha256(coalesce(string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) FILTER (last.d = p.d), '')) AS ends_sha256
+      FROM p JOIN last ON last.c = p.c GROUP BY p.d, path),
+k AS (SELECT n.*, (SELECT count(*) FROM n m WHERE m.depth = n.depth + 1 AND m.path[1:n.depth] = n.path) AS n_children FROM n),
+s AS (SELECT a.depth, a.path, CAST(count(*) FILTER (b.n_children = 0) AS BIGINT) AS n_leaves,
+             CAST(sum((b.n_convs - 1) * b.words) AS BIGINT) AS saved_tokens
+      FROM k a JOIN k b ON b.depth >= a.depth AND b.path[1:a.depth] = a.path GROUP BY a.depth, a.path)
+SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children, s.n_leaves,
+       s.saved_tokens, k.ends_sha256
+FROM k JOIN s ON s.depth = k.depth AND s.path = k.path
+LEFT JOIN k u ON u.depth = k.depth - 1 AND u.path = k.path[1:u.depth]""")
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))

@@ -63,6 +63,35 @@ def _cut(data: np.ndarray, lo: int, offsets: np.ndarray, sep: np.ndarray) -> int
     return len(data)
 
 
+def _spans(inside: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes inside words; texts begin at `firsts`."""
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    begin[firsts] = inside[firsts]
+    starts = np.flatnonzero(begin)
+    if not len(starts):
+        return starts, starts
+    stop = ~inside
+    stop[firsts] = True
+    stops = np.append(np.flatnonzero(stop), len(inside))
+    return starts, stops[np.searchsorted(stops, starts, "right")]
+
+
+def word_spans(texts: pa.Array, sep: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words that `word_hashes` counts, and the bytes they lie in."""
+    data, offsets = utf8(texts)
+    starts, ends = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    at = 0
+    while at < len(data):
+        end = _cut(data, at, offsets, sep)
+        firsts = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, end)] - at
+        a, b = _spans(~sep[data[at:end]], firsts)
+        starts.append(a + at)
+        ends.append(b + at)
+        at = end
+    return np.concatenate(starts), np.concatenate(ends), data
+
+
 def word_hashes(texts: pa.Array, sep: np.ndarray = SPACE, lower: np.ndarray | None = None,
                 classes: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Hashes of all words of a column in order, and the number of words of each text.
@@ -76,17 +105,8 @@ def word_hashes(texts: pa.Array, sep: np.ndarray = SPACE, lower: np.ndarray | No
     while at < len(data):
         end = _cut(data, at, offsets, sep)
         part = data[at:end] if lower is None else lower[data[at:end]]
-        inside = ~sep[part]
-        begin = inside.copy()
-        begin[1:] &= ~inside[:-1]
-        firsts = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, end)] - at
-        begin[firsts] = inside[firsts]
-        starts = np.flatnonzero(begin)
+        starts, ends = _spans(~sep[part], offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, end)] - at)
         if len(starts):
-            stop = ~inside
-            stop[firsts] = True
-            stops = np.append(np.flatnonzero(stop), len(part))
-            ends = stops[np.searchsorted(stops, starts, "right")]
             total = np.zeros(len(part) + 1, np.uint64)
             np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(part)), out=total[1:])
             hashes.append(mix64((total[ends] - total[starts]) * _power(_INVERSE, len(part) + 1)[starts]
