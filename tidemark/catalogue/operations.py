@@ -15,7 +15,6 @@ from ..operators import versions as V
 from ..operators.rules import REASON, VALID, apply_rules, domain_rules
 from ..plans import silver as S
 from ..session import scratch_path
-from ..sources import raw as R
 from ..sources import tables as T
 from ..streaming import landing as L
 from ..streaming import monitor as M
@@ -23,7 +22,6 @@ from .catalog import LANDED, landed_products
 from .core import query, table
 from .fixtures import landing, with_fx, with_response
 from .landing import CALENDAR, landed_orders, order_calendar
-from .raw_zone import FIRST_DAY, RECORDS_PER_OBJECT, zone
 
 
 def _event_files(spark, sf, files: int = 4):
@@ -180,16 +178,6 @@ def date_list_scan(spark, sf):
     return S.current_records(landed_products(spark, sf), DATES).select("id", "_ingest_date", "_record_hash")
 
 
-@query(f"""
-SELECT p_partkey AS id FROM part
-WHERE (p_partkey // {RECORDS_PER_OBJECT}) % 7 = 0 AND p_size % 10 <> 3""")
-def explicit_days_scan(spark, sf):
-    """Only the folder of the stated day, the first of seven, is read."""
-    paths = R.input_paths(zone(spark, sf, "products"), "products", [FIRST_DAY])
-    rows = R.read_raw(spark, paths, "products")
-    return rows.where(F.col("_corrupt_record").isNull()).select("id")
-
-
 @query(f"""
 SELECT l_orderkey, l_linenumber, CASE
     WHEN l_linenumber = 7 THEN '{K.REASON_NO_ID}' WHEN l_linenumber = 6 THEN '{K.REASON_NO_USER}'

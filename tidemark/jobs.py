@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import time
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -21,6 +22,7 @@ from .plans.analytics import publish_views
 from .plans import gold as G
 from .plans import silver as S
 from .session import build_session, drop_scratch, materialise
+from .sources import ledger as LG
 from .sources import raw as R
 from .sources import tables as T
 from .streaming import landing as L
@@ -28,25 +30,22 @@ from .streaming import landing as L
 MODES = ("incremental", "full", "explicit")
 
 
-def landed_days(spark: SparkSession, lake: Lake, domain: str) -> DataFrame | None:
-    """Day, call instant and origin of every raw object, from its name or key alone.
+def ledger(lake: Lake) -> str:
+    return f"{lake.root}/_ledger"
 
-    A name without a day, or with another one than its folder's, stops the run.
+
+def landed_days(spark: SparkSession, lake: Lake, *domains: str) -> DataFrame:
+    """domain, day, origin and stamp (newest call instant and number of objects) of all that was landed.
+
+    The ledger is brought up to date first; names that do not fit their folder stop the run.
     """
-    found = []
-    for origin, root in (("object", f"{lake.raw}/{domain}"), ("landed", R.landed_root(lake.raw, domain))):
-        if not R.present(spark, root):
-            continue
-        if origin == "object":
-            traced = R.provenance(R.objects(spark, root), F.col("path"))
-            wrong = [r["path"] for r in R.misnamed(traced).select("path").limit(5).collect()]
-            if wrong:
-                raise ValueError(f"objects whose name does not fit their day folder: {wrong}")
-        else:
-            keys = spark.read.schema(R.LANDED_FIELDS).option("recursiveFileLookup", True).json(root)
-            traced = R.provenance(keys, F.col("object_key"))
-        found.append(traced.select("_ingest_date", "_ingest_ts", F.lit(origin).alias("origin")))
-    return reduce(DataFrame.unionByName, found) if found else None
+    LG.follow_landed(spark, lake.raw, ledger(lake))
+    for domain in domains:
+        LG.follow_objects(spark, lake.raw, domain, ledger(lake))
+    found = LG.entries(spark, ledger(lake)).where(F.col("domain").isin(*domains))
+    return materialise(found.select(
+        "domain", F.col("ingest_date").alias("_ingest_date"), "origin", F.struct("newest", "n_objects").alias("_stamp")),
+        "landed-days")
 
 
 def _listed(days: DataFrame) -> list[str]:
@@ -77,21 +76,30 @@ def run_bronze(
 ) -> dict:
     """Lands the pending days of a domain and returns the counts seen while writing."""
     landed = landed_days(spark, lake, domain)
-    if landed is None:
-        return {"days": []}
     table = BRONZE_TABLES[domain]
-    days = _listed(pending(
-        landed, lake.find(spark, "bronze", table), "_ingest_date", mode, dates, limit, "_ingest_ts"
-    ))
+    seen_before = _done_days(spark, lake.path("bronze", f"_processed/{table}"), _BRONZE_DONE)
+    per_day = landed.groupBy("_ingest_date").agg(F.struct(
+        F.max("_stamp.newest").alias("newest"), F.sum("_stamp.n_objects").alias("n_objects")).alias("_stamp"))
+    days = _listed(pending(per_day, seen_before, "_ingest_date", mode, dates, limit, "_stamp"))
     if not days:
         return {"days": []}
     rows = _raw_rows(spark, lake, domain, days, landed)
     batch = f"bronze-{domain}-{uuid.uuid4().hex[:12]}"
     ready, seen = B.observed(B.dated_or_fail(B.bronze(rows, domain, batch)), domain)
     T.overwrite_partitions(ready, lake.path("bronze", table), ["_ingest_date"], ["id"])
+    (per_day.where(F.col("_ingest_date").isin([F.lit(d).cast("date") for d in days])).coalesce(1)
+     .write.mode("append").parquet(lake.path("bronze", f"_processed/{table}")))
     return {"days": days, **seen.get}
 
 
+#: Days that Bronze has taken in, with what was landed then.
+_BRONZE_DONE = "_ingest_date date, _stamp struct<newest: timestamp, n_objects: bigint>"
+
+
+def _done_days(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    return spark.read.schema(schema).parquet(path) if R.present(spark, path) else None
+
+
 def _processed(lake: Lake, table: str) -> str:
     """The small table of processed days: day, and the newest landing it has seen."""
     return lake.path("silver", f"_processed/{table}")
@@ -102,9 +110,7 @@ def _silver_days(
     limit: int | None,
 ) -> list[str]:
     """Days not processed yet, or landed again since; a day without results counts as processed."""
-    done = None
-    if R.present(spark, _processed(lake, table)):
-        done = spark.read.schema("_ingest_date date, _bronze_ts timestamp").parquet(_processed(lake, table))
+    done = _done_days(spark, _processed(lake, table), "_ingest_date date, _bronze_ts timestamp")
     return _listed(pending(source, done, "_ingest_date", mode, dates, limit, "_bronze_ts"))
 
 
@@ -150,18 +156,41 @@ def run_silver(
 RESPONSE_FIELDS = "domain STRING, snapshot_date STRING, ts TIMESTAMP, status INT, mime STRING, body STRING, attempts INT"
 
 
-def run_landing(spark: SparkSession, lake: Lake, source: str) -> None:
-    """Lands all responses that have come into `source` since the last run; refused ones go to
-    `_retry` until they have been tried often enough, then to the dead letters."""
+def run_landing(spark: SparkSession, lake: Lake, source: str, recall=None) -> None:
+    """Lands all responses that have come into `source` since the last run. Refused ones wait in `_retry`; each run
+    tries them again until they are accepted, their day is landed otherwise, or they are dead letters."""
     responses = L.read_stream(spark, source, RESPONSE_FIELDS)
     accepted = L.is_conforming(F.col("status"), F.length("body"), F.col("mime"))
+    LG.follow_landed(spark, lake.raw, ledger(lake))
+    settled = materialise(LG.entries(spark, ledger(lake)).where("origin = 'landed'").select(
+        "domain", F.col("ingest_date").cast("string").alias("snapshot_date")).distinct(), "settled")
     for query in L.land(
         responses, accepted, ["domain", "snapshot_date"], "ts", f"{lake.raw}/landed", f"{lake.root}/_dead_letter",
-        f"{lake.root}/_checkpoints/landing", retry_path=f"{lake.root}/_retry",
+        f"{lake.root}/_checkpoints/landing", retry_path=f"{lake.root}/_retry", recall=recall, settled=settled,
     ):
         query.awaitTermination()
 
 
+def run_wait(
+    spark: SparkSession, lake: Lake, source: str, day: str, timeout: float, poll: float,
+    required: Sequence[str] = K.MANDATORY_DOMAINS, clock=time.monotonic, sleep=time.sleep,
+) -> list[str]:
+    """Lands in rounds until every required domain has an object on the day, or the time is over; returns the
+    domains that are still missing. A round reads only what has come since the last one."""
+    deadline = clock() + timeout
+    wanted = spark.createDataFrame([(day,)], "d string").select(F.col("d").cast("date").alias("_ingest_date"))
+    while True:
+        if R.present(spark, source):
+            run_landing(spark, lake, source)
+        landed = landed_days(spark, lake, *DOMAINS)
+        # At most one row a required domain.
+        lacking = sorted(r["domain"] for r in
+                         missing_domains(landed, "domain", "_ingest_date", required, wanted).collect())
+        if not lacking or clock() + poll > deadline:
+            return lacking
+        sleep(poll)
+
+
 def run_views(spark: SparkSession, lake: Lake, sql: str, limit: int) -> None:
     """Publishes the report views over the Gold tables and shows a query on them."""
     publish_views(lake.read(spark, "gold", GOLD_TABLES["sales_daily"]), lake.read(spark, "gold", GOLD_TABLES["customer_360"]))
@@ -199,10 +228,7 @@ def raw_checks(spark: SparkSession, lake: Lake, expected_days: int) -> list[Data
 
     A domain without any object scores 0.
     """
-    found = {d: landed_days(spark, lake, d) for d in DOMAINS}
-    parts = [f.select(F.lit(d).alias("domain"), "_ingest_date") for d, f in found.items() if f is not None]
-    empty = spark.createDataFrame([], "domain string, _ingest_date date")
-    landed = materialise(reduce(DataFrame.unionByName, parts, empty).distinct(), "landed-days")
+    landed = materialise(landed_days(spark, lake, *DOMAINS).select("domain", "_ingest_date").distinct(), "landed-days")
     newest = landed.agg(F.max("_ingest_date").alias("d")).select("d")
     window = newest.where("d IS NOT NULL").select(
         F.explode(F.sequence(F.date_sub("d", expected_days - 1), "d")).alias("_ingest_date"))
@@ -273,6 +299,11 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     compact.add_argument("--table", required=True)
     compact.add_argument("--partition-by", default="")
     compact.add_argument("--target-file-size-mb", type=int, default=64)
+    waiting = jobs.add_parser("wait", help="lands until every mandatory domain has the day; exit code 2 at the deadline")
+    waiting.add_argument("--source", required=True, help="folder of JSON response lines")
+    waiting.add_argument("--day", required=True)
+    waiting.add_argument("--timeout-seconds", type=float, default=3600)
+    waiting.add_argument("--poll-seconds", type=float, default=60)
     landing = jobs.add_parser("land")
     landing.add_argument("--source", required=True, help="folder of JSON response lines")
     views = jobs.add_parser("views")
@@ -314,6 +345,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         print(T.compact(spark, lake.path(args.layer, args.table), keys, target_bytes=target))
     elif args.job == "land":
         run_landing(spark, lake, args.source)
+    elif args.job == "wait":
+        lacking = run_wait(spark, lake, args.source, args.day, args.timeout_seconds, args.poll_seconds)
+        print(lacking)
+        return 2 if lacking else 0
     elif args.job == "views":
         run_views(spark, lake, args.sql, args.limit)
     elif args.job == "expire":

@@ -101,8 +101,8 @@ def provenance(df: DataFrame, path: Column | None = None) -> DataFrame:
     )
 
 
-def objects(spark: SparkSession, root: str, tasks: int = LISTING_TASKS) -> DataFrame:
-    """One row per file of a tree with its size and partition values; no content is read.
+def objects(spark: SparkSession, root: str | Sequence[str], tasks: int = LISTING_TASKS) -> DataFrame:
+    """One row per file of a tree, or of several, with its size and partition values; no content is read.
 
     Spark cuts a file scan by bytes, which a listing does not read: a bounded number of tasks
     takes all cuts.
@@ -124,13 +124,15 @@ def present(spark: SparkSession, root: str) -> bool:
 
 
 def raw_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Objects and bytes per (domain, day)."""
+    """Objects and bytes per (domain, day); those outside a day folder count under a NULL day."""
+    base = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
+    below = F.substring(F.col("path"), F.locate(base, F.col("path")) + len(base), F.length("path"))
     found = objects(spark, root).select(
         "length",
-        F.regexp_extract("path", r"/([^/]+)/ingest_date=", 1).alias("domain"),
+        F.nullif(F.regexp_extract(below, r"^([^/]+)/", 1), F.lit("")).alias("domain"),
         F.regexp_extract("path", r"/ingest_date=([^/]+)/", 1).try_cast("date").alias("ingest_date"),
     )
-    return found.where(F.col("ingest_date").isNotNull()).groupBy("domain", "ingest_date").agg(
+    return found.groupBy("domain", "ingest_date").agg(
         F.count("*").alias("n_objects"), F.sum("length").alias("n_bytes")
     )
 

@@ -5,7 +5,7 @@ The functions before `land` take batch and streaming frames; `read_stream` start
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,33 +123,54 @@ def dead_letter_key(domain: Column, day: Column, token: Column) -> Column:
     return F.concat_ws("/", F.lit("_dead_letter"), place, date, F.concat(token, F.lit(".json")))
 
 
+def parked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The refused rows that wait for another try, as a stream of the files that `land` has written there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    return read_stream(spark, path, schema)
+
+
 def land(
     df: DataFrame, accepted: Column, keys: Sequence[str], ts: str, ok_path: str, dead_path: str,
     checkpoint: str, spread: Sequence[str] = (), ttl: str = K.DEDUP_TTL, body: str = "body",
     retry_path: str | None = None, attempts: str = "attempts",
-) -> list[StreamingQuery]:
-    """Starts the landing and the dead-letter stream over everything available now.
+    recall: Callable[[DataFrame], DataFrame] | None = None, settled: DataFrame | None = None,
+) -> Iterator[StreamingQuery]:
+    """Lands everything available now; yields its queries, each to be awaited before the next is asked for.
 
     Accepted rows are landed once per key and time to live, counted from their arrival, below
     `ok_path` as `domain=<d>/ingest_date=<day>`, each with its `object_key` from the call instant
-    `ts`; with `<raw>/landed` as `ok_path` the Bronze job finds them. With a
-    `retry_path`, a refused row goes there with its attempts counted until `MAX_RETRIES` is
-    passed; the caller's next request takes it from there. All file sinks commit exactly once;
-    the checkpoint carries the deduplication state.
+    `ts`; with `<raw>/landed` as `ok_path` the Bronze job finds them. Without a `retry_path`, refused
+    rows are dead letters at once.
+
+    With it, a refused row is parked there, and every later run reads the parked rows as a second
+    source beside `df`: a run is a try. `recall` makes the call again (rows to rows of the same
+    columns, the same for equal rows); without it a row is judged as it is. A row that is accepted
+    then is landed like any other; one whose key is in `settled` (a frame of keys landed by earlier
+    runs) is done with; any other has its attempts counted, and is parked again or, with
+    `MAX_RETRIES` passed, a dead letter. All file sinks commit exactly once and read each parked row
+    once; the checkpoint carries the deduplication state.
     """
+    if retry_path:
+        waiting = parked(df.sparkSession, retry_path, df.schema)
+        if settled is not None:
+            waiting = waiting.join(settled, list(keys), "left_anti").select(*df.columns)
+        df = df.unionByName(recall(waiting) if recall else waiting)
     conforming, refused = route(df, accepted)
     token = F.md5(F.concat_ws("|", "domain", "snapshot_date", F.col(ts).cast("string"), body))
     key = object_key(F.col("domain"), F.col("snapshot_date"), F.unix_millis(ts), token)
     landed = dedup_stream(arriving(conforming), keys, ARRIVED, ttl, spread).withColumn("object_key", key)
-    started = [_write(landed.withColumnRenamed("snapshot_date", "ingest_date"),
-                      ok_path, ["domain", "ingest_date"], f"{checkpoint}/ok")]
-    if retry_path:
-        counted = retry_route(refused, F.lit(True), attempts)
-        again = counted.where(F.col("next_stop") == "retry").drop("next_stop")
-        refused = counted.where(F.col("next_stop") == "dead_letter").drop("next_stop")
-        started.append(_write(again, retry_path, ["domain", "snapshot_date"], f"{checkpoint}/retry"))
-    started.append(_write(refused, dead_path, ["domain", "snapshot_date"], f"{checkpoint}/dead"))
-    return started
+    yield _write(landed.withColumnRenamed("snapshot_date", "ingest_date"),
+                 ok_path, ["domain", "ingest_date"], f"{checkpoint}/ok")
+    if not retry_path:
+        yield _write(refused, dead_path, ["domain", "snapshot_date"], f"{checkpoint}/dead")
+        return
+    counted = retry_route(refused, F.lit(True), attempts)
+    given_up = counted.where(F.col("next_stop") == "dead_letter").drop("next_stop")
+    yield _write(given_up, dead_path, ["domain", "snapshot_date"], f"{checkpoint}/dead")
+    # The last to start: what it parks is read by the next run.
+    again = counted.where(F.col("next_stop") == "retry").drop("next_stop")
+    yield _write(again, retry_path, ["domain", "snapshot_date"], f"{checkpoint}/retry")
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], checkpoint: str) -> StreamingQuery:
