@@ -197,8 +197,50 @@ def run_views(spark: SparkSession, lake: Lake, sql: str, limit: int) -> None:
     spark.sql(sql).show(limit, truncate=False)
 
 
-def run_gold(spark: SparkSession, lake: Lake) -> list[str]:
-    """Recomputes the four analytics tables."""
+#: Stored parts of the analytics tables, each replaced by day.
+PARTS = ("sales_totals", "customer_orders", "customer_value")
+
+
+def _changed_days(spark: SparkSession, lake: Lake) -> tuple[dict[str, str], list[str], list[str]]:
+    """Folder times of all order days, those that differ from the times seen last, and days that are gone.
+
+    A day depends on its orders, its product prices and its customers, so on three folders. Days are folder names.
+    """
+    folders = [LG.day_folders(spark, lake.path("silver", SILVER_TABLES[d]), day)
+               for d, day in (("carts", "order_date"), ("products", "snapshot_date"), ("users", "snapshot_date"))]
+    now = {day: " ".join(str(f.get(day)) for f in folders) for day in folders[0]}
+    place = f"{lake.root}/gold/_parts/_seen"
+    # One row a day.
+    seen = ({r["day"]: r["times"] for r in spark.read.schema("day string, times string").parquet(place).collect()}
+            if R.present(spark, place) else {})
+    return now, sorted(d for d in now if seen.get(d) != now[d]), sorted(set(seen) - set(now))
+
+
+def refresh_parts(
+    spark: SparkSession, lake: Lake, lines: DataFrame, products: DataFrame, customers: DataFrame, full: bool = False,
+) -> list[str]:
+    """Brings the stored parts up to date: only days whose orders, prices or customers have been written since are read,
+    and their parts replaced. Returns those days."""
+    now, changed, gone = _changed_days(spark, lake)
+    days = sorted(now) if full else changed
+    if days:
+        wanted = [F.lit(d).cast("date") for d in days]
+        lines = lines.where(F.col("order_date").isin(wanted))
+        products, customers = (df.where(F.col("snapshot_date").isin(wanted)) for df in (products, customers))
+        made = (G.sales_totals(G.purchases(lines), products, customers), *G.customer_parts(lines, products))
+        for name, part in zip(PARTS, made):
+            T.overwrite_partitions(part, f"{lake.root}/gold/_parts/{name}", ["order_date"])
+    for name in PARTS:
+        T.drop_days(spark, f"{lake.root}/gold/_parts/{name}", "order_date", gone)
+    if days or gone:
+        T.replace_table(spark.createDataFrame(list(now.items()), "day string, times string"),
+                        f"{lake.root}/gold/_parts/_seen")
+    return days
+
+
+def run_gold(spark: SparkSession, lake: Lake, full: bool = False) -> list[str]:
+    """Writes the four analytics tables; sales and customers from stored parts, of which only changed days are made
+    anew (all with `full`)."""
     products = lake.read(spark, "silver", SILVER_TABLES["products"])
     customers = lake.read(spark, "silver", SILVER_TABLES["users"])
     lines = lake.read(spark, "silver", SILVER_TABLES["carts"])
@@ -210,12 +252,15 @@ def run_gold(spark: SparkSession, lake: Lake) -> list[str]:
         "product_id", "snapshot_date", "title", "category_slug", "category_label", "price_band",
         "unit_price", "unit_price_observed", "rating_score", "review_count", "is_reconstructed",
     )
+    refresh_parts(spark, lake, lines, products, customers, full)
+    totals, orders, value = (spark.read.parquet(f"{lake.root}/gold/_parts/{name}") for name in PARTS)
+    newest = orders.agg(F.max("order_date").alias("newest")).select("newest").scalar()
+    base = materialise(G.with_profile(profile, G.totals_of_parts(orders, value), newest), "customer-base")
     built = {
         "catalog_kpi": (G.catalog_kpi(products), ["snapshot_date", "category_slug"]),
         "price_trend": (G.price_trend(trend), ["product_id", "snapshot_date"]),
-        "sales_daily": (
-            G.sales_by_category(lines, products, customers), ["order_date", "category_slug"]),
-        "customer_360": (G.customer_360(profile, lines, products), ["customer_id"]),
+        "sales_daily": (G.sales_series(totals), ["order_date", "category_slug"]),
+        "customer_360": (G.rfm(base, "customer_id"), ["customer_id"]),
     }
     for name, (frame, order) in built.items():
         stamped = frame.withColumn("gold_ts", F.current_timestamp())
@@ -291,7 +336,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         job.add_argument("--max-partitions", type=int, default=0)
         if name == "silver":
             job.add_argument("--end-date", default="")
-    jobs.add_parser("gold")
+    gold = jobs.add_parser("gold")
+    gold.add_argument("--full", action="store_true", help="make the parts of all days anew")
     quality = jobs.add_parser("quality")
     quality.add_argument("--expected-days", type=int, default=0)
     compact = jobs.add_parser("compact")
@@ -338,7 +384,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             print(run_silver(
                 spark, lake, args.domain, settings, mode, dates, limit, args.end_date or None))
     elif args.job == "gold":
-        print(run_gold(spark, lake))
+        print(run_gold(spark, lake, args.full))
     elif args.job == "compact":
         keys = [k for k in args.partition_by.split(",") if k]
         target = args.target_file_size_mb * 1024 * 1024

@@ -262,7 +262,12 @@ def sales_by_category(
         lines, products, customers,
         price_date=price_date, customer_date=customer_date, salts=salts,
     )
-    series = complete_series(totals, bounds or day_bounds(lines, "order_date"))
+    return sales_series(totals, bounds or day_bounds(lines, "order_date"))
+
+
+def sales_series(totals: DataFrame, bounds: tuple[Column, Column] | None = None) -> DataFrame:
+    """The daily sales table out of the totals of single days, which may be stored and replaced day by day."""
+    series = complete_series(totals, bounds or day_bounds(totals, "order_date"))
     dated = calendar_attributes(series, "order_date")
     revenue, orders = F.col("revenue"), F.col("nb_orders")
     keys = ("category_slug", "order_date")
@@ -317,19 +322,52 @@ def category_value(
     lines: DataFrame, products: DataFrame, price_date: str = "order_date"
 ) -> DataFrame:
     """Revenue and ratings per (customer, category); unmatched lines under a NULL category."""
-    bought = lines.groupBy("customer_id", "product_id", price_date).agg(
-        F.sum("quantity").alias("_items"), _line_count(lines).alias("_lines")
-    )
+    return _per_category(_product_value(lines, products, price_date, ["customer_id", "product_id", price_date]))
+
+
+def _product_value(lines: DataFrame, products: DataFrame, price_date: str, keys: list[str]) -> DataFrame:
+    """Revenue and ratings per key; the keys hold the product and the day of its price."""
+    bought = lines.groupBy(*dict.fromkeys(keys)).agg(F.sum("quantity").alias("_items"), _line_count(lines).alias("_lines"))
     price = products.select(
         "product_id", "snapshot_date", "unit_price", "category_slug", "category_label", "rating_score"
     )
     valued = temporal_snapshot_join(bought, price, "product_id", price_date, "snapshot_date")
-    rated = F.col("rating_score").isNotNull()
+    return valued.withColumns({
+        "_revenue": (F.col("_items") * F.col("unit_price")).try_cast(MONEY_TOTAL),
+        "_rating": F.col("rating_score") * F.col("_lines"),
+        "_rated": F.when(F.col("rating_score").isNotNull(), F.col("_lines")),
+    })
+
+
+def _per_category(valued: DataFrame) -> DataFrame:
     return valued.groupBy("customer_id", "category_slug", "category_label").agg(
-        F.sum((F.col("_items") * F.col("unit_price")).try_cast(MONEY_TOTAL)).alias("_revenue"),
-        F.sum(F.col("rating_score") * F.col("_lines")).alias("_rating"),
-        F.sum(F.when(rated, F.col("_lines"))).alias("_rated"),
-    )
+        *[F.sum(c).alias(c) for c in ("_revenue", "_rating", "_rated")])
+
+
+def customer_parts(lines: DataFrame, products: DataFrame, price_date: str = "order_date") -> tuple[DataFrame, DataFrame]:
+    """What single days add to customers, to be stored by `order_date` and replaced day by day: orders per customer, and
+    value per customer and product. An order has one day."""
+    orders = lines.groupBy("order_date", "customer_id", "order_id").agg(
+        _line_count(lines).alias("_lines"), F.sum("quantity").alias("_items"))
+    value = _product_value(lines, products, price_date, ["order_date", price_date, "customer_id", "product_id"])
+    return (orders.groupBy("order_date", "customer_id").agg(
+                F.count("order_id").alias("nb_orders"), F.sum("_lines").alias("nb_order_lines"),
+                F.sum("_items").alias("nb_items")),
+            value.select("order_date", "customer_id", "product_id", "category_slug", "category_label",
+                         "_revenue", "_rating", "_rated"))
+
+
+def totals_of_parts(orders: DataFrame, value: DataFrame) -> DataFrame:
+    """The totals per customer that `customer_totals` gives, out of stored parts."""
+    months = F.size(F.collect_set(F.trunc("order_date", "month"))).cast("bigint")
+    activity = orders.groupBy("customer_id").agg(
+        *[F.sum(c).alias(c) for c in ("nb_orders", "nb_order_lines", "nb_items")],
+        F.min("order_date").alias("first_order_date"), F.max("order_date").alias("last_order_date"),
+        months.alias("nb_active_months"))
+    variety = value.select("customer_id", "product_id").distinct().groupBy("customer_id").agg(
+        F.count("product_id").alias("nb_distinct_products"))
+    return (activity.join(variety, "customer_id")
+            .join(value_per_customer(_per_category(value)), "customer_id", "left"))
 
 
 def favorite_category(by_category: DataFrame) -> DataFrame:
@@ -346,7 +384,11 @@ def favorite_category(by_category: DataFrame) -> DataFrame:
 def customer_value(
     lines: DataFrame, products: DataFrame, price_date: str = "order_date"
 ) -> DataFrame:
-    by_category = category_value(lines, products, price_date)
+    return value_per_customer(category_value(lines, products, price_date))
+
+
+def value_per_customer(by_category: DataFrame) -> DataFrame:
+    """Value, variety of categories and favourite out of rows per (customer, category)."""
     labels = Window.partitionBy("customer_id", "category_label")
     # A customer has at most one row per category here, so these windows stay small.
     named = by_category.withColumn(
@@ -409,14 +451,18 @@ def customer_base(
     customers: DataFrame, lines: DataFrame, products: DataFrame, price_date: str = "order_date"
 ) -> DataFrame:
     """Newest profile of every customer with its order totals."""
+    lines = purchases(lines, price_date)
+    newest = lines.agg(F.max("order_date").alias("newest")).select("newest").scalar()
+    return with_profile(customers, customer_totals(lines, products, price_date), newest)
+
+
+def with_profile(customers: DataFrame, totals: DataFrame, newest: Column) -> DataFrame:
+    """Every customer's newest profile beside its totals; `newest` is the newest day with orders."""
     profile = customers
     if "snapshot_date" in customers.columns:
         profile = latest_state(customers, "customer_id", "snapshot_date").withColumnRenamed(
             "snapshot_date", "profile_snapshot_date"
         )
-    lines = purchases(lines, price_date)
-    totals = customer_totals(lines, products, price_date)
-    newest = lines.agg(F.max("order_date").alias("newest")).select("newest").scalar()
     zero = ("nb_orders", "nb_order_lines", "nb_items", "nb_distinct_products",
             "nb_distinct_categories", "nb_active_months")
     joined = profile.join(totals, "customer_id", "left")

@@ -45,13 +45,13 @@ def follow_landed(spark: SparkSession, raw: str, ledger: str) -> None:
      .option("checkpointLocation", f"{ledger}/_checkpoint").trigger(availableNow=True).start().awaitTermination())
 
 
-def day_folders(spark: SparkSession, root: str) -> dict[str, int]:
-    """Change time of every day folder of a domain: one entry a day, from one listing of the domain's folder."""
+def day_folders(spark: SparkSession, root: str, day: str = "ingest_date") -> dict[str, int]:
+    """Change time of every day folder below a root: one entry a day, from one listing of the root alone."""
     fs, make = _files(spark, root)
     if not fs.exists(make(root)):
         return {}
     found = ((s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(make(root)))
-    return {name.split("=", 1)[1]: ms for name, ms in found if name.startswith("ingest_date=")}
+    return {name.split("=", 1)[1]: ms for name, ms in found if name.startswith(f"{day}=")}
 
 
 def follow_objects(spark: SparkSession, raw: str, domain: str, ledger: str) -> list[str]:
