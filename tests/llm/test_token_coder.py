@@ -93,3 +93,63 @@ def test_odd_rows(odd, odd_rows, tokenizer, monkeypatch):
 
 def test_no_rows(odd):
     assert token_coder.write_and_read(odd.limit(0), PATH).count() == 0
+
+
+def entropy(ids):
+    share = np.bincount(ids)
+    share = share[share > 0] / len(ids)
+    return -(share * np.log2(share)).sum()
+
+
+def test_real_ids_take_less_than_their_order_0_entropy(documents, tokenizer):
+    texts = [r.text for r in documents.select("text").collect()]
+    ids, _ = token_coder.token_ids(texts, token_coder._Words(tokenizer, 2))
+    assert len(token_coder.encode(ids)) * 8 / len(ids) < entropy(ids)
+
+
+def test_each_order_adds_to_the_prediction():
+    """Ids that follow from the last one, or from the last two, cost far less than their order-0 entropy."""
+    rng = np.random.default_rng(4)
+    after = rng.permutation(200)
+    one = np.zeros(40_000, int)
+    for i in range(1, len(one)):
+        one[i] = after[one[i - 1]] if rng.random() < 0.9 else rng.integers(200)
+    two = np.zeros(40_000, int)
+    for i in range(2, len(two)):
+        two[i] = (two[i - 1] * 7 + two[i - 2] * 3 + 1) % 40 if rng.random() < 0.9 else rng.integers(40)
+    for ids in (one, two):
+        assert len(token_coder.encode(ids)) * 8 / len(ids) < 0.75 * entropy(ids)
+
+
+def test_blocks_are_independent():
+    ids = np.random.default_rng(2).integers(0, 500, 3 * token_coder.BLOCK_IDS)
+    data = memoryview(token_coder.encode(ids))
+    _, at = token_coder._Table.unpack(data)
+    for k in range(3):
+        size = 12 + int.from_bytes(data[at + 4:at + 8], "little")
+        alone = bytes(data[:token_coder._Table.unpack(data)[1]]) + bytes(data[at:at + size])
+        found = token_coder.decode(memoryview(alone))
+        assert (found == ids[k * token_coder.BLOCK_IDS:(k + 1) * token_coder.BLOCK_IDS]).all()
+        at += size
+
+
+@pytest.mark.parametrize("distinct", [1, 2, 15, 17, 65536])
+def test_shares_of_a_table(distinct):
+    ids = np.concatenate([np.arange(distinct), np.zeros(100_000, int)])
+    table = token_coder._Table.of(ids)
+    assert sorted(table.ids) == list(range(distinct)) and (table.width >= 1).all()
+    for a, b in zip(table.bounds[:-1], table.bounds[1:]):
+        assert a == b or table.width[a:b].sum() == 1 << token_coder.INSIDE
+    again, _ = token_coder._Table.unpack(memoryview(table.pack()))
+    assert (again.ids == table.ids).all() and (again.inside == table.inside).all()
+
+
+def test_files_hold_a_bounded_number_of_sections(spark, documents, monkeypatch):
+    monkeypatch.setattr(token_coder, "SECTION_IDS", 5000)
+    place = token_coder.scratch(spark, "bounded")
+    many = documents
+    for _ in range(5):
+        many = many.unionByName(many)
+    token_coder.write_ids(many.coalesce(1), place, PATH, 2)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(place).select("content").collect()
+    assert len(files) > 1 and max(f.content.count(token_coder.MAGIC) for f in files) <= token_coder.FILE_SECTIONS

@@ -1,4 +1,8 @@
-"""Token ids in compressed binary files: an adaptive context-mixing range coder over independent blocks."""
+"""Token ids in compressed binary files: an adaptive context-mixing range coder over independent blocks.
+
+A section's counts say where order 0 begins. From there every block learns for itself: shares of groups of ids, guesses
+after one and two ids, and the weights that mix the three.
+"""
 
 from __future__ import annotations
 
@@ -16,19 +20,25 @@ from pyspark.sql import functions as F
 from .common import scratch, text_of, written
 from .text import slices
 
-#: Ids of a block, blocks that are coded side by side, ids of a section (the unit a task holds).
-BLOCK_IDS, LANES, SECTION_IDS = 2048, 2048, 4_000_000
+#: Ids of a block, blocks that are coded side by side, ids of a section (the unit a task holds), sections of a file. A
+#: section has at most about 20 bytes for each id, so a file stays far below the 2 GB that its reader takes.
+BLOCK_IDS, LANES, SECTION_IDS, FILE_SECTIONS = 4096, 1024, 4_000_000, 4
 #: Slots of the tables that predict the id after one and after two ids; both start empty in every block.
-SLOTS = 1024
-#: Distributions have 16 steps of 15 bits; a step is never narrower than LEAST; they move by 1/16 to each symbol.
-BITS, LEAST, RATE = 15, 24, 4
-_TOTAL = 1 << BITS
-_START = np.arange(16, dtype=np.int16) * np.int16(_TOTAL // 16)
-_TARGET = np.array([[LEAST * j if j <= s else _TOTAL - LEAST * (16 - j) for j in range(16)] for s in range(16)], np.int16)
+SLOTS = 4096
+#: Order 0: GROUPS groups of ids, whose shares (BITS bits, none narrower than LEAST) move by 1/16 to each id's group, and
+#: fixed shares inside a group (INSIDE bits), from the section's counts.
+GROUPS, BITS, LEAST, RATE, INSIDE = 16, 15, 24, 4, 14
+#: Weights of the predictions, of SCALE in all; they move by 1/16 in WEIGHT steps. A context is both confidences and
+#: whether the guesses agree.
+SCALE, WEIGHT, CONTEXTS = 128, 4096, 32
+_ORDER0 = BITS + INSIDE
+_TOTAL_BITS = _ORDER0 + 7
+#: The coder's range lies between 2**LOW and 2**TOP; it gives and takes 16 bits at a time.
+TOP, LOW = 56, 40
+_START = np.arange(GROUPS, dtype=np.int16) * np.int16((1 << BITS) // GROUPS)
+_TARGET = np.array([[LEAST * j if j <= s else (1 << BITS) - LEAST * (GROUPS - j) for j in range(GROUPS)]
+                    for s in range(GROUPS)], np.int16)
 _ONES = np.uint64(0x0101010101010101)
-#: Distributions of a lane: which prediction holds (by both confidences and whether they agree), then the first two
-#: hexadecimal digits of an id, the second after the first. The low byte is coded as it is.
-_FLAGS, _ORDER0, _LOW_BITS = 32, 17, 8
 
 MAGIC = b"TDMK"
 
@@ -39,194 +49,253 @@ _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u20
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
 
+class _Table:
+    """A section's ids by rank, the most frequent first, in groups of like weight; order 0 begins with it in every block.
+
+    `inside` and `width`: where an id's share begins in its group, and how wide it is, of 2**INSIDE.
+    """
+
+    def __init__(self, ids: np.ndarray, bounds: np.ndarray, width: np.ndarray):
+        self.ids, self.bounds, self.width = ids, bounds, width.astype(np.int64)
+        self.group = np.repeat(np.arange(GROUPS), np.diff(bounds))
+        total = np.concatenate([[0], np.cumsum(self.width)])
+        self.inside = total[:-1] - total[bounds[self.group]]
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> _Table:
+        counts = np.bincount(ids, minlength=1)
+        found = np.flatnonzero(counts)
+        found = found[np.argsort(-counts[found], kind="stable")]
+        n = counts[found]
+        # Half by count, half by number of ids, so that no group has more ids than its shares can hold.
+        weight = np.cumsum(n / n.sum() + 1 / len(n)) / 2
+        bounds = np.concatenate([[0], np.searchsorted(weight, np.arange(1, GROUPS) / GROUPS), [len(n)]])
+        width = np.ones(len(n), np.int64)
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            if b > a:
+                room = (1 << INSIDE) - (b - a)
+                ends = np.cumsum(n[a:b]) * room // n[a:b].sum()
+                width[a:b] += np.diff(ends, prepend=0)
+        return cls(found, bounds, width)
+
+    def pack(self) -> bytes:
+        body = zlib.compress(self.ids.astype("<u2").tobytes() + self.width.astype("<u2").tobytes(), 1)
+        return struct.pack(f"<III{GROUPS + 1}I", len(self.ids), len(body), zlib.crc32(body), *self.bounds) + body
+
+    @classmethod
+    def unpack(cls, data: memoryview) -> tuple[_Table, int]:
+        head = struct.calcsize(f"<III{GROUPS + 1}I")
+        n, size, crc, *bounds = struct.unpack_from(f"<III{GROUPS + 1}I", data)
+        body = bytes(data[head:head + size])
+        if zlib.crc32(body) != crc:
+            raise ValueError("damaged table of ids")
+        both = np.frombuffer(zlib.decompress(body), "<u2").astype(np.int64)
+        return cls(both[:n], np.array(bounds), both[n:]), head + size
+
+    def by_share(self) -> np.ndarray:
+        """The rank that holds each share of each group."""
+        found = np.zeros((GROUPS, 1 << INSIDE), np.int32)
+        for g, (a, b) in enumerate(zip(self.bounds[:-1], self.bounds[1:])):
+            if b > a:
+                found[g] = np.repeat(np.arange(a, b), self.width[a:b])
+        return found.ravel()
+
+
 class _Lanes:
-    """Range coding and models of many blocks in step; subclasses find or take the symbols.
+    """Models of many blocks in step. An id's probability is a sum over three predictions by adaptive weights:
 
-    Between the symbols of an id the coder's state of the lanes at work is held in `at_work` (range, and low or code,
-    and place), so that lanes are picked out once for each id.
+    weight 2 on the guess after the last two ids, weight 1 on that after the last one, the rest on order 0. Guesses are
+    held with a confidence of 0 to 3; weights are learnt for each pair of confidences. Ids are ranks of the table.
     """
 
-    def __init__(self, lanes: int):
-        self.flags = np.tile(_START, (lanes * _FLAGS, 1))
-        self.digits = np.tile(_START, (lanes * _ORDER0, 1))
-        self.guess = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]  # 4 * id + confidence
+    def __init__(self, lanes: int, table: _Table):
+        self.table = table
+        self.shares = np.tile(_START, (lanes, 1))
+        self.guess = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]  # 4 * rank + confidence
+        # To begin with, sure guesses weigh more.
+        sure2, sure1 = np.arange(CONTEXTS) >> 3, np.arange(CONTEXTS) >> 1 & 3
+        self.weight2 = np.tile((sure2 * WEIGHT // 5).astype(np.int32), lanes)
+        self.weight1 = np.tile(((3 - sure2) * sure1 * WEIGHT // 20).astype(np.int32), lanes)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.lane = np.arange(lanes)
 
-    def symbol(self, table: np.ndarray, at: np.ndarray, wanted) -> np.ndarray:
-        """Codes one of 16 symbols for each lane at work by the distribution at `at`, and moves that towards it."""
-        rows = table.take(at, axis=0)
-        step = self.at_work[0] >> np.uint64(BITS)
-        s = self.find(rows, step) if wanted is None else wanted
-        flat = rows.ravel()
-        index = self.lane[:len(s)] * 16 + s
-        low = flat.take(index)
-        width = np.where(s == 15, np.int32(_TOTAL), flat.take(np.minimum(index + 1, len(flat) - 1))) - low
-        self.narrow(step, low.astype(np.uint64), width.astype(np.uint64))
-        move = _TARGET.take(s, axis=0)
-        move -= rows
-        move >>= RATE
-        rows += move
-        table.view("V32").ravel()[at] = rows.view("V32").ravel()
-        return s
-
-    def plain(self, wanted) -> np.ndarray:
-        """Codes the low byte, all values alike."""
-        step = self.at_work[0] >> np.uint64(_LOW_BITS)
-        s = self.find_plain(step) if wanted is None else wanted
-        self.narrow(step, s.astype(np.uint64), np.uint64(1))
-        return s
+    def order0(self, flat: np.ndarray, lane: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where order 0 puts a rank, and how wide, of 2**(BITS + INSIDE)."""
+        group = self.table.group[rank]
+        at = lane * GROUPS + group
+        low = flat[at].astype(np.int64)
+        share = np.where(group == GROUPS - 1, np.int32(1 << BITS), flat[np.minimum(at + 1, len(flat) - 1)]) - low
+        return (low << INSIDE) + share * self.table.inside[rank], share * self.table.width[rank]
 
     def ids(self, n: int, wanted: np.ndarray | None) -> np.ndarray:
-        """The next id of the first n lanes."""
-        lane = self.lane[:n]
-        last, before = self.last[:n], self.before[:n]
+        """Codes the next rank of the first n lanes, the wanted one or that which the data hold."""
+        lane, last, before = self.lane[:n], self.last[:n], self.before[:n]
         mixed = last * 40503
-        slots = [(m >> 5 & SLOTS - 1) + lane * SLOTS for m in (mixed, mixed + before * 60493)]
-        one, two = (g.take(s) for g, s in zip(self.guess, slots))
+        slots = [(m >> 4 & SLOTS - 1) + lane * SLOTS for m in (mixed, mixed + before * 60493)]
+        one, two = (g[s] for g, s in zip(self.guess, slots))
         sure1, sure2, one, two = one & 3, two & 3, one >> 2, two >> 2
-        flag = None
-        if wanted is not None:
-            flag = np.where(wanted == two, 0, np.where(wanted == one, 1, 2))
-        self.pick(slice(0, n))
-        flag = self.symbol(self.flags, lane * _FLAGS + (sure2 * 8 + sure1 * 2 + (one == two)), flag)
-        self.put(slice(0, n))
-        found = np.where(flag == 0, two, one)
-        new = np.flatnonzero(flag == 2)
-        if len(new):
-            first = new * _ORDER0
-            value = (None,) * 3
-            if wanted is not None:
-                new_ids = wanted.take(new)
-                value = new_ids >> 12, new_ids >> 8 & 15, new_ids & 255
-            self.pick(new)
-            a = self.symbol(self.digits, first, value[0])
-            b = self.symbol(self.digits, first + a + 1, value[1])
-            found[new] = (a << 12) | (b << 8) | self.plain(value[2])
-            self.put(new)
-        for guess, slot, was, sure in zip(self.guess, slots, (one, two), (sure1, sure2)):
-            right = was == found
-            keep = np.where(right | (sure > 0), was, found)
+        context = lane * CONTEXTS + (sure2 * 8 + sure1 * 2 + (one == two))
+        w1, w2 = self.weight1[context], self.weight2[context]
+        a1, a2 = ((w * (SCALE - 4)) >> 12 for w in (w1, w2))
+        a0 = (SCALE - a1 - a2).astype(np.int64)
+        peak1, peak2 = a1.astype(np.int64) << _ORDER0, a2.astype(np.int64) << _ORDER0
+        rows = self.shares[:n]
+        flat = rows.ravel()
+        step = self.range[:n] >> np.uint64(_TOTAL_BITS)
+        if wanted is None:
+            wanted = self.find(step, rows, flat, lane, a0, one, two, peak1, peak2)
+        low, width = self.order0(flat, lane, wanted)
+        is1, is2 = wanted == one, wanted == two
+        low = a0 * low + peak1 * (one < wanted) + peak2 * (two < wanted)
+        width = a0 * width + peak1 * is1 + peak2 * is2
+        self.narrow(n, step, low.astype(np.uint64), width.astype(np.uint64))
+        move = _TARGET[self.table.group[wanted]]
+        move -= rows
+        move >>= RATE
+        rows += move
+        self.weight2[context] = w2 + ((is2 * WEIGHT - w2) >> 4)
+        self.weight1[context] = w1 + (((is1 & ~is2) * WEIGHT - w1) >> 4)
+        for guess, slot, was, sure, right in zip(self.guess, slots, (one, two), (sure1, sure2), (is1, is2)):
+            keep = np.where(right | (sure > 0), was, wanted)
             guess[slot] = keep * 4 + np.where(right, np.minimum(sure + 1, 3), np.maximum(sure - 1, 0))
         self.before[:n] = last
-        self.last[:n] = found
-        return found
-
-    def pick(self, lanes):
-        """Takes up the state of these lanes."""
-        self.at_work = [x[lanes] for x in self.state]
-        self.chosen = self.lane[lanes]
-
-    def put(self, lanes):
-        for x, now in zip(self.state, self.at_work):
-            x[lanes] = now
+        self.last[:n] = wanted
+        return wanted
 
 
 class _Encoder(_Lanes):
-    def __init__(self, lanes: int, most: int):
-        super().__init__(lanes)
-        self.room = most * 4 + 4  # no symbol takes more than a word
+    def __init__(self, lanes: int, most: int, table: _Table):
+        super().__init__(lanes, table)
+        self.room = most * 2 + 5  # no id takes more than two words
         self.out = np.empty(lanes * self.room, np.uint32)
-        # Range, low end, and the next place in the output.
-        self.state = [np.full(lanes, 1 << 48, np.uint64), np.zeros(lanes, np.uint64), self.lane * self.room]
-
-    def narrow(self, step, low, width):
-        _, base, place = self.at_work
-        base = base + step * low
-        span = step * width
-        short = span < np.uint64(1 << 32)
-        # The word that would leave next is written always and counts only where it does; a 17th bit is a carry.
-        self.out[place] = base >> np.uint64(32)
-        shift = short * np.uint64(16)
-        base = np.where(short, base & np.uint64(0xFFFFFFFF), base)
-        self.at_work = [span << shift, base << shift, place + short]
+        self.range, self.low = np.full(lanes, 1 << TOP, np.uint64), np.zeros(lanes, np.uint64)
+        self.place = self.lane * self.room
+
+    def narrow(self, n, step, low, width):
+        base, span, place = self.low[:n] + step * low, step * width, self.place[:n]
+        for _ in range(2):
+            short = span < np.uint64(1 << LOW)
+            # The word that would leave next is written always and counts only where it does; a 17th bit is a carry.
+            self.out[place] = base >> np.uint64(LOW)
+            shift = short * np.uint64(16)
+            base = np.where(short, base & np.uint64((1 << LOW) - 1), base) << shift
+            span, place = span << shift, place + short
+            if not (span < np.uint64(1 << LOW)).any():
+                break
+        self.low[:n], self.range[:n], self.place[:n] = base, span, place
 
     def words(self) -> list[bytes]:
-        _, low, place = self.state
-        for _ in range(3):
-            self.out[place] = low >> np.uint64(32)
+        low, place = self.low, self.place
+        for _ in range(4):
+            self.out[place] = low >> np.uint64(LOW)
             place = place + 1
-            low = (low & np.uint64(0xFFFFFFFF)) << np.uint64(16)
+            low = (low & np.uint64((1 << LOW) - 1)) << np.uint64(16)
         size, out = place - self.lane * self.room, self.out.reshape(-1, self.room)
         for k in range(int(size.max()) - 1, 0, -1):  # carries run to the front, all lanes at once
             used = k < size
             out[used, k - 1] += out[used, k] >> np.uint32(16)
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, size)]
+        return [row[:n].astype(">u2").tobytes() for row, n in zip(out, size)]
 
 
 class _Decoder(_Lanes):
-    def __init__(self, words: list[np.ndarray]):
-        super().__init__(len(words))
-        self.data = np.concatenate(words + [np.zeros(4, np.uint16)]).astype(np.uint64)
+    def __init__(self, words: list[np.ndarray], table: _Table):
+        super().__init__(len(words), table)
+        data = np.concatenate(words + [np.zeros(8, np.uint8)]).astype(np.uint64)
+        self.pairs = (data[:-1] << np.uint64(8)) | data[1:]
         place = np.concatenate([[0], np.cumsum([len(w) for w in words])[:-1]])
         code = np.zeros(len(words), np.uint64)
-        for _ in range(3):
-            code = (code << np.uint64(16)) | self.data[place]
-            place = place + 1
-        # Range, code less the low end, and the next place in the input.
-        self.state = [np.full(len(words), 1 << 48, np.uint64), code, place]
-
-    def find(self, rows, step):
-        value = np.minimum(self.at_work[1] // step, np.uint64(_TOTAL - 1)).astype(np.int16)
-        below = (rows <= value[:, None]).view(np.uint64).reshape(-1, 2)
-        return (((below[:, 0] + below[:, 1]) * _ONES) >> np.uint64(56)).astype(np.int64) - 1
-
-    def find_plain(self, step):
-        return np.minimum(self.at_work[1] // step, np.uint64(255)).astype(np.int64)
-
-    def narrow(self, step, low, width):
-        _, code, place = self.at_work
-        code, span = code - step * low, step * width
-        short = span < np.uint64(1 << 32)
-        shift = short * np.uint64(16)
-        code = (code << shift) | (self.data.take(place, mode="clip") * short)
-        self.at_work = [span << shift, code, place + short]
+        for k in range(TOP // 8):
+            code = (code << np.uint64(8)) | data[place + k]
+        self.range, self.code, self.place = np.full(len(words), 1 << TOP, np.uint64), code, place + TOP // 8
+        self.ranks = table.by_share()
+
+    def find(self, step, rows, flat, lane, a0, one, two, peak1, peak2):
+        value = np.minimum(self.code[:len(lane)] // step, np.uint64((1 << _TOTAL_BITS) - 1)).astype(np.int64)
+        swap = one > two
+        ends = (np.where(swap, two, one), np.where(swap, peak2, peak1)), (np.where(swap, one, two), np.where(swap, peak1, peak2))
+        found = np.full(len(lane), -1)
+        for rank, peak in ends:  # the guess of lower rank first; behind a guess its peak is taken off
+            low, width = self.order0(flat, lane, rank)
+            behind = (value >= a0 * low) & (found < 0)
+            here = behind & (value < a0 * (low + width) + peak)
+            found = np.where(here, rank, found)
+            value = np.where(behind & ~here, value - peak, value)
+        value = np.minimum(value // a0, (1 << _ORDER0) - 1)
+        below = (rows <= (value >> INSIDE).astype(np.int16)[:, None]).view(np.uint64).reshape(-1, 2)
+        group = (((below[:, 0] + below[:, 1]) * _ONES) >> np.uint64(56)).astype(np.int64) - 1
+        at = lane * GROUPS + group
+        low = flat[at].astype(np.int64)
+        share = np.where(group == GROUPS - 1, np.int32(1 << BITS), flat[np.minimum(at + 1, len(flat) - 1)]) - low
+        inside = np.minimum((value - (low << INSIDE)) // share, (1 << INSIDE) - 1)
+        return np.where(found < 0, self.ranks[(group << INSIDE) + inside], found)
+
+    def narrow(self, n, step, low, width):
+        code, span, place = self.code[:n] - step * low, step * width, self.place[:n]
+        for _ in range(2):
+            short = span < np.uint64(1 << LOW)
+            shift = short * np.uint64(16)
+            code = (code << shift) | (self.pairs.take(place, mode="clip") * short)
+            span, place = span << shift, place + 2 * short
+            if not (span < np.uint64(1 << LOW)).any():
+                break
+        self.code[:n], self.range[:n], self.place[:n] = code, span, place
 
 
 def encode(ids: np.ndarray) -> bytes:
-    """Blocks of BLOCK_IDS ids below 2**16, each: number of ids, of 16-bit words, CRC-32 of the ids, words."""
-    if len(ids) and (ids.min() < 0 or ids.max() >= 1 << 16):
+    """A table of the ids, all below 2**16, and blocks of BLOCK_IDS ids: number of ids, of bytes, CRC-32 of the ids, bytes.
+
+    Every block starts anew from the table, so each can be read without the others.
+    """
+    if not len(ids):
+        return b""
+    if ids.min() < 0 or ids.max() >= 1 << 16:
         raise ValueError("ids must lie in 0 to 65535")
-    out = []
+    table = _Table.of(ids)
+    ranks = np.zeros(1 << 16, np.uint16)
+    ranks[table.ids] = np.arange(len(table.ids))
+    out = [table.pack()]
     for at in range(0, len(ids), BLOCK_IDS * LANES):
         part = ids[at:at + BLOCK_IDS * LANES]
         blocks = [part[i:i + BLOCK_IDS] for i in range(0, len(part), BLOCK_IDS)]
         full = np.zeros((len(blocks), len(blocks[0])), np.uint16)
-        full.ravel()[:len(part)] = part
-        coder, full = _Encoder(len(blocks), len(blocks[0])), np.ascontiguousarray(full.T)
+        full.ravel()[:len(part)] = ranks[part]
+        coder, full = _Encoder(len(blocks), len(blocks[0]), table), np.ascontiguousarray(full.T)
         for k in range(len(full)):
             n = len(blocks) - (len(blocks[-1]) <= k)  # only the last block may be shorter
             coder.ids(n, full[k, :n].astype(np.int64))
         for block, words in zip(blocks, coder.words()):
             crc = zlib.crc32(block.astype("<u4").tobytes())
-            out.append(struct.pack("<III", len(block), len(words) // 2, crc) + words)
+            out.append(struct.pack("<III", len(block), len(words), crc) + words)
     return b"".join(out)
 
 
 def decode(data: memoryview) -> np.ndarray:
-    """The ids of consecutive blocks; a block whose checksum differs raises ValueError."""
-    blocks, at = [], 0
+    """The ids of a table and its blocks; a block whose checksum differs raises ValueError."""
+    if not len(data):
+        return np.empty(0, np.uint16)
+    table, at = _Table.unpack(data)
+    blocks = []
     while at < len(data):
         n, size, crc = struct.unpack_from("<III", data, at)
-        blocks.append((n, crc, np.frombuffer(data, "<u2", size, at + 12)))
-        at += 12 + 2 * size
+        blocks.append((n, crc, np.frombuffer(data, np.uint8, size, at + 12)))
+        at += 12 + size
     out = []
     for first in range(0, len(blocks), LANES):
         group = sorted(range(first, min(first + LANES, len(blocks))), key=lambda i: -blocks[i][0])
         sizes = np.array([blocks[i][0] for i in group])
-        coder = _Decoder([blocks[i][2] for i in group])
-        ids = np.zeros((int(sizes[0]), len(group)), np.uint16)
-        for k in range(len(ids)):
+        coder = _Decoder([blocks[i][2] for i in group], table)
+        ranks = np.zeros((int(sizes[0]), len(group)), np.uint16)
+        for k in range(len(ranks)):
             n = int((sizes > k).sum())
-            ids[k, :n] = coder.ids(n, None)
-        columns = np.ascontiguousarray(ids.T)
+            ranks[k, :n] = coder.ids(n, None)
+        columns = table.ids.astype(np.uint16)[np.ascontiguousarray(ranks.T)]
         place = {i: p for p, i in enumerate(group)}
         for i in range(first, first + len(group)):
             block = columns[place[i], :blocks[i][0]]
             if zlib.crc32(block.astype("<u4").tobytes()) != blocks[i][1]:
                 raise ValueError("damaged block")
             out.append(block)
-    return np.concatenate(out) if out else np.empty(0, np.uint16)
+    return np.concatenate(out)
 
 
 # ---- tokens -----------------------------------------------------------------------------------------------------
@@ -362,7 +431,8 @@ def write_ids(docs: DataFrame, place: str, tokenizer: str, end_id: int, id_col:
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     (rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_encoded(tokenizer, end_id), "section binary")
-     .select(F.col("section").cast("string").alias("value")).write.option("lineSep", "\n").text(place))
+     .select(F.col("section").cast("string").alias("value"))
+     .write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_SECTIONS).text(place))
 
 
 def _decoded(batches):
