@@ -79,3 +79,50 @@ def test_rows(spark):
     got = html_tree.extract(df).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "", 0), (1, BODY, len(BODY)), (1, BODY, len(BODY))]
     assert html_tree.extract(df.limit(0)).count() == 0
+
+
+def test_nested_columns_stay():
+    rows = "".join(f"<div class=row><div class=col><p>{BODY} {i}.</p></div></div>" for i in ("One", "Two", "Three"))
+    assert html_tree.main_text(f"<body>{rows}</body>") == "\n".join(f"{BODY} {i}." for i in ("One", "Two", "Three"))
+    deep = "".join(f"<div><div><div><p>{BODY} {i}.</p><p>{BODY}</p></div></div></div>" for i in range(3))
+    assert html_tree.main_text(f"<body><ul><li><a href=1>a</a></li><li><a href=2>b</a></li></ul>{deep}</body>") == "\n".join(
+        f"{BODY} {i}.\n{BODY}" for i in range(3))
+
+
+@pytest.mark.parametrize("name", ["notice-board", "skip-list", "search-history", "hidden-figures"])
+def test_names_that_only_hint_do_not_delete(name):
+    page = f"<article><p>{BODY}</p><div class='{name}'><p>{BODY} More.</p><p>{BODY} Last.</p></div></article>"
+    assert html_tree.main_text(page) == f"{BODY}\n{BODY} More.\n{BODY} Last."
+
+
+@pytest.mark.parametrize("name", ["ad", "cookie-notice", "sidebar", "share-buttons", "comment-list", "ad-box", "teasers"])
+def test_plain_names_do(name):
+    page = f"<article><p>{BODY}</p><p>{BODY} Two.</p><div class='{name}'><p>Buy, now.</p></div></article>"
+    assert html_tree.main_text(page) == f"{BODY}\n{BODY} Two."
+
+
+def test_headline_beside_the_article_and_teasers_after_a_post():
+    page = f"<body><div><h1>Headline</h1></div><article><p>{BODY}</p></article></body>"
+    assert html_tree.main_text(page) == f"Headline\n{BODY}"
+    teasers = f"<div class=teasers><p>{BODY} A.</p><p>{BODY} B.</p></div>"
+    assert html_tree.main_text(f"<body><div class=post><p>{BODY}</p><p>{BODY} C.</p></div>{teasers}</body>") == f"{BODY}\n{BODY} C."
+
+
+@pytest.mark.parametrize("unit", ["<a b ", "<span class=ad>", "<a \">\" ", "<a '", "</ ", "<!-- ", "<p><button><b>", "<b><div></div>",
+                                  "<li><b>", "<!", "<", "&amp;", "<div class=ad>", "<table><tr><td>", "<a href=x>y"])
+def test_hostile_pages_take_linear_time(unit):
+    import time
+
+    def took(n):
+        start = time.process_time()
+        html_tree.main_text(unit * n)
+        return time.process_time() - start
+
+    n = 8000
+    took(n)
+    assert took(8 * n) < 24 * max(took(n), 0.004)
+
+
+def test_unclosed_quotes_end_at_the_next_bracket():
+    assert html_tree.main_text(f"<p title=\"x>{BODY}</p>") == BODY
+    assert html_tree.main_text(f"<p title='a>b'>{BODY}</p>") == BODY
