@@ -92,3 +92,22 @@ def test_odd_rows(spark, odd, odd_rows):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in odd_rows} - {1, 2, 3, None}
     assert dc.overlaps(odd, items.limit(0)).count() == 0
     assert dc.clean(odd.limit(0), items).count() == 0
+
+
+def test_the_whole_extent_of_a_long_overlap(spark):
+    """400 of 500 tokens agree; the seeds stand far apart, and those that differ lie close together."""
+    item = [f"w{j}" for j in range(500)]
+    text = list(item)
+    for j in [*range(100, 160), *range(400, 440)]:
+        text[j] = f"changed{j}"
+    docs = spark.createDataFrame([(1, " ".join(["x"] * 50 + text + ["y"] * 50))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    row = dc.overlaps(docs, items).first()
+    assert (row.doc_from, row.doc_to, row.item_from, row.n_same) == (50, 550, 0, 400)
+
+
+def test_a_large_benchmark_is_read_in_parts(spark, sf, documents, monkeypatch):
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    whole = {tuple(r) for r in dc.overlaps(documents, items).collect()}
+    monkeypatch.setattr(dc, "MOST_SEEDS", 1 << 13)
+    assert whole and {tuple(r) for r in dc.overlaps(documents, items).collect()} == whole

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where none is set."""
+    """The folder that the driver and all executors share; a temporary one only where none is set, in a local session."""
     context = spark.sparkContext
     place = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if place is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
         place = tempfile.mkdtemp(prefix="tidemark-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(place)

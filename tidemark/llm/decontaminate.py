@@ -20,12 +20,9 @@ MASKS = ("1101000101101", "110111011", "110100001111", "11101111",
 SPAN = max(map(len, MASKS))
 #: An overlap counts from this many aligned tokens on, of which this share must agree.
 MIN_TOKENS, MIN_SHARE = 13, 0.8
-#: Words of the filter of benchmark hashes that travels to every task: 2**17 longs, 1 MB whatever the benchmark's size;
-#: a hash sets the bits that these parts of it name.
-FILTER_WORDS = 1 << 17
-FILTER_SHIFTS = (0, 20, 41)
-#: Tokens kept on either side of a hit; longer overlaps are found piece by piece.
-REACH = 96
+#: Seeds of the benchmark that travel to every task, 16 MB; with more, the documents are read once for each part of the
+#: range of hashes.
+MOST_SEEDS = 1 << 21
 
 _WEIGHTS = np.array([pow(0xA0761D6478BD642F | 1, k + 1, 2**64) for k in range(SPAN)], np.uint64)
 
@@ -72,9 +69,11 @@ def _item_tokens(batches):
             [words[e - c:e].tobytes() for e, c in zip(ends, counts)], pa.binary())], ["item", "item_words"])
 
 
-def _regions(filter_words: np.ndarray):
-    """Stretches of a text around seeds that the filter lets pass, with those seeds."""
-    low = np.uint64(FILTER_WORDS * 64 - 1)
+def _regions(seeds: np.ndarray, reach: int):
+    """Stretches of a text within `reach` tokens of the sorted seeds, with those seeds."""
+    shift = np.uint64(64 - max(10, min(26, 6 + int(len(seeds)).bit_length())))
+    heads = np.zeros(1 << int(64 - shift), bool)  # sorts out most windows at once
+    heads[seeds >> shift] = True
 
     def run(batches):
         region = TaskContext.get().partitionId() << 40
@@ -84,10 +83,8 @@ def _regions(filter_words: np.ndarray):
             for m in range(len(MASKS)):
                 h = seed_hashes(words, m)
                 found = _inside(counts, len(words), m)
-                for shift in FILTER_SHIFTS:
-                    slot = (h[found] >> np.uint64(shift)) & low
-                    hit = (filter_words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
-                    found = found[hit.astype(bool)]
+                found = found[heads[h[found] >> shift]]
+                found = found[np.isin(h[found], seeds)]
                 at.append(found)
                 hashes.append(h[found])
             at, hashes = np.concatenate(at), np.concatenate(hashes)
@@ -98,13 +95,13 @@ def _regions(filter_words: np.ndarray):
             ends = np.cumsum(counts)
             doc = np.searchsorted(ends, at, "right")
             new = np.ones(len(at), bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (at[1:] - at[:-1] > REACH)
+            new[1:] = (doc[1:] != doc[:-1]) | (at[1:] - at[:-1] > reach)
             starts = np.flatnonzero(new)
             stops = np.append(starts[1:], len(at))
             rows = []
             for s, e in zip(starts, stops):
-                lo = max(int(ends[doc[s]] - counts[doc[s]]), int(at[s]) - REACH)
-                hi = min(int(ends[doc[s]]), int(at[e - 1]) + SPAN + REACH)
+                lo = max(int(ends[doc[s]] - counts[doc[s]]), int(at[s]) - reach)
+                hi = min(int(ends[doc[s]]), int(at[e - 1]) + SPAN + reach)
                 rows.append((region, words[lo:hi].tobytes(), lo - int(ends[doc[s]] - counts[doc[s]]),
                              hashes[s:e].view(np.int64), (at[s:e] - lo).astype(np.int32)))
                 region += 1
@@ -167,8 +164,9 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     tokens of which at least `min_share` agree. Tokens are lower-cased runs of letters, digits and characters beyond
     ASCII.
 
-    Seeds of all windows of both sides are joined by hash; a filter of fixed size spares the shuffle of seeds that no
-    item has, and decides nothing by itself. Each joined diagonal is then compared token by token.
+    Seeds of all windows of both sides are joined by hash; tasks know the benchmark's seeds, or a part of them that is
+    bounded, and pass on only windows that are among them, with the tokens around that any item can span. Each joined
+    diagonal is then compared token by token over the whole item. Texts may be of any length.
 
     An overlap is found when one of the masks fits it anywhere, as one does for every overlap under the given settings
     or stricter ones. Texts and items of fewer than `min_tokens` tokens, null or empty ones included, give none. Null identifiers are kept as null, rows with equal identifiers give one row.
@@ -177,22 +175,29 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     d = docs.select(F.col(id_col).cast("long").alias("doc"), text_of(text_col).alias("text"))
     i = items.select(F.col(item_col).cast("long").alias("item"), text_of(item_text_col).alias("text"))
     seeds = written(i.mapInArrow(_item_seeds, "hash long, item long, item_pos int"), "seeds")
-    slots = F.array(*(F.shiftrightunsigned("hash", s).bitwiseAND(F.lit(FILTER_WORDS * 64 - 1)) for s in FILTER_SHIFTS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
-    bits = (seeds.select(F.explode(slots).alias("slot")).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit"))
-            .groupBy("word").agg(F.bit_or("bit").alias("bits")))
-    filter_words = np.zeros(FILTER_WORDS, np.uint64)
-    for word, value in bits.collect():  # FILTER_WORDS rows at the most
-        filter_words[word] = np.uint64(value & (2**64 - 1))
-    regions = written(d.mapInArrow(_regions(filter_words), "doc long, region long, words binary, from_word int, "
-                                   "hashes array<long>, places array<int>"), "regions")
-    hits = (regions.select("region", F.explode(F.arrays_zip("hashes", "places")).alias("h"))
-            .select("region", F.col("h.hashes").alias("hash"), F.col("h.places").alias("place")).join(seeds, "hash")
-            .select("region", "item", (F.col("place") - F.col("item_pos")).alias("shift")).distinct())
-    words = i.mapInArrow(_item_tokens, "item long, item_words binary").distinct()
-    found = (hits.join(regions.select("region", "doc", "words", "from_word"), "region")
-             .join(words, hits["item"].eqNullSafe(words["item"]))
-             .select("doc", "words", "from_word", hits["item"], "item_words", "shift")
+    items_tokens = written(i.mapInArrow(_item_tokens, "item long, item_words binary").distinct(), "items")
+    longest_item = items_tokens.agg(F.max(F.octet_length("item_words"))).first()[0] or 0
+    known = written(seeds.select("hash").distinct(), "hashes")
+    parts = max(1, -(-known.count() // MOST_SEEDS))
+    regions, numbered = None, known.withColumn("part", F.pmod("hash", F.lit(parts)))
+    for part in range(parts):
+        own = np.array([r.hash for r in numbered.where(F.col("part") == part).select("hash").collect()], np.int64)
+        if not len(own):
+            continue
+        found = written(d.mapInArrow(_regions(np.sort(own.view(np.uint64)), longest_item // 8),
+                                     "doc long, region long, words binary, from_word int, hashes array<long>, "
+                                     "places array<int>").withColumn("part", F.lit(part)), "regions")
+        regions = found if regions is None else regions.unionByName(found)
+    if regions is None:  # no item is long enough for a seed
+        return docs.sparkSession.createDataFrame(
+            [], "doc_id long, item_id long, doc_from int, doc_to int, item_from int, n_same int")
+    hits = (regions.select("part", "region", F.explode(F.arrays_zip("hashes", "places")).alias("h"))
+            .select("part", "region", F.col("h.hashes").alias("hash"), F.col("h.places").alias("place")).join(seeds, "hash")
+            .select("part", "region", "item", (F.col("place") - F.col("item_pos")).alias("shift")).distinct())
+    words = items_tokens.withColumnRenamed("item", "own")
+    found = (hits.join(regions.select("part", "region", "doc", "words", "from_word"), ["part", "region"])
+             .join(words, F.col("item").eqNullSafe(F.col("own")))
+             .select("doc", "words", "from_word", "item", "item_words", "shift")
              .mapInArrow(_verify(min_tokens, min_share),
                          "doc long, item long, doc_from int, doc_to int, item_from int, same int"))
     longest = F.max(F.struct((F.col("doc_to") - F.col("doc_from")).alias("n"), (-F.col("doc_from")).alias("minus_from"),

@@ -472,6 +472,12 @@ def _kept(table: pa.Table, step: int) -> list[np.ndarray]:
     return unpack(own["blob"][0].as_buffer())
 
 
+def _parent(sums: np.ndarray, samples: int) -> tuple[float, float]:
+    """Kinds and discount of the parent, from what follows a round's samples: the same in seating and in scoring."""
+    kinds, ones, twos = sums[samples:samples + 3]
+    return float(kinds), discount(ones, twos)
+
+
 def _levels(bin_: Bin, answers: np.ndarray):
     """After round 0: customers by token, customers and kinds by context, discount, and totals."""
     token, ctx, total = bin_.split(answers)
@@ -508,11 +514,13 @@ class Model:
         first = _received(answers, 0)
         token, _, kinds_cut, d, total, _ = _levels(b, first)
         if step == 1:
-            tables, all_tables, cut_tables = token[:, 1], total[1], kinds_cut
+            # Kinds and discount of the parent are counted in this round; it only sets the chain going.
+            tables, all_tables, cut_tables, kinds, d_root = token[:, 1], total[1], kinds_cut, 0.0, 0.5
         else:
             t, ctx, sums = b.split(_received(answers, step - 1))
             tables, all_tables, cut_tables = t[:, 0], sums[0], ctx[:, 0]
-        base = root_probability(tables.astype(float), float(all_tables), 0.0, 0.5)
+            kinds, d_root = _parent(sums, 1)  # rounds before the last one draw one sample
+        base = root_probability(tables.astype(float), float(all_tables), kinds, d_root)
         rng = np.random.default_rng([self.seed, step, bin_no])
         start = None if step == 1 else _kept(answers, step - 1)[-1].astype(np.float64)
         return sample_tables(b, base, cut_tables, d, THETA, rng, self.samples if step > self.burn_in else 1, start)
@@ -551,7 +559,7 @@ class Model:
         token, n_context, _, d, total, _ = _levels(b, _received(answers, 0))
         t_all, ctx_all, sums = b.split(_received(answers, last))
         s = self.samples
-        kinds, d_root = float(sums[s]), discount(sums[s + 1], sums[s + 2])
+        kinds, d_root = _parent(sums, s)
         p = np.zeros(len(b.n))
         for i, t in enumerate(draws):
             root = root_probability(t_all[:, i].astype(float), float(sums[i]), kinds, d_root)[b.token]
