@@ -115,3 +115,21 @@ def test_retry_and_keys(spark):
     assert tuple(keys) == ("users/ingest_date=2024-03-01/users_2024-03-01_5_t.json",
                            "_dead_letter/inconnu/sans-date/t.json")
     assert dt.date(2024, 3, 1).isoformat() in keys[0]
+
+
+def test_a_silence_is_told_while_it_lasts(spark, tmp_path):
+    from tidemark.streaming import monitor as M
+
+    source, base = tmp_path / "in", tmp_path / "out"
+    at = lambda d, h: response(d, "d", f"2024-03-01T{h:02d}:00:00Z")
+    runs, seen = [[at("a", 1), at("b", 1), at("b", 2)], [at("a", 3)], [at("a", 7), at("a", 10)], [at("b", 12)]], []
+    for n, batch in enumerate(runs):
+        write(source, f"{n}.json", batch)
+        stream = L.read_stream(spark, str(source), RESPONSES, max_files=1)
+        found = L.run_to_table(M.silence_alerts(stream, "ts", ["domain"], "3 hours"), f"{base}/t", f"{base}/c")
+        seen.append(rows(found.select("domain", F.hour("silence_start"), "n_events")))
+    # b has been silent since 2 when a speaks at 7 and at 10, just in time; nobody has to wait until b speaks again.
+    assert seen[1] == [] and ("b", 2, 2) in seen[2] and ("a", 3, 2) in seen[2]
+    batch = M.silence_alerts(spark.read.schema(RESPONSES).json(str(source)), "ts", ["domain"], "3 hours")
+    newest = F.lit("2024-03-01T12:00:00Z").cast("timestamp")
+    assert seen[3] == rows(batch.where(F.col("alert_at") <= newest).select("domain", F.hour("silence_start"), "n_events"))

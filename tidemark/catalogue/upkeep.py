@@ -12,6 +12,7 @@ from ..sources import ledger as LG
 from ..sources import raw as R
 from ..sources import tables as T
 from ..streaming import landing as L
+from ..streaming import monitor as M
 from .core import query, table
 from .fixtures import with_fx, with_response
 from .operations import OK, _event_files
@@ -74,6 +75,26 @@ def landing_ledger(spark, sf):
         "domain", "ingest_date", "origin", "n_objects", F.unix_millis("newest").alias("newest_ms"))
 
 
+@query(with_fx("fx_landing", """
+, opened AS (SELECT domain, ts, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens FROM fx_landing
+             WINDOW w AS (PARTITION BY domain ORDER BY ts))
+, numbered AS (SELECT domain, ts, sum(opens) OVER (PARTITION BY domain ORDER BY ts, opens ROWS UNBOUNDED PRECEDING) AS no FROM opened)
+SELECT domain, max(ts) AS silence_start, max(ts) + INTERVAL 2 HOUR AS alert_at, CAST(count(*) AS BIGINT) AS n_events
+FROM numbered GROUP BY domain, no HAVING max(ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM fx_landing)"""))
+def silence_alerts(spark, sf):
+    """Events arrive in four files in the order of time; a silence is told as soon as the stream's time has passed it."""
+    base = scratch_path(spark, "alerts")
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    quarter = F.least(F.floor((F.unix_micros("ts") - low) * 4 / (high - low + 1)), F.lit(3))
+    for q in range(4):
+        events.where(quarter == q).coalesce(1).write.mode("append").parquet(f"{base}/events")
+    stream = L.read_stream(spark, f"{base}/events", events.schema, "parquet", max_files=1)
+    alerts = M.silence_alerts(with_response(stream), "ts", ["domain"], "2 hours")
+    found = L.run_to_table(alerts, f"{base}/table", f"{base}/checkpoint")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("silence_start", "alert_at")})
+
+
 @query("SELECT CAST(4 AS BIGINT) AS n_batches, CAST(1 AS BIGINT) AS most_files, count(*) AS n_rows FROM events")
 def stream_backpressure(spark, sf):
     """Four files are waiting; each micro-batch takes one."""

@@ -61,3 +61,17 @@ def sliding_throughput(
     return summed.select(
         F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *by, "n_events"
     )
+
+
+def silence_alerts(df: DataFrame, ts: str, by: Sequence[str], gap: str, late: str = "0 seconds") -> DataFrame:
+    """One row for each silence longer than `gap`, as soon as the stream's time has come that far.
+
+    Other sources' events move the time on, so the row comes while the source is still silent. State is a session a
+    source and is dropped with its alert; events more than `late` behind the newest are not counted. On a batch frame
+    all of them are found, those that reach beyond the newest event included.
+    """
+    source = df.withWatermark(ts, late) if df.isStreaming else df
+    session = F.session_window(F.col(ts), gap)
+    closed = source.where(F.col(ts).isNotNull()).groupBy(session.alias("_s"), *by).agg(F.count("*").alias("n_events"))
+    start = F.col("_s.end") - F.expr(f"INTERVAL {gap}")
+    return closed.select(*by, start.alias("silence_start"), F.col("_s.end").alias("alert_at"), "n_events")
