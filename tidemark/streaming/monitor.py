@@ -71,9 +71,8 @@ def silence_alerts(df: DataFrame, ts: str, by: Sequence[str], gap: str, late: st
     all of them are found, those that reach beyond the newest event included.
     """
     source = df.withWatermark(ts, late) if df.isStreaming else df
-    # A stream's sessions also join where they only touch; those of a batch do so with a gap one step wider.
-    width = gap if df.isStreaming else f"{gap} 1 microsecond"
-    session = F.session_window(F.col(ts), width)
-    closed = source.where(F.col(ts).isNotNull()).groupBy(session.alias("_s"), *by).agg(F.count("*").alias("n_events"))
-    start = F.col("_s.end") - F.expr(f"INTERVAL {width}")
-    return closed.select(*by, start.alias("silence_start"), (start + F.expr(f"INTERVAL {gap}")).alias("alert_at"), "n_events")
+    # The last event is taken as an aggregate: a filter on a session's own end would be pushed below its making.
+    closed = source.where(F.col(ts).isNotNull()).groupBy(F.session_window(F.col(ts), gap).alias("_s"), *by).agg(
+        F.max(ts).alias("silence_start"), F.count("*").alias("n_events"))
+    alert = F.col("silence_start") + F.expr(f"INTERVAL {gap}")
+    return closed.select(*by, "silence_start", alert.alias("alert_at"), "n_events")
