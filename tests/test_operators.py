@@ -144,6 +144,15 @@ def test_ntile_on_text_ids_and_several_rankings(spark):
     assert rows(ntile_scores(df, "id", {"x": (F.col("a"), True), "y": (F.col("b"), False)}, 4)) == expected
 
 
+@pytest.mark.parametrize("n,size", [(1001, 5003), (2000, 500), (100_000, 3000), (1500, 3000)])
+def test_many_tiles_are_joined_back(spark, n, size):
+    df = spark.range(size).selectExpr("id", "IF(id % 11 = 0, NULL, id * 7 % 31) AS v")
+    df.createOrReplaceTempView("many")
+    expected = rows(spark.sql(f"SELECT id, v, ntile({n}) OVER (ORDER BY v DESC, id) AS tile FROM many"))
+    found = ntile_distributed(df, n, F.col("v"), "id", True)
+    assert rows(found) == expected and dict(found.dtypes)["tile"] == "int"
+
+
 def test_ntile_of_nothing(spark):
     df = spark.createDataFrame([], "id long, v int")
     assert ntile_distributed(df, 4, F.col("v"), "id").count() == 0

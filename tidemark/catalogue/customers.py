@@ -113,6 +113,16 @@ def distributed_ntile(spark, sf):
     return ntile_distributed(orders, 10, F.col("total_price"), "order_id", name="decile")
 
 
+@query("""
+SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date,
+       CAST(ntile(4096) OVER (ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey) AS INT) AS tile
+FROM orders""")
+def ntile_many_tiles(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("date").alias("order_date"))
+    return ntile_distributed(orders, 4096, F.col("order_date"), "order_id", descending=True)
+
+
 @query(with_fx(ALL, SEGMENTED + f"""
 SELECT customer_segment, CAST(count(*) AS BIGINT) AS nb_customers,
        CAST(sum(lifetime_value) AS DECIMAL(20,2)) AS total_value,

@@ -3,7 +3,8 @@
 Slim rows (sort key, id) are range-partitioned and sorted; their place in the partition
 is written with them, so it stays the same whatever task is repeated afterwards. Per-partition
 counts turn places into ranks, and only the few rows that open a tile are kept, as one array: every
-row's tile is the number of those it has reached, without a join.
+row's tile is the number of those it has reached, without a join. For more than `MOST_CUTS` tiles the
+ranks give the tiles, which are joined back by identifier.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 PLACE_BITS = 33
+#: Tiles up to which every row is compared with the rows that open them; beyond, tiles are joined back by identifier.
+MOST_CUTS = 1000
 
 
 def _sort_key(measure: Column, descending: bool) -> tuple[Column, Column]:
@@ -23,8 +26,8 @@ def _sort_key(measure: Column, descending: bool) -> tuple[Column, Column]:
     return (measure.isNull() if descending else measure.isNotNull()).cast("int"), measure
 
 
-def _cuts(df: DataFrame, id_col: str, measure: Column, descending: bool, n: int) -> Column:
-    """The rows that open tiles 2..n, at most n - 1, as one array of (grp, key, id) in their own types."""
+def _ranked(df: DataFrame, id_col: str, measure: Column, descending: bool) -> DataFrame:
+    """(grp, key, id) of every row with its `_rank` in the whole table and the table's `_total`."""
     group, key = _sort_key(measure, descending)
     slim = df.select(group.alias("grp"), key.alias("key"), F.col(id_col).alias("id"))
     order = [F.col("grp"), F.col("key").desc() if descending else F.col("key"), F.col("id")]
@@ -40,9 +43,24 @@ def _cuts(df: DataFrame, id_col: str, measure: Column, descending: bool, n: int)
         "_block", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy()).alias("_total"),
     )
-    ranked = placed.join(offsets, "_block").withColumn(
+    return placed.join(offsets, "_block").withColumn(
         "_rank", F.col("_before") + F.col("_place") - F.col("_start") + 1
     )
+
+
+def _tiles(df: DataFrame, id_col: str, measure: Column, descending: bool, n: int) -> DataFrame:
+    """(id, tile) of every row."""
+    base, extra, place = F.expr(f"_total div {n}"), F.col("_total") % n, F.col("_rank") - 1
+    wide = extra * (base + 1)
+    # Without a full tile (base 0) every row lies in the wide part.
+    tile = F.when(place < wide, F.floor(F.try_divide(place, base + 1))).otherwise(
+        extra + F.floor(F.try_divide(place - wide, base)))
+    return _ranked(df, id_col, measure, descending).select("id", (tile + 1).cast("int").alias("tile"))
+
+
+def _cuts(df: DataFrame, id_col: str, measure: Column, descending: bool, n: int) -> Column:
+    """The rows that open tiles 2..n, at most n - 1, as one array of (grp, key, id) in their own types."""
+    ranked = _ranked(df, id_col, measure, descending)
     # Tiles 1..extra have one row more than the others; a row opens a tile when the row before it
     # lies in another one.
     base, extra = F.expr(f"_total div {n}"), F.col("_total") % n
@@ -80,6 +98,11 @@ def ntile_scores(
     """
     if n < 2:
         return df.withColumns({name: F.lit(1) for name in rankings})
+    if n > MOST_CUTS:
+        for name, (measure, descending) in rankings.items():
+            tiles = _tiles(df, id_col, measure, descending, n).select(F.col("id").alias("_id"), F.col("tile").alias(name))
+            df = df.join(tiles, F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id")
+        return df
     cuts = {f"_cuts_{name}": _cuts(df, id_col, measure, descending, n)
             for name, (measure, descending) in rankings.items()}
     scores = {
