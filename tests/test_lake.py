@@ -309,6 +309,36 @@ def test_scratch_is_removed(spark):
     assert not T.exists(spark, path)
 
 
+def test_readers_find_the_table_between_the_renames(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    path = lake.path("gold", "t")
+    T.replace_table(spark.range(5), path)
+    (tmp_path / "gold" / "t").rename(tmp_path / "gold" / "t__old")
+    assert T.exists(spark, path)
+    assert lake.read(spark, "gold", "t").count() == 5
+    T.replace_table(spark.range(7), path)
+    assert lake.find(spark, "gold", "t").count() == 7
+    assert lake.find(spark, "gold", "u") is None and not T.exists(spark, f"{path}u")
+
+
+def test_compaction_never_writes_in_place(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "flat")
+    spark.range(100).repartition(8).write.parquet(path)
+    switch = T._switch
+
+    def stop(*args):
+        raise OSError("stopped")
+
+    monkeypatch.setattr(T, "_switch", stop)
+    with pytest.raises(OSError):
+        T.compact(spark, path, [], ["id"])
+    assert spark.read.parquet(path).count() == 100
+    monkeypatch.setattr(T, "_switch", switch)
+    assert T.compact(spark, path, [], ["id"]) == 1
+    assert spark.read.parquet(path).count() == 100
+    assert T.compaction_plan(spark, path).count() == 0
+
+
 def test_compaction_keeps_rows_and_lowers_files(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(0, 3000).withColumn("d", F.when(F.col("id") < 2900, "big").otherwise("b"))

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from .constants import HISTORY_SEED
+from .sources.tables import current
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,7 @@ class Lake:
         return f"{self.root}/{layer}/{table}"
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(layer, table))
+        return spark.read.parquet(current(spark, self.path(layer, table)))
 
     def find(self, spark: SparkSession, layer: str, table: str) -> DataFrame | None:
         """The table, or None when nothing has been written there yet."""

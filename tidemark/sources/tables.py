@@ -46,14 +46,19 @@ def replace_table(
     """Replaces the whole table, written once beside it and then put in its place by renames.
 
     `df` may read the table it replaces, and a failed computation leaves the table as it was. A
-    run that stops between the two renames leaves the old version as `<path>__old`; the next one
-    puts it back first.
+    run that stops between the two renames leaves the old version as `<path>__old`; readers take it
+    from there (`current`), and the next replacement puts it back first.
     """
     spark = df.sparkSession
     recover(spark, path)
     fresh = f"{path}__new-{uuid.uuid4().hex}"
     writer = _clustered(df, partition_by, sort_by).write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(fresh)
+    _switch(spark, fresh, path)
+
+
+def _switch(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts a table that is written in full in the place of another one."""
     fs, make = _files(spark, path)
     old = make(f"{path}__old")
     if fs.exists(make(path)) and not fs.rename(make(path), old):
@@ -63,6 +68,13 @@ def replace_table(
     fs.delete(old, True)
 
 
+def current(spark: SparkSession, path: str) -> str:
+    """Where the table lies: in its place or, between the renames of a replacement or after a crash there, beside it."""
+    fs, make = _files(spark, path)
+    old = f"{path}__old"
+    return old if not fs.exists(make(path)) and fs.exists(make(old)) else path
+
+
 def recover(spark: SparkSession, path: str) -> None:
     """Puts back the version that an interrupted replacement has moved aside."""
     fs, make = _files(spark, path)
@@ -132,7 +144,7 @@ def write_audit_publish(
 
 def exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.parquet(path)
+        spark.read.parquet(current(spark, path))
     except AnalysisException as err:
         if err.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
             return False
@@ -180,7 +192,8 @@ def compact(
     spark: SparkSession, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = (),
     target_bytes: int = COMPACTION_TARGET_BYTES, min_files: int = COMPACTION_MIN_FILES,
 ) -> int:
-    """Rewrites the planned partitions and returns their number."""
+    """Rewrites the planned partitions and returns their number; a table without partitions is replaced as a whole."""
+    recover(spark, path)
     plan = compaction_plan(spark, path, target_bytes, min_files).select(
         F.regexp_replace("partition", "^/", "").alias("_partition"), F.col("n_files_after").alias("_files")
     )
@@ -203,5 +216,8 @@ def compact(
             (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*partition_by).parquet(path))
         else:
-            ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+            # Never in place: a run that stops here must not lose the table.
+            fresh = f"{path}__new-{uuid.uuid4().hex}"
+            ordered.write.parquet(fresh)
+            _switch(spark, fresh, path)
     return len(wanted)
