@@ -227,7 +227,7 @@ def refresh_parts(
         wanted = [F.lit(d).cast("date") for d in days]
         lines = lines.where(F.col("order_date").isin(wanted))
         products, customers = (df.where(F.col("snapshot_date").isin(wanted)) for df in (products, customers))
-        made = (G.sales_totals(G.purchases(lines), products, customers), *G.customer_parts(lines, products))
+        made = (G.sales_totals(lines, products, customers), *G.customer_parts(lines, products))
         for name, part in zip(PARTS, made):
             T.overwrite_partitions(part, f"{lake.root}/gold/_parts/{name}", ["order_date"])
     for name in PARTS:

@@ -119,22 +119,6 @@ def priced_lines(
     return valued.withColumn("line_revenue", revenue)
 
 
-LINES = "_n_lines"
-
-
-def purchases(lines: DataFrame, price_date: str = "order_date") -> DataFrame:
-    """What the analytics need of the order lines, written once: a row per order, product and day
-    with its lines and items. All further sums read this instead of the facts."""
-    keys = dict.fromkeys(("order_date", price_date, "order_id", "customer_id", "product_id"))
-    slim = lines.groupBy(*keys).agg(F.count("*").alias(LINES), F.sum("quantity").alias("quantity"))
-    return materialise(slim, "purchases")
-
-
-def _line_count(lines: DataFrame) -> Column:
-    """Lines in a group, of order lines or of purchases."""
-    return F.sum(LINES) if LINES in lines.columns else F.count("*")
-
-
 def sales_value(lines: DataFrame, products: DataFrame, price_date: str = "order_date") -> DataFrame:
     """Lines, items, revenue and price level per day x category and TOTAL.
 
@@ -143,7 +127,7 @@ def sales_value(lines: DataFrame, products: DataFrame, price_date: str = "order_
     `price_date` must follow from `order_date`, such as its month.
     """
     bought = lines.groupBy(*dict.fromkeys(("order_date", price_date, "product_id"))).agg(
-        _line_count(lines).alias("_lines"), F.sum("quantity").alias("_items")
+        F.count("*").alias("_lines"), F.sum("quantity").alias("_items")
     )
     price = products.select(
         "product_id", "snapshot_date", "unit_price", "category_slug", "category_label", "rating_score"
@@ -176,44 +160,41 @@ def sales_value(lines: DataFrame, products: DataFrame, price_date: str = "order_
     )
 
 
-def sales_reach(
-    lines: DataFrame, products: DataFrame, customers: DataFrame, price_date: str = "order_date",
-    customer_date: str | None = "snapshot_date", salts: int = 1,
-) -> DataFrame:
-    """Distinct orders, customers and cities per day x category and TOTAL.
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumn("category_slug", F.coalesce("category_slug", F.lit(K.UNKNOWN_SLUG)))
 
-    Keys are made distinct first, each kind for itself: what is left is counted as rows, and customers
-    are joined to one row per buyer, day and category.
-    """
-    category = products.select("product_id", "snapshot_date", "category_slug")
-    bought = lines.select(*dict.fromkeys(
-        ("order_date", price_date, "product_id", "order_id", "customer_id")
-    ))
-    placed = materialise(_named(temporal_snapshot_join(
-        bought, category, "product_id", price_date, "snapshot_date", salts, ["order_id"]
-    )).select("order_date", "category_slug", "order_id", "customer_id").distinct(), "orders-placed")
-    slot = ["order_date", "category_slug"]
-    buyers = placed.select(*slot, "customer_id").distinct()
-    if customer_date:
-        place = customers.select("customer_id", F.col(customer_date).alias("order_date"), "city")
-        located = buyers.join(place, ["customer_id", "order_date"], "left")
-    else:
-        located = buyers.join(customers.select("customer_id", "city"), "customer_id", "left")
-    orders = _reach(placed.select(*slot, "order_id"), "order_id", "nb_orders")
-    active = _reach(buyers, "customer_id", "nb_active_customers")
-    cities = _reach(located.select(*slot, "city"), "city", "nb_cities")
-    return orders.join(active, slot).join(cities, slot)
 
+#: What a row of the daily sums stands for: an order, a customer or a product of one day and category.
+ORDER, CUSTOMER, PRODUCT = "o", "c", "p"
 
-def _reach(keyed: DataFrame, key: str, name: str) -> DataFrame:
-    """Distinct values of a key per day x category and per day, NULL not counted."""
-    detail = keyed.distinct()
-    total = detail.select("order_date", F.lit(K.TOTAL_SLUG).alias("category_slug"), key).distinct()
-    return detail.unionByName(total).groupBy("order_date", "category_slug").agg(F.count(key).alias(name))
 
+def _sold_keys(
+    lines: DataFrame, products: DataFrame, price_date: str, salts: int = 1,
+) -> DataFrame:
+    """One row per day, category and order, customer or product sold, the products with lines, items and price.
 
-def _named(df: DataFrame) -> DataFrame:
-    return df.withColumn("category_slug", F.coalesce("category_slug", F.lit(K.UNKNOWN_SLUG)))
+    One aggregation serves all three kinds. It adds up before the shuffle and spreads by the keys themselves,
+    so a customer or product with a third of all lines is one row a task and day.
+    """
+    slim = lines.select(*dict.fromkeys(
+        ("order_date", price_date, "order_id", "customer_id", "product_id", "quantity")))
+    price = products.select(
+        "product_id", "snapshot_date", "unit_price", "category_slug", "category_label", "rating_score"
+    )
+    sold = _named(temporal_snapshot_join(
+        slim, price, "product_id", price_date, "snapshot_date", salts, ["order_id"]))
+    carried = ("category_label", "unit_price", "rating_score", "is_unmatched", "quantity")
+    types = dict(sold.dtypes)
+
+    def row(kind: str, key: str) -> Column:
+        held = [(F.col(c) if kind == PRODUCT else F.lit(None).cast(types[c])).alias(c) for c in carried]
+        marked = F.concat(F.lit(kind), F.col(key).cast("string"))
+        return F.struct(F.lit(kind).alias("_kind"), marked.alias("_key"), *held)
+
+    kinds = F.inline(F.array(row(ORDER, "order_id"), row(CUSTOMER, "customer_id"), row(PRODUCT, "product_id")))
+    return sold.select("order_date", "category_slug", kinds).groupBy(
+        "order_date", "category_slug", "_kind", "_key", *carried[:-1]
+    ).agg(F.count("*").alias("_lines"), F.sum("quantity").alias("_items"))
 
 
 def sales_totals(
@@ -222,11 +203,65 @@ def sales_totals(
 ) -> DataFrame:
     """Day x category and TOTAL, only for days with orders.
 
-    `customer_date` names the snapshot day of `customers`, None for an undated dimension.
+    `customer_date` names the snapshot day of `customers`, None for an undated dimension. Distinct orders,
+    customers, products and cities are counted as rows; the TOTAL counts a key under its first category of the day,
+    in the partitioning that the join with customers needs anyway.
     """
-    value = sales_value(lines, products, price_date)
-    reach = sales_reach(lines, products, customers, price_date, customer_date, salts)
-    return value.join(reach, ["order_date", "category_slug"])
+    keyed = _sold_keys(lines, products, price_date, salts)
+    place = customers.select(
+        F.concat(F.lit(CUSTOMER), F.col("customer_id").cast("string")).alias("_key"),
+        *([F.col(customer_date).alias("order_date")] if customer_date else []), "city")
+    located = keyed.join(place, ["order_date", "_key"] if customer_date else ["_key"], "left")
+    own = Window.partitionBy("order_date", "_key").orderBy("category_slug")
+    n, unit_price, rating = F.col("_lines"), F.col("unit_price"), F.col("rating_score")
+    kind, known = F.col("_kind"), F.col("_key").isNotNull()
+    once = located.withColumn("_first", F.row_number().over(own) == 1)
+    # A city counts once a day in the TOTAL: its customers go there as rows of their own.
+    to_total = F.when(kind == CUSTOMER, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    spread = once.withColumn("_total", F.explode(to_total))
+    keys = spread.groupBy(
+        "order_date", "_total", F.when(~F.col("_total"), F.col("category_slug")).alias("category_slug"), "_kind",
+        F.when(kind == CUSTOMER, F.col("city")).when(kind == PRODUCT, F.col("category_label")).alias("_tag"),
+    ).agg(
+        F.count_if(known).alias("_keys"),
+        F.count_if(known & F.col("_first")).alias("_firsts"),
+        F.sum(F.when(kind == PRODUCT, n)).alias("nb_order_lines"),
+        F.sum("_items").alias("nb_items_sold"),
+        F.sum((F.col("_items") * unit_price).try_cast(MONEY_TOTAL)).cast(MONEY_TOTAL).alias("revenue"),
+        F.sum(unit_price * n).alias("_price"),
+        F.sum(F.when(unit_price.isNotNull(), n)).alias("_priced"),
+        F.sum(rating * n).alias("_rating"),
+        F.sum(F.when(rating.isNotNull(), n)).alias("_rated"),
+        F.sum(F.when(F.col("is_unmatched"), n).otherwise(F.lit(0))).alias("nb_unmatched_lines"),
+    )
+    # A few sums per day, category and city or label are left: each adds to its category and to the TOTAL.
+    sums = keys.withColumnRenamed("_total", "_of_total").withColumn(
+        "_total", F.explode(F.when(F.col("_of_total"), F.array(F.lit(True))).otherwise(
+            F.array(F.lit(False), F.lit(True)))))
+    own_row, total = ~F.col("_of_total"), F.col("_total")
+
+    def counted(of: str) -> Column:
+        return F.sum(F.when((kind == of) & own_row, F.when(total, F.col("_firsts")).otherwise(F.col("_keys")))
+                     .otherwise(F.lit(0)))
+
+    label = F.coalesce(F.max(F.when(kind == PRODUCT, F.col("_tag"))), F.lit(K.UNMATCHED_LABEL))
+    found = sums.groupBy(
+        "order_date", "_total", F.when(~total, F.col("category_slug")).alias("_slug")
+    ).agg(
+        counted(ORDER).alias("nb_orders"),
+        counted(CUSTOMER).alias("nb_active_customers"),
+        counted(PRODUCT).alias("nb_distinct_products"),
+        F.count_if((kind == CUSTOMER) & (F.col("_of_total") == total) & F.col("_tag").isNotNull()).alias("nb_cities"),
+        *[F.sum(c).alias(c) for c in ("nb_order_lines", "nb_items_sold", "nb_unmatched_lines")],
+        F.sum("revenue").cast(MONEY_TOTAL).alias("revenue"),
+        X.ratio(F.sum("_price"), F.sum("_priced"), 10, 2).alias("avg_unit_price"),
+        X.ratio(F.sum("_rating"), F.sum("_rated"), 4, 3).alias("avg_rating_sold"),
+        label.alias("_label"),
+    )
+    return found.withColumns({
+        "category_slug": F.when(total, F.lit(K.TOTAL_SLUG)).otherwise(F.col("_slug")),
+        "category_label": F.when(total, F.lit(K.ALL_SALES_LABEL)).otherwise(F.col("_label")),
+    }).drop("_total", "_slug", "_label")
 
 
 COUNTS = (
@@ -257,7 +292,6 @@ def sales_by_category(
     bounds: tuple[Column, Column] | None = None, salts: int = 1,
 ) -> DataFrame:
     """Calendar-complete daily sales with moving average, month-to-date and week-on-week change."""
-    lines = purchases(lines, price_date)
     totals = sales_totals(
         lines, products, customers,
         price_date=price_date, customer_date=customer_date, salts=salts,
@@ -294,7 +328,7 @@ def sales_series(totals: DataFrame, bounds: tuple[Column, Column] | None = None)
 def customer_activity(lines: DataFrame) -> DataFrame:
     """Orders, items and active months per customer, from one row per order."""
     orders = lines.groupBy("customer_id", "order_id", "order_date").agg(
-        _line_count(lines).alias("_lines"), F.sum("quantity").alias("_items")
+        F.count("*").alias("_lines"), F.sum("quantity").alias("_items")
     )
     return orders.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("nb_orders"),
@@ -327,7 +361,7 @@ def category_value(
 
 def _product_value(lines: DataFrame, products: DataFrame, price_date: str, keys: list[str]) -> DataFrame:
     """Revenue and ratings per key; the keys hold the product and the day of its price."""
-    bought = lines.groupBy(*dict.fromkeys(keys)).agg(F.sum("quantity").alias("_items"), _line_count(lines).alias("_lines"))
+    bought = lines.groupBy(*dict.fromkeys(keys)).agg(F.sum("quantity").alias("_items"), F.count("*").alias("_lines"))
     price = products.select(
         "product_id", "snapshot_date", "unit_price", "category_slug", "category_label", "rating_score"
     )
@@ -348,7 +382,7 @@ def customer_parts(lines: DataFrame, products: DataFrame, price_date: str = "ord
     """What single days add to customers, to be stored by `order_date` and replaced day by day: orders per customer, and
     value per customer and product. An order has one day."""
     orders = lines.groupBy("order_date", "customer_id", "order_id").agg(
-        _line_count(lines).alias("_lines"), F.sum("quantity").alias("_items"))
+        F.count("*").alias("_lines"), F.sum("quantity").alias("_items"))
     value = _product_value(lines, products, price_date, ["order_date", price_date, "customer_id", "product_id"])
     return (orders.groupBy("order_date", "customer_id").agg(
                 F.count("order_id").alias("nb_orders"), F.sum("_lines").alias("nb_order_lines"),
@@ -451,7 +485,6 @@ def customer_base(
     customers: DataFrame, lines: DataFrame, products: DataFrame, price_date: str = "order_date"
 ) -> DataFrame:
     """Newest profile of every customer with its order totals."""
-    lines = purchases(lines, price_date)
     newest = lines.agg(F.max("order_date").alias("newest")).select("newest").scalar()
     return with_profile(customers, customer_totals(lines, products, price_date), newest)
 
