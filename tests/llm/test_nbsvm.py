@@ -51,3 +51,19 @@ def test_no_labels_one_class_no_rows(spark, odd):
     assert {r.predicted for r in nbsvm.score_quality(odd, nbsvm.train(odd, ones)).collect()} == {1}
     empty = odd.limit(0)
     assert nbsvm.score_quality(empty, nbsvm.train(empty, ones)).count() == 0
+
+
+def test_sample_is_bounded_in_bytes(spark, monkeypatch):
+    docs = spark.range(40).selectExpr("id AS doc_id", "repeat(concat('w', id % 2, ' x', id, ' '), 1 + id * 50) AS text")
+    labels = spark.range(40).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+
+    # In place of the model: the bytes that reach the fit.
+    def counted(sample):
+        total = sum(len(b.as_py()) for b in sample["buckets"])
+        return pa.table({"model": pa.array([total.to_bytes(8, "little")], pa.binary())})
+
+    monkeypatch.setattr(nbsvm, "_fit", counted)
+    whole = int(nbsvm.train(docs, labels).view("int64")[0])
+    part = int(nbsvm.train(docs, labels, fit_bytes=whole // 2).view("int64")[0])
+    assert 0 < part <= whole // 2
+    assert part == int(nbsvm.train(docs, labels, fit_bytes=whole // 2).view("int64")[0])

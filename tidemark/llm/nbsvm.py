@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import text_of, written
 from .text import LOWER, SPACE, mix64, slices, word_hashes
 
 #: Buckets of hashed n-grams, and labelled rows at the most that the classifier is fitted on.
 BUCKETS, FIT_ROWS = 1 << 18, 16_000
+#: Bytes of the bucket numbers of those rows at most; a row has up to 4 * BUCKETS.
+FIT_BYTES = 256 << 20
 #: Smoothing of the counts, cost of a margin error (balanced over the classes), passes over the sample.
 ALPHA, COST, PASSES = 1.0, 1.0, 12
 #: Bytes of text whose n-grams are held at a time.
@@ -64,7 +66,8 @@ def _featured(batches):
         ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
         bucket = bucket.astype(np.uint32)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
-            [bucket[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())], ["good", "aside", "buckets"])
+            [bucket[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()), batch.column(3)],
+            ["good", "aside", "buckets", "id"])
 
 
 def log_count_ratios(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
@@ -148,9 +151,12 @@ def crc_fold(ident: Column, folds: int) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", fit_rows: int = FIT_ROWS, folds: int = 5) -> np.ndarray:
+          label_col: str = "quality", fit_rows: int = FIT_ROWS, folds: int = 5,
+          fit_bytes: int = FIT_BYTES) -> np.ndarray:
     """Fits on at most `fit_rows` labelled rows, drawn by hash, of those whose fold is not 0.
 
+    Of these, in the same order, only as many as have `fit_bytes` of bucket numbers together: one task fits the model,
+    and this bounds its memory however long the texts are. Texts are read whole.
     Rows of fold 1 are set aside for the curve from margins to scores. Null identifiers, null labels and labels of
     absent documents teach nothing; of documents with the same identifier one is used. Without rows, or with labels of
     one kind, every score is the smoothed rate of the labels.
@@ -160,8 +166,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .where(crc_fold(F.col("id"), folds) != 0).orderBy(F.xxhash64("id"), "id", "good").limit(fit_rows))
     sample = (docs.select(ident.alias("id"), text_of(text_col).alias("text"))
               .join(F.broadcast(chosen), "id")  # fit_rows rows
-              .dropDuplicates(["id"]).select("good", (crc_fold(F.col("id"), folds) == 1).alias("aside"), "text"))
-    model = (sample.mapInArrow(_featured, "good boolean, aside boolean, buckets binary")
+              .dropDuplicates(["id"]).select("good", (crc_fold(F.col("id"), folds) == 1).alias("aside"), "text", "id"))
+    featured = written(sample.mapInArrow(_featured, "good boolean, aside boolean, buckets binary, id long"), "fit-rows")
+    # An identifier and a size for each of at most fit_rows rows.
+    so_far = Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    fitting = (featured.select("id", F.sum(F.octet_length("buckets")).over(so_far).alias("bytes"))
+               .where(F.col("bytes") <= fit_bytes).select("id"))
+    model = (featured.join(F.broadcast(fitting), "id", "left_semi").drop("id")
              .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(_fit, "model binary").collect())
     if not model:
         return np.zeros(2 * BUCKETS + 3)
