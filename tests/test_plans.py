@@ -1,5 +1,7 @@
 """Physical plans: no joins that pair everything with everything, pruned scans, one shuffle per series."""
 
+import re
+
 import __spark_entry__ as contract
 import pytest
 
@@ -29,3 +31,15 @@ def test_filter_reaches_the_scan(spark, sf):
     from tidemark.plans.silver import current_records
 
     assert "Not(EqualTo(l_returnflag,R))" in plan(current_records(landed_products(spark, sf)))
+
+
+def test_product_months_take_one_shuffle_whose_tasks_follow_the_table(spark, sf, monkeypatch):
+    from tidemark.catalogue import fixtures
+
+    monkeypatch.setattr(fixtures, "TASK_BYTES", 10_000)
+    tasks = fixtures.line_tasks(spark, sf)
+    assert tasks > spark.sparkContext.defaultParallelism
+    text = plan(contract.queries()["latest_state"](spark, sf))
+    assert re.findall(r"Exchange hashpartitioning\(product_id#\d+L, (\d+)\)", text) == [str(tasks)]
+    monkeypatch.setattr(fixtures, "TASK_BYTES", 20_000)
+    assert fixtures.line_tasks(spark, sf) in (tasks // 2, tasks // 2 + 1)

@@ -9,19 +9,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import input_bytes
 from .core import table
 
+#: Bytes of input files for each task that lines are dealt out to by product.
+TASK_BYTES = 4 << 20
+
 
 def month(column: str):
     return F.trunc(F.col(column), "month")
 
 
+def line_tasks(spark: SparkSession, sf: str) -> int:
+    """Tasks for the lines: their number follows the size of the table, so that what one task holds does not."""
+    return max(spark.sparkContext.defaultParallelism, -(-input_bytes(spark, f"{sf}/lineitem.parquet") // TASK_BYTES))
+
+
 def product_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines are reduced to one row per (part, month) before parts are joined."""
-    monthly = table(spark, sf, "lineitem").groupBy(
-        F.col("l_partkey").alias("product_id"), month("l_shipdate").alias("snapshot_date")
-    ).agg(
-        F.min(F.col("l_extendedprice").cast("decimal(10,2)")).alias("unit_price"),
+    """Lines are reduced to one row per (part, month) before parts are joined.
+
+    A part has few lines in a month, so adding up before the shuffle would hold nearly every line of a task; slim lines
+    are dealt out by part instead, and windows over a part find its months together.
+    """
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("product_id"), month("l_shipdate").alias("snapshot_date"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("price"), "l_discount",
+    ).repartition(line_tasks(spark, sf), "product_id")
+    monthly = lines.groupBy("product_id", "snapshot_date").agg(
+        F.min("price").alias("unit_price"),
         F.count("*").alias("review_count"),
         F.round(F.max("l_discount") * 50, 1).cast("decimal(4,1)").alias("rating_score"),
     )

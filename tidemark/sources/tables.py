@@ -92,6 +92,12 @@ def _files(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    fs, make = _files(spark, path)
+    return fs.getContentSummary(make(path)).getLength()
+
+
 def partition_days(spark: SparkSession, path: str, day: str) -> list[tuple[str, str]]:
     """(day, folder) of every partition, oldest first: one entry per day, from one listing."""
     fs, make = _files(spark, path)
