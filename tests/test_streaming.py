@@ -73,6 +73,21 @@ def test_late_events_land_and_keys_age_by_arrival(spark, tmp_path):
     assert found == [("d1",), ("d2",), ("d3",)]
 
 
+def test_many_keys_of_a_day_make_few_files(spark, tmp_path):
+    source, base, n = tmp_path / "in", tmp_path / "out", 16 * L.FOLDER_TASKS
+    write(source, "a.json", [dict(response("products", "2024-03-01", f"2024-03-01T08:{i % 60:02d}:00Z"), k=i) for i in range(n)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(4 * L.FOLDER_TASKS))
+    try:
+        df = L.read_stream(spark, str(source), RESPONSES + ", k int")
+        for query in L.land(df, accepted(), ["k"], "ts", f"{base}/ok", f"{base}/dead", f"{base}/c"):
+            query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(r["k"] for r in spark.read.json(f"{base}/ok").select("k").collect()) == list(range(n))
+    assert 1 < len(list((base / "ok").glob("*/*/*.json"))) <= L.FOLDER_TASKS
+
+
 def test_late_arrivals_are_counted(spark):
     at = dt.datetime(2024, 3, 5)
     df = spark.createDataFrame([("p", at, at), ("p", at - dt.timedelta(days=2), at), ("u", at - dt.timedelta(hours=5), at)],

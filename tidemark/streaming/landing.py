@@ -18,6 +18,9 @@ from ..operators.rules import route
 # When the flow received a row.
 ARRIVED = "_arrived"
 
+# Tasks that share one folder's rows of a micro-batch, and so its files of that batch at most.
+FOLDER_TASKS = 8
+
 # Request envelope.
 REQUEST_FIELDS = "snapshot_date STRING, domains ARRAY<STRING>, run_id STRING"
 
@@ -173,9 +176,16 @@ def land(
     yield _write(again, retry_path, ["domain", "snapshot_date"], f"{checkpoint}/retry")
 
 
+def by_folder(df: DataFrame, partition_by: Sequence[str], tasks: int = FOLDER_TASKS) -> DataFrame:
+    """The rows dealt out so that a folder's lie in at most `tasks` tasks, evenly: the state's partitions follow the
+    keys, and each of them would write a file into every folder."""
+    rest = [c for c in df.columns if c not in partition_by]
+    return df.repartition(*partition_by, F.pmod(F.xxhash64(*rest), F.lit(tasks)))
+
+
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], checkpoint: str) -> StreamingQuery:
     return (
-        df.writeStream.format("json").option("path", path)
+        by_folder(df, partition_by).writeStream.format("json").option("path", path)
         .option("checkpointLocation", checkpoint).partitionBy(*partition_by)
         .trigger(availableNow=True).start()
     )
