@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -67,3 +69,16 @@ def test_sample_is_bounded_in_bytes(spark, monkeypatch):
     part = int(nbsvm.train(docs, labels, fit_bytes=whole // 2).view("int64")[0])
     assert 0 < part <= whole // 2
     assert part == int(nbsvm.train(docs, labels, fit_bytes=whole // 2).view("int64")[0])
+
+
+def test_a_batch_is_featured_within_bounded_memory():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(map(str, rng.integers(0, 1 << 20, 3000))) for _ in range(400)]  # 8 MB
+    flags = pa.array([True] * len(texts))
+    batch = pa.RecordBatch.from_arrays([flags, flags, pa.array(texts), pa.array(range(len(texts)))], ["a", "b", "t", "i"])
+    tracemalloc.start()
+    try:
+        assert sum(part.num_rows for part in nbsvm._featured(iter([batch]))) == len(texts)
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+    finally:
+        tracemalloc.stop()

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -153,3 +154,13 @@ def test_files_hold_a_bounded_number_of_sections(spark, documents, monkeypatch):
     token_coder.write_ids(many.coalesce(1), place, PATH, 2)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(place).select("content").collect()
     assert len(files) > 1 and max(f.content.count(token_coder.MAGIC) for f in files) <= token_coder.FILE_SECTIONS
+
+
+def test_decoder_holds_few_bytes_for_each_byte_of_a_section():
+    table, words = token_coder._Table.of(np.arange(500)), [np.zeros(1 << 23, np.uint8)]
+    tracemalloc.start()
+    try:
+        token_coder._Decoder(words, table)
+        assert tracemalloc.get_traced_memory()[1] < 6 * len(words[0])
+    finally:
+        tracemalloc.stop()

@@ -200,8 +200,10 @@ class _Encoder(_Lanes):
 class _Decoder(_Lanes):
     def __init__(self, words: list[np.ndarray], table: _Table):
         super().__init__(len(words), table)
-        data = np.concatenate(words + [np.zeros(8, np.uint8)]).astype(np.uint64)
-        self.pairs = (data[:-1] << np.uint64(8)) | data[1:]
+        data = np.concatenate(words + [np.zeros(8, np.uint8)])
+        self.pairs = data[:-1].astype(np.uint16)  # two bytes for each place of a section
+        self.pairs <<= np.uint16(8)
+        self.pairs |= data[1:]
         place = np.concatenate([[0], np.cumsum([len(w) for w in words])[:-1]])
         code = np.zeros(len(words), np.uint64)
         for k in range(TOP // 8):
@@ -405,7 +407,7 @@ def _encoded(path: str, end_id: int):
 
         for batch in slices(batches, 1, 1 << 20):
             found, size = token_ids(batch.column(1).to_pylist(), words)
-            docs.append(batch.column(0))
+            docs.append(pa.array(batch.column(0).to_pylist(), pa.int64()))  # a slice would hold its whole batch
             sizes.append(size)
             if len(found) and not 0 <= found.min() <= found.max() < 1 << 16:
                 raise ValueError("ids must lie in 0 to 65535")
