@@ -64,6 +64,53 @@ def test_pieces_that_end_in_white_space(tokenizer, texts):
         assert list(sizes) == [len(w) for w in want] and list(ids) == [i for w in want for i in w]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "B", "é", "à", "中", " ", "  ", "\n", "\r\n", "\t", "\x1c", "\x85", "\xa0",
+                                          "\u2003", "\u2028", "\u3000", "'s", "'", ".", ",", "7", "\0", "<|endoftext|>"]),
+                         max_size=30).map("".join), min_size=1, max_size=5))
+def test_cuts_at_any_white_space_and_marks(tokenizer, texts):
+    words = token_coder._Words(tokenizer, 2)
+    for some in (texts, texts[::-1]):
+        ids, sizes = token_coder.token_ids(some, words)
+        want = [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in some]
+        assert list(sizes) == [len(w) for w in want] and list(ids) == [i for w in want for i in w]
+
+
+class Counting:
+    """A tokenizer that adds up the characters given to it."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.read = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode(self, text, **options):
+        self.read += len(text)
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.read += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("text", ["a few words.  More words,\n\nand so on\t \n" * 500, "one, two. one. two, " * 500])
+def test_each_piece_is_tokenised_once(tokenizer, text):
+    """Also in texts with runs of white space, and with marks behind words."""
+    counting = Counting(tokenizer)
+    ids, _ = token_coder.token_ids([text], token_coder._Words(counting, 2))
+    assert list(ids) == tokenizer.encode(text, add_special_tokens=False).ids + [2]
+    assert counting.read < 60
+
+
+def test_pieces_tokenised_alone_where_bytes_do_not_tell(tokenizer):
+    words = token_coder._Words(tokenizer, 2)
+    words.bytes[:] = 1
+    ids, _ = token_coder.token_ids([" some words of a text", " and others"], words)
+    assert list(ids) == [i for t in (" some words of a text", " and others")
+                         for i in tokenizer.encode(t, add_special_tokens=False).ids + [2]]
+
+
 def brute(rows, tokenizer):
     out, at = [], 0
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):

@@ -6,7 +6,6 @@ after one and two ids, and the weights that mix the three.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import scratch, text_of, written
-from .text import slices
+from .text import slices, utf8
 
 #: Ids of a block, blocks that are coded side by side, ids of a section (the unit a task holds), sections of a file. A
 #: section has at most about 20 bytes for each id, so a file stays far below the 2 GB that its reader takes.
@@ -42,11 +41,13 @@ _ONES = np.uint64(0x0101010101010101)
 
 MAGIC = b"TDMK"
 
-#: Distinct pieces of text whose ids a task keeps.
-CACHED = 350_000
-#: White space other than spaces and line ends in front of one of these, and all places where such a text may be cut.
-_OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000][ \n]")
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+#: Distinct pieces of text whose ids a task keeps; new ones that are tokenised at a time.
+CACHED, JOINED = 350_000, 200
+#: ASCII letters; ASCII white space, in the widest sense; last bytes of other white space in UTF-8, after these first bytes.
+_LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
+_SPACE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+_TAIL = np.isin(np.arange(256), [0x85, 0xA0, *range(0x80, 0x8B), 0xA8, 0xA9, 0xAF, 0x9F])
+_LEAD = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
 
 
 class _Table:
@@ -302,86 +303,116 @@ def decode(data: memoryview) -> np.ndarray:
 
 # ---- tokens -----------------------------------------------------------------------------------------------------
 
-class _Words(dict):
-    """Places of pieces of text among those already tokenised; unknown ones are noted."""
+class _Words:
+    """Pieces of text already tokenised, and the ids of each; place 0 is the end id."""
 
     def __init__(self, tokenizer, end_id: int):
-        super().__init__()
         self.tokenizer, self.end_id = tokenizer, end_id
+        special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
+        # No text is cut in front of a character that special tokens hold.
+        free = ~np.isin(np.arange(256), list("".join(special.values()).encode())) & (np.arange(256) < 128)
+        self.space, self.mark = free & _SPACE, free & ~_SPACE & ~_LETTER
+        # A byte-level token has a character for each byte.
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(max([*vocabulary.values(), *special]) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.bytes[list(special)] = [len(t.encode()) for t in special.values()]
         self.clear()
 
     def clear(self):
-        super().clear()
-        self.new: list[str] = []
-        self[None] = 0
+        self.pieces = pa.array([], pa.large_string())
         self.flat = np.array([self.end_id], np.int32)
         self.start, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
 
-    def __missing__(self, piece):
-        place = self[piece] = len(self.start) + len(self.new)
-        self.new.append(piece)
-        return place
-
-    def _tokenise(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the pieces, where those of each begin, and how many they are. Those that begin with a space or line end
-        and do not end in white space, which would join what follows, are tokenised as one text."""
-        spaced = np.array([p[:1] in " \n" and not p[-1:].isspace() for p in pieces])
-        sizes, starts, flat, held = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [], 0
-        own = np.flatnonzero(spaced)
+    def __len__(self):
+        return len(self.pieces)
+
+    def _joined(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of pieces that lie side by side, tokenised together, and how many each has; None unless the ids' bytes
+        end where the pieces do."""
+        edges = [*begins[:-1:JOINED], begins[-1]]
+        texts = (data[a:b].tobytes().decode() for a, b in zip(edges[:-1], edges[1:]))
+        ids = np.concatenate([np.array(self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids, np.int32)
+                              for t in texts])
+        ends = np.cumsum(self.bytes[ids])
+        last = np.searchsorted(ends, begins[1:])
+        if last[-1] != len(ids) - 1 or (ends[last] != begins[1:]).any():
+            return None
+        return ids, np.diff(last, prepend=-1)
+
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """Tokenises new pieces and returns their places. Those that begin with a space or line end and do not end in
+        white space, which would join what follows, are tokenised many at a time."""
+        data, begins = utf8(pieces)
+        first, last = data[begins[:-1]], data[begins[1:] - 1]
+        spaced = ((first == 32) | (first == 10)) & ~_SPACE[last] & ~_TAIL[last]
+        own, found = pieces.filter(pa.array(spaced)), None
         if len(own):
-            joined = self.tokenizer.encode("".join(pieces[i] for i in own), add_special_tokens=False)
-            begin = np.cumsum([0] + [len(pieces[i]) for i in own])
-            place = np.searchsorted(begin, np.array([a for a, _ in joined.offsets]), "right") - 1
-            sizes[own] = np.bincount(place, minlength=len(own))
-            starts[own] = np.cumsum(sizes[own]) - sizes[own]
-            flat.append(np.array(joined.ids, np.int32))
-            held = len(flat[0])
-        rest = np.flatnonzero(~spaced)
-        for i, found in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
-            flat.append(np.array(found.ids, np.int32))
-            starts[i], sizes[i] = held, len(flat[-1])
-            held += sizes[i]
-        return np.concatenate(flat), starts, sizes
+            found = self._joined(*utf8(own))
+        if found is None:
+            spaced[:] = False
+        own, rest = pieces.filter(pa.array(spaced)), pieces.filter(pa.array(~spaced))
+        ids, sizes = ([], []) if found is None else ([found[0]], [found[1]])
+        for one in self.tokenizer.encode_batch_fast(rest.to_pylist(), add_special_tokens=False) if len(rest) else []:
+            ids.append(np.array(one.ids, np.int32))
+            sizes.append([len(one.ids)])
+        ids, sizes = np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
+        places = np.empty(len(pieces), np.int64)
+        places[np.argsort(~spaced, kind="stable")] = len(self.start) + np.arange(len(pieces))
+        self.pieces = pa.concat_arrays([self.pieces, own, rest])
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.size, self.flat = np.concatenate([self.size, sizes]), np.concatenate([self.flat, ids])
+        return places
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Places of distinct pieces."""
+        found = pc.index_in(pieces, self.pieces)
+        places = found.fill_null(-1).to_numpy().astype(np.int64) + 1
+        if found.null_count:
+            places[places == 0] = self._learn(pieces.filter(found.is_null()))
+        return places
 
     def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the pieces, and how many each has."""
-        if self.new:
-            found, starts, sizes = self._tokenise(self.new)
-            self.start, self.size = np.append(self.start, starts + len(self.flat)), np.append(self.size, sizes)
-            self.flat = np.concatenate([self.flat, found])
-            self.new = []
         size = self.size[places]
         ends = np.cumsum(size)
         return self.flat[np.repeat(self.start[places] - (ends - size), size) + np.arange(ends[-1])], size
 
 
-def token_ids(texts: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray]:
+def _begins(data: np.ndarray, offsets: np.ndarray, words: _Words) -> np.ndarray:
+    """Where pieces of the texts begin that lie side by side in `data`; every piece has a byte at least."""
+    begin = np.zeros(len(data) + 1, bool)
+    space = _SPACE[data]
+    begin[1:-1] = words.space[data[1:]] & ~space[:-1]
+    begin[1:-1] |= words.mark[data[1:]] & _LETTER[data[:-1]]
+    wide = np.flatnonzero(begin[1:-1] & _TAIL[data[:-1]])  # place of the byte before
+    if len(wide):
+        begin[wide[_LEAD[data[np.maximum(wide - 1, 0)]] | _LEAD[data[np.maximum(wide - 2, 0)]]] + 1] = False
+    begin[offsets] = True
+    return np.flatnonzero(begin[:-1])
+
+
+def token_ids(texts: list[str] | pa.Array, words: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by the end id, and their number for each text.
 
-    The byte-level pre-tokeniser never joins what stands before white space that follows another character with what
-    comes after, so texts are cut before each space, and before each line end where no white space adjoins it, and each
-    distinct piece is tokenised once. Texts with two spaces in a row are not cut, and those with other white space before a
-    space or line end only at the beginning of white space.
+    The byte-level pre-tokeniser always parts a character from white space behind it, and an ASCII letter from an ASCII
+    character behind it that is none. Texts are cut there, unless the character may be white space itself, and each
+    distinct piece is tokenised once.
     """
-    places, pieces = [], []
-    for text in texts:
-        if "  " in text or "\0" in text or not text:
-            parts = [text] if text else []
-        elif _OTHER_SPACE.search(text):
-            parts = _CUT.split(text)
-        elif "\n\n" in text or " \n" in text or "\n " in text:
-            parts = text.replace(" ", "\0 ").split("\0")
-        else:
-            parts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-        places += map(words.__getitem__, parts)
-        places.append(0)
-        pieces.append(len(parts) + 1)
-    ids, size = words.take(np.array(places))
-    ends = np.cumsum(pieces)
-    total = np.concatenate([[0], np.cumsum(size)])
+    data, offsets = utf8(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
+    begins = _begins(data, offsets, words) if len(data) else np.empty(0, np.int64)
+    pieces = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(data))), pa.py_buffer(data))
+    pieces = pieces.dictionary_encode()
+    ends = np.searchsorted(begins, offsets[1:]) + np.arange(1, len(offsets))  # behind the end ids
+    places = np.zeros(len(begins) + len(offsets) - 1, np.int64)
+    of_text = np.ones(len(places), bool)
+    of_text[ends - 1] = False
+    places[of_text] = words.places(pieces.dictionary)[pieces.indices.to_numpy()]
+    ids, size = words.take(places)
+    total = np.concatenate([[0], np.cumsum(size)])[ends]
     if len(words) > CACHED:
         words.clear()
-    return ids, total[ends] - total[ends - pieces]
+    return ids, np.diff(total, prepend=0)
 
 
 def _section(part: int, number: int, docs: list, sizes: list, ids: list) -> bytes:
@@ -405,8 +436,8 @@ def _encoded(path: str, end_id: int):
         def done():
             return pa.RecordBatch.from_arrays([pa.array([_section(part, number, docs, sizes, ids)], pa.binary())], ["section"])
 
-        for batch in slices(batches, 1, 1 << 20):
-            found, size = token_ids(batch.column(1).to_pylist(), words)
+        for batch in slices(batches, 1, 4 << 20):
+            found, size = token_ids(batch.column(1), words)
             docs.append(pa.array(batch.column(0).to_pylist(), pa.int64()))  # a slice would hold its whole batch
             sizes.append(size)
             if len(found) and not 0 <= found.min() <= found.max() < 1 << 16:
