@@ -34,15 +34,20 @@ _ORDER0 = BITS + INSIDE
 _TOTAL_BITS = _ORDER0 + 7
 #: The coder's range lies between 2**LOW and 2**TOP; it gives and takes 16 bits at a time.
 TOP, LOW = 56, 40
-_START = np.arange(GROUPS, dtype=np.int16) * np.int16((1 << BITS) // GROUPS)
-_TARGET = np.array([[LEAST * j if j <= s else (1 << BITS) - LEAST * (GROUPS - j) for j in range(GROUPS)]
-                    for s in range(GROUPS)], np.int16)
-_ONES = np.uint64(0x0101010101010101)
+#: Where groups begin to begin with; LEAST and all the rest as the width of groups that move on.
+_START = (np.arange(GROUPS + 1) * ((1 << BITS) // GROUPS)).astype(np.uint16)
+_PLACE = np.arange(1, GROUPS, dtype=np.int16)[:, None]
+_LEASTS, _REST = _PLACE * np.int16(LEAST), np.int16((1 << BITS) - LEAST * GROUPS)
+#: By the number of words that leave: how far bits move, and those that stay (a carry stays until a word leaves).
+_SHIFT = np.array([0, 16, 32], np.uint64)
+_STAY = np.array([(1 << TOP + 1) - 1, (1 << TOP) - 1, (1 << TOP) - 1], np.uint64)
+_WIDTH = np.int64((2 << INSIDE) - 1)
+_INSIDE = np.int64((1 << INSIDE) - 1)
 
 MAGIC = b"TDMK"
 
 #: Distinct pieces of text whose ids a task keeps; new ones that are tokenised at a time.
-CACHED, JOINED = 350_000, 200
+CACHED, JOINED = 350_000, 32
 #: ASCII letters; ASCII white space, in the widest sense; last bytes of other white space in UTF-8, after these first bytes.
 _LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
 _SPACE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
@@ -61,6 +66,7 @@ class _Table:
         self.group = np.repeat(np.arange(GROUPS), np.diff(bounds))
         total = np.concatenate([[0], np.cumsum(self.width)])
         self.inside = total[:-1] - total[bounds[self.group]]
+        self.packed = self.group << 2 * INSIDE + 1 | self.inside << INSIDE + 1 | self.width
 
     @classmethod
     def of(cls, ids: np.ndarray) -> _Table:
@@ -110,55 +116,97 @@ class _Lanes:
     """
 
     def __init__(self, lanes: int, table: _Table):
-        self.table = table
-        self.shares = np.tile(_START, (lanes, 1))
-        self.guess = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]  # 4 * rank + confidence
-        # To begin with, sure guesses weigh more.
+        self.table, self.lanes = table, lanes
+        self.shares = np.repeat(_START[:, None], lanes, axis=1)  # where groups begin, a row for each, and their end
+        self.guess = np.zeros(2 * lanes * SLOTS, np.int32)  # 4 * rank + confidence, after one id and after two
+        # To begin with, sure guesses weigh more. The weights of the guesses after one and two ids lie in 16 bits each.
         sure2, sure1 = np.arange(CONTEXTS) >> 3, np.arange(CONTEXTS) >> 1 & 3
-        self.weight2 = np.tile((sure2 * WEIGHT // 5).astype(np.int32), lanes)
-        self.weight1 = np.tile(((3 - sure2) * sure1 * WEIGHT // 20).astype(np.int32), lanes)
+        weights = (sure2 * WEIGHT // 5 << 16) + (3 - sure2) * sure1 * WEIGHT // 20
+        self.weights = np.tile(weights.astype(np.int32), lanes)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.lane = np.arange(lanes)
-
-    def order0(self, flat: np.ndarray, lane: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where order 0 puts a rank, and how wide, of 2**(BITS + INSIDE)."""
-        group = self.table.group[rank]
-        at = lane * GROUPS + group
-        low = flat[at].astype(np.int64)
-        share = np.where(group == GROUPS - 1, np.int32(1 << BITS), flat[np.minimum(at + 1, len(flat) - 1)]) - low
-        return (low << INSIDE) + share * self.table.inside[rank], share * self.table.width[rank]
+        self.slots, self.contexts = np.arange(2 * lanes).reshape(2, lanes) * SLOTS, self.lane * CONTEXTS
+        self.range = np.full(lanes, 1 << TOP, np.uint64)
+
+    def group_of(self, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the groups begin in each lane, and their shares."""
+        at = group * self.lanes
+        at += self.lane[:at.shape[-1]]
+        flat = self.shares.ravel()
+        low = flat.take(at, mode="clip")
+        at += self.lanes
+        share = flat.take(at, mode="clip")
+        share -= low
+        return low.astype(np.int64), share.astype(np.int64)
+
+    def order0(self, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where order 0 puts ranks, how wide, of 2**(BITS + INSIDE), and their groups."""
+        packed = self.table.packed.take(rank, mode="clip")
+        group = packed >> (2 * INSIDE + 1)
+        low, share = self.group_of(group)
+        low <<= INSIDE
+        low += share * (packed >> (INSIDE + 1) & _INSIDE)
+        packed &= _WIDTH
+        share *= packed
+        return low, share, group
 
     def ids(self, n: int, wanted: np.ndarray | None) -> np.ndarray:
         """Codes the next rank of the first n lanes, the wanted one or that which the data hold."""
-        lane, last, before = self.lane[:n], self.last[:n], self.before[:n]
-        mixed = last * 40503
-        slots = [(m >> 4 & SLOTS - 1) + lane * SLOTS for m in (mixed, mixed + before * 60493)]
-        one, two = (g[s] for g, s in zip(self.guess, slots))
-        sure1, sure2, one, two = one & 3, two & 3, one >> 2, two >> 2
-        context = lane * CONTEXTS + (sure2 * 8 + sure1 * 2 + (one == two))
-        w1, w2 = self.weight1[context], self.weight2[context]
-        a1, a2 = ((w * (SCALE - 4)) >> 12 for w in (w1, w2))
-        a0 = (SCALE - a1 - a2).astype(np.int64)
-        peak1, peak2 = a1.astype(np.int64) << _ORDER0, a2.astype(np.int64) << _ORDER0
-        rows = self.shares[:n]
-        flat = rows.ravel()
+        last, before = self.last[:n], self.before[:n]
+        slots = np.empty((2, n), np.int64)  # first rows: after one id; second rows: after two
+        np.multiply(last, 40503, out=slots[0])
+        np.multiply(before, 60493, out=slots[1])
+        slots[1] += slots[0]
+        slots >>= 4
+        slots &= SLOTS - 1
+        slots += self.slots[:, :n]
+        held = self.guess.take(slots, mode="clip")
+        sure, guess = held & 3, held >> 2
+        context = sure[1] << 2
+        context += sure[0]
+        context <<= 1
+        context += guess[0] == guess[1]
+        context = context + self.contexts[:n]
+        packed = self.weights.take(context, mode="clip")
+        weight = np.empty((2, n), np.int32)
+        np.bitwise_and(packed, 0xFFFF, out=weight[0])
+        np.right_shift(packed, 16, out=weight[1])
+        peak = weight * (SCALE - 4)
+        peak >>= 12
+        rest = (SCALE - peak[0] - peak[1]).astype(np.int64)
         step = self.range[:n] >> np.uint64(_TOTAL_BITS)
-        if wanted is None:
-            wanted = self.find(step, rows, flat, lane, a0, one, two, peak1, peak2)
-        low, width = self.order0(flat, lane, wanted)
-        is1, is2 = wanted == one, wanted == two
-        low = a0 * low + peak1 * (one < wanted) + peak2 * (two < wanted)
-        width = a0 * width + peak1 * is1 + peak2 * is2
-        self.narrow(n, step, low.astype(np.uint64), width.astype(np.uint64))
-        move = _TARGET[self.table.group[wanted]]
+        wanted, group, low, width = self.place(step, guess, peak, rest, wanted)
+        self.narrow(n, step, low.view(np.uint64), width.view(np.uint64))
+        # Shares move to the group.
+        rows = self.shares[1:GROUPS, :n].view(np.int16)
+        move = group.astype(np.int16) - _PLACE
+        move >>= 15
+        move &= _REST
+        move += _LEASTS
         move -= rows
         move >>= RATE
         rows += move
-        self.weight2[context] = w2 + ((is2 * WEIGHT - w2) >> 4)
-        self.weight1[context] = w1 + (((is1 & ~is2) * WEIGHT - w1) >> 4)
-        for guess, slot, was, sure, right in zip(self.guess, slots, (one, two), (sure1, sure2), (is1, is2)):
-            keep = np.where(right | (sure > 0), was, wanted)
-            guess[slot] = keep * 4 + np.where(right, np.minimum(sure + 1, 3), np.maximum(sure - 1, 0))
+        # Weights move to the guess that was right, that after two ids first.
+        now = wanted.astype(np.int32)
+        right = (guess == now).astype(np.int32)
+        better = right * WEIGHT
+        better[0] -= better[0] & better[1]
+        better -= weight
+        better >>= 4
+        weight += better
+        packed = weight[1] << 16
+        packed |= weight[0]
+        self.weights[context] = packed
+        # Guesses gain or lose confidence; those without any give way.
+        moved = held + right
+        moved += right
+        moved -= 1
+        held |= 3
+        np.minimum(moved, held, out=moved)
+        guess <<= 2
+        now <<= 2
+        moved = np.where(moved < guess, now, moved)
+        self.guess[slots] = moved
         self.before[:n] = last
         self.last[:n] = wanted
         return wanted
@@ -167,81 +215,120 @@ class _Lanes:
 class _Encoder(_Lanes):
     def __init__(self, lanes: int, most: int, table: _Table):
         super().__init__(lanes, table)
-        self.room = most * 2 + 5  # no id takes more than two words
-        self.out = np.empty(lanes * self.room, np.uint32)
-        self.range, self.low = np.full(lanes, 1 << TOP, np.uint64), np.zeros(lanes, np.uint64)
-        self.place = self.lane * self.room
+        self.low, self.step = np.zeros(lanes, np.uint64), 0
+        # The low end at each step, and how many of its words leave then; two more steps at the end.
+        self.base, self.leave = np.empty((most + 2, lanes), np.uint64), np.zeros((most + 2, lanes), np.uint8)
+
+    def place(self, step, guess, peak, rest, wanted):
+        low, width, group = self.order0(wanted)
+        now = wanted.astype(np.int32)
+        low *= rest
+        width *= rest
+        for part, where in ((low, guess < now), (width, guess == now)):
+            peaks = peak * where
+            peaks[0] += peaks[1]
+            peaks = peaks[0].astype(np.int64)
+            peaks <<= _ORDER0
+            part += peaks
+        return wanted, group, low, width
 
     def narrow(self, n, step, low, width):
-        base, span, place = self.low[:n] + step * low, step * width, self.place[:n]
-        for _ in range(2):
-            short = span < np.uint64(1 << LOW)
-            # The word that would leave next is written always and counts only where it does; a 17th bit is a carry.
-            self.out[place] = base >> np.uint64(LOW)
-            shift = short * np.uint64(16)
-            base = np.where(short, base & np.uint64((1 << LOW) - 1), base) << shift
-            span, place = span << shift, place + short
-            if not (span < np.uint64(1 << LOW)).any():
-                break
-        self.low[:n], self.range[:n], self.place[:n] = base, span, place
+        base, leave, span = self.base[self.step, :n], self.leave[self.step, :n], step * width
+        np.multiply(step, low, out=base)
+        base += self.low[:n]
+        np.add((span < np.uint64(1 << LOW)).view(np.uint8), (span < np.uint64(1 << LOW - 16)).view(np.uint8), out=leave)
+        shift = _SHIFT.take(leave, mode="clip")
+        np.left_shift(base, shift, out=self.low[:n])
+        self.low[:n] &= _STAY.take(leave, mode="clip")
+        np.left_shift(span, shift, out=self.range[:n])
+        self.step += 1
 
     def words(self) -> list[bytes]:
-        low, place = self.low, self.place
-        for _ in range(4):
-            self.out[place] = low >> np.uint64(LOW)
-            place = place + 1
-            low = (low & np.uint64((1 << LOW) - 1)) << np.uint64(16)
-        size, out = place - self.lane * self.room, self.out.reshape(-1, self.room)
-        for k in range(int(size.max()) - 1, 0, -1):  # carries run to the front, all lanes at once
-            used = k < size
-            out[used, k - 1] += out[used, k] >> np.uint32(16)
-        return [row[:n].astype(">u2").tobytes() for row, n in zip(out, size)]
+        self.base[-2], self.base[-1] = self.low, (self.low & np.uint64((1 << LOW - 16) - 1)) << np.uint64(32)
+        self.leave[-2:] = 2
+        out = []
+        for first in range(0, self.lanes, 64):
+            base, leave = self.base[:, first:first + 64].T, self.leave[:, first:first + 64].T
+            both = np.empty((*base.shape, 2), np.uint32)
+            both[..., 0] = base >> np.uint64(LOW)
+            both[..., 1] = base >> np.uint64(LOW - 16) & np.uint64(0xFFFF)
+            words = both[leave[..., None] > np.arange(2, dtype=np.uint8)]
+            over = np.flatnonzero(words >> np.uint32(16))
+            while len(over):  # a 17th bit is a carry to the word before
+                words[over] &= np.uint32(0xFFFF)
+                over -= 1
+                words[over] += np.uint32(1)
+                over = over[words[over] > 0xFFFF]
+            sizes = leave.sum(1, dtype=np.int64)
+            out += [w.tobytes() for w in np.split(words.astype(">u2"), np.cumsum(sizes)[:-1])]
+        return out
 
 
 class _Decoder(_Lanes):
     def __init__(self, words: list[np.ndarray], table: _Table):
         super().__init__(len(words), table)
-        data = np.concatenate(words + [np.zeros(8, np.uint8)])
-        self.pairs = data[:-1].astype(np.uint16)  # two bytes for each place of a section
-        self.pairs <<= np.uint16(8)
-        self.pairs |= data[1:]
-        place = np.concatenate([[0], np.cumsum([len(w) for w in words])[:-1]])
+        data = np.concatenate(words + [np.zeros(9, np.uint8)])
+        start = np.concatenate([[0], np.cumsum([len(w) for w in words])[:-1]])
         code = np.zeros(len(words), np.uint64)
         for k in range(TOP // 8):
-            code = (code << np.uint64(8)) | data[place + k]
-        self.range, self.code, self.place = np.full(len(words), 1 << TOP, np.uint64), code, place + TOP // 8
+            code = (code << np.uint64(8)) | data[start + k]
+        # Words begin at odd bytes, as TOP bits are an odd number of them; each with the word that follows.
+        odd = data[1:len(data) - 1 + len(data) % 2].view(">u2")
+        self.pairs = odd.astype(np.uint32)
+        self.pairs <<= np.uint32(16)
+        self.pairs[:-1] |= odd[1:]
+        self.code, self.at = code, start + TOP // 8 - 1 >> 1
         self.ranks = table.by_share()
 
-    def find(self, step, rows, flat, lane, a0, one, two, peak1, peak2):
-        value = np.minimum(self.code[:len(lane)] // step, np.uint64((1 << _TOTAL_BITS) - 1)).astype(np.int64)
-        swap = one > two
-        ends = (np.where(swap, two, one), np.where(swap, peak2, peak1)), (np.where(swap, one, two), np.where(swap, peak1, peak2))
-        found = np.full(len(lane), -1)
-        for rank, peak in ends:  # the guess of lower rank first; behind a guess its peak is taken off
-            low, width = self.order0(flat, lane, rank)
-            behind = (value >= a0 * low) & (found < 0)
-            here = behind & (value < a0 * (low + width) + peak)
-            found = np.where(here, rank, found)
-            value = np.where(behind & ~here, value - peak, value)
-        value = np.minimum(value // a0, (1 << _ORDER0) - 1)
-        below = (rows <= (value >> INSIDE).astype(np.int16)[:, None]).view(np.uint64).reshape(-1, 2)
-        group = (((below[:, 0] + below[:, 1]) * _ONES) >> np.uint64(56)).astype(np.int64) - 1
-        at = lane * GROUPS + group
-        low = flat[at].astype(np.int64)
-        share = np.where(group == GROUPS - 1, np.int32(1 << BITS), flat[np.minimum(at + 1, len(flat) - 1)]) - low
-        inside = np.minimum((value - (low << INSIDE)) // share, (1 << INSIDE) - 1)
-        return np.where(found < 0, self.ranks[(group << INSIDE) + inside], found)
+    def place(self, step, guess, peak, rest, wanted):
+        n = len(step)
+        value = self.code[:n] // step
+        value = np.minimum(value, np.uint64((1 << _TOTAL_BITS) - 1)).view(np.int64)
+        # Whether it lies on a guess: behind the other guess, if that is lower, that one's peak comes on top.
+        low, width, group = self.order0(guess)
+        low *= rest
+        low += (peak[::-1] * (guess[::-1] < guess)).astype(np.int64) << _ORDER0
+        width *= rest
+        width += (peak + peak[::-1] * (guess[0] == guess[1])).astype(np.int64) << _ORDER0
+        off = value - low
+        here = off.view(np.uint64) < width.view(np.uint64)
+        behind = (off >= 0) > here
+        peaks = peak * behind
+        peaks = (peaks[0] + peaks[1]).astype(np.int64) << _ORDER0
+        # If not, order 0 without the peaks; whole numbers this small divide exactly.
+        value = ((value - peaks) / rest).astype(np.int64)
+        np.minimum(value, (1 << _ORDER0) - 1, out=value)
+        under = self.shares[1:GROUPS, :n] <= (value >> INSIDE).astype(np.uint16)
+        found_group = np.add.reduce(under.view(np.int8), axis=0, dtype=np.int8).astype(np.int64)
+        begin, share = self.group_of(found_group)
+        begin <<= INSIDE
+        value -= begin
+        inside = (value / share).astype(np.int64)
+        inside += found_group << INSIDE
+        found = self.ranks.take(inside, mode="clip").astype(np.int64)
+        packed = self.table.packed.take(found, mode="clip")
+        begin += share * (packed >> (INSIDE + 1) & _INSIDE)
+        begin *= rest
+        begin += peaks
+        packed &= _WIDTH
+        share *= packed
+        share *= rest
+        held = np.flatnonzero(here)
+        lane = held % n
+        for mine, its in ((found, guess), (found_group, group), (begin, low), (share, width)):
+            mine[lane] = its.ravel()[held]
+        return found, found_group, begin, share
 
     def narrow(self, n, step, low, width):
-        code, span, place = self.code[:n] - step * low, step * width, self.place[:n]
-        for _ in range(2):
-            short = span < np.uint64(1 << LOW)
-            shift = short * np.uint64(16)
-            code = (code << shift) | (self.pairs.take(place, mode="clip") * short)
-            span, place = span << shift, place + 2 * short
-            if not (span < np.uint64(1 << LOW)).any():
-                break
-        self.code[:n], self.range[:n], self.place[:n] = code, span, place
+        span, code, at = step * width, self.code[:n], self.at[:n]
+        low = step * low
+        code -= low
+        words = (span < np.uint64(1 << LOW)).view(np.uint8) + (span < np.uint64(1 << LOW - 16)).view(np.uint8)
+        shift = _SHIFT.take(words, mode="clip")
+        code <<= shift
+        code |= self.pairs.take(at, mode="clip") >> (np.uint64(32) - shift)
+        at += words
+        np.left_shift(span, shift, out=self.range[:n])
 
 
 def encode(ids: np.ndarray) -> bytes:
