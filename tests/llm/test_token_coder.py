@@ -1,8 +1,10 @@
 import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -211,3 +213,19 @@ def test_decoder_holds_few_bytes_for_each_byte_of_a_section():
         assert tracemalloc.get_traced_memory()[1] < 6 * len(words[0])
     finally:
         tracemalloc.stop()
+
+
+def test_sections_hold_whole_documents_up_to_their_size(monkeypatch):
+    """No section is a few blocks longer than what is coded side by side; a longer document is a section of its own."""
+    monkeypatch.setattr(token_coder, "SECTION_MOST", 1000)
+    sizes = []
+    monkeypatch.setattr(token_coder, "_section", lambda part, number, docs, size, ids: sizes.append(
+        (number, [s for some in size for s in some], sum(map(len, ids)))) or b"")
+    task = SimpleNamespace(partitionId=lambda: 0)
+    monkeypatch.setattr(token_coder, "TaskContext", SimpleNamespace(get=lambda: task))
+    texts = ["a b c"] * 700 + ["a " * 3000] + ["", None] + ["a b"] * 400
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    list(token_coder._encoded(PATH, 2)(iter([batch])))
+    assert [n for n, _, _ in sizes] == list(range(len(sizes)))
+    assert sum(len(s) for _, s, _ in sizes) == len(texts) and all(sum(s) == n for _, s, n in sizes)
+    assert all(n <= 1000 or len(s) == 1 for _, s, n in sizes) and max(n for _, _, n in sizes) > 3000

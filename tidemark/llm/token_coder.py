@@ -22,6 +22,8 @@ from .text import slices, utf8
 #: Ids of a block, blocks that are coded side by side, ids of a section (the unit a task holds), sections of a file. A
 #: section has at most about 20 bytes for each id, so a file stays far below the 2 GB that its reader takes.
 BLOCK_IDS, LANES, SECTION_IDS, FILE_SECTIONS = 4096, 1024, 4_000_000, 4
+#: No section is longer, so that its blocks are coded at once; a longer document is a section of its own.
+SECTION_MOST = BLOCK_IDS * LANES
 #: Slots of the tables that predict the id after one and after two ids; both start empty in every block.
 SLOTS = 4096
 #: Order 0: GROUPS groups of ids, whose shares (BITS bits, none narrower than LEAST) move by 1/16 to each id's group, and
@@ -101,10 +103,10 @@ class _Table:
 
     def by_share(self) -> np.ndarray:
         """The rank that holds each share of each group."""
-        found = np.zeros((GROUPS, 1 << INSIDE), np.int32)
+        found = np.zeros((GROUPS, 1 << INSIDE), np.uint16)
         for g, (a, b) in enumerate(zip(self.bounds[:-1], self.bounds[1:])):
             if b > a:
-                found[g] = np.repeat(np.arange(a, b), self.width[a:b])
+                    found[g] = np.repeat(np.arange(a, b), self.width[a:b])
         return found.ravel()
 
 
@@ -523,14 +525,24 @@ def _encoded(path: str, end_id: int):
         def done():
             return pa.RecordBatch.from_arrays([pa.array([_section(part, number, docs, sizes, ids)], pa.binary())], ["section"])
 
-        for batch in slices(batches, 1, 4 << 20):
+        for batch in slices(batches, 1, 2 << 20):
             found, size = token_ids(batch.column(1), words)
-            docs.append(pa.array(batch.column(0).to_pylist(), pa.int64()))  # a slice would hold its whole batch
-            sizes.append(size)
             if len(found) and not 0 <= found.min() <= found.max() < 1 << 16:
                 raise ValueError("ids must lie in 0 to 65535")
-            ids.append(found.astype(np.uint16))
-            held += len(found)
+            doc, found, ends = batch.column(0).to_pylist(), found.astype(np.uint16), np.cumsum(size)
+            first = 0
+            while first < len(doc):
+                before = ends[first - 1] if first else 0
+                last = int(np.searchsorted(ends, before + SECTION_MOST - held, "right"))
+                if last <= first and held:  # the next document does not fit
+                    yield done()
+                    docs, sizes, ids, held, number = [], [], [], 0, number + 1
+                    continue
+                last = max(last, first + 1)
+                docs.append(pa.array(doc[first:last], pa.int64()))  # a slice would hold its whole batch
+                sizes.append(size[first:last])
+                ids.append(found[before:ends[last - 1]])
+                held, first = held + len(ids[-1]), last
             if held >= SECTION_IDS:
                 yield done()
                 docs, sizes, ids, held, number = [], [], [], 0, number + 1
